@@ -159,3 +159,19 @@ def test_stream_classify_late(spark, tmp_dir):
     out = run(stream_classify_late(s, "t", "seq", bound=5, size=5), spark)
     got = {r.seq: r.is_late for r in out}
     assert got[12] is True and not any(got[i] for i in range(1, 12))
+
+
+def test_stream_routes_sink(spark, tmp_dir):
+    from tidemark.operators.compose import explode_routes, route
+    from tidemark.sources.files import stream_routes
+
+    s = measured_stream(spark, tmp_dir, SEX_P9, HEIGHTS, per_file=4)
+    tagged = explode_routes(route(s, [("tall", F.col("height") > 170)], default="other"))
+    out = os.path.join(tmp_dir, "routes")
+    q = stream_routes(tagged, "routes_" + uuid.uuid4().hex[:6], out)
+    q.awaitTermination(120)
+    q.stop()
+    got = spark.read.parquet(out)
+    assert sorted(r.id for r in got.filter(F.col("route") == "tall").collect()) == sorted(
+        str(i + 1) for i, h in enumerate(HEIGHTS) if h > 170)
+    assert got.count() == len(HEIGHTS)

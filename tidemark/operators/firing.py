@@ -82,16 +82,18 @@ def early_mean(
 def _evicting_fold(gk: list[str], seq: str, value: str, every: int, scale: int | None):
     """Build the per-partition fold for :func:`evicting_mean`.
 
-    Input batches arrive sorted by (gk, seq).  State carried across batches:
-    the current group key, its surviving buffer, rows since the last report
-    and the report number.
+    Input batches arrive sorted by (gk, seq).  Group boundaries inside a batch
+    are found with numpy; each group is then advanced a block of ``every`` rows
+    at a time.  State carried across batches: the current group key, its
+    surviving buffer, rows since the last report and the report number.
     """
     unit = None if scale is None else 10**scale
+    names = _OUT_NAMES(gk)
 
     def mean_of_buffer(vals: list[float], ints: list[int]) -> float:
         if unit is None:
             total = 0.0
-            for v in vals:  # in buffer order, like the original
+            for v in vals:  # left to right in buffer order, like the original
                 total += v
             return total / float(len(vals))
         return (sum(ints) / unit) / len(ints)
@@ -101,47 +103,55 @@ def _evicting_fold(gk: list[str], seq: str, value: str, every: int, scale: int |
         cur = None
         vals: list[float] = []
         ints: list[int] = []
-        pending = 0
-        firing = 0
+        pending = firing = 0
         last_seq = None
 
-        def close(key):
-            if vals:
-                out_rows.append((*key, firing + 1, "final", last_seq, len(vals), mean_of_buffer(vals, ints)))
-
         for pdf in batches:
-            if pdf.empty:
+            n = len(pdf)
+            if n == 0:
                 continue
-            key_cols = [pdf[c].tolist() for c in gk]
+            cols = [pdf[c].to_numpy() for c in gk]
+            starts = np.zeros(n, dtype=bool)
+            starts[0] = True
+            for c in cols:
+                starts[1:] |= c[1:] != c[:-1]
+            bounds = np.flatnonzero(starts).tolist() + [n]
             seqs = pdf[seq].tolist()
             v_arr = pdf[value].to_numpy(dtype="float64")
-            i_arr = (np.rint(v_arr * unit).astype(np.int64).tolist() if unit is not None else [0] * len(pdf))
             v_list = v_arr.tolist()
-            for i in range(len(pdf)):
-                key = tuple(col[i] for col in key_cols)
+            i_list = np.rint(v_arr * unit).astype(np.int64).tolist() if unit is not None else None
+            for a, b in zip(bounds[:-1], bounds[1:]):
+                key = tuple(pdf[c].iat[a] for c in gk)
                 if key != cur:
-                    if cur is not None:
-                        close(cur)
+                    if cur is not None and vals:
+                        out_rows.append((*cur, firing + 1, "final", last_seq, len(vals), mean_of_buffer(vals, ints)))
                     cur, vals, ints, pending, firing = key, [], [], 0, 0
-                vals.append(v_list[i])
-                ints.append(i_arr[i])
-                last_seq = seqs[i]
-                pending += 1
-                if pending >= every:
-                    pending = 0
-                    firing += 1
-                    m = mean_of_buffer(vals, ints)
-                    out_rows.append((*cur, firing, "count", last_seq, len(vals), m))
-                    keep = [j for j, v in enumerate(vals) if not (v < m)]
-                    vals = [vals[j] for j in keep]
-                    ints = [ints[j] for j in keep]
+                pos = a
+                while pos < b:
+                    take = min(every - pending, b - pos)
+                    vals.extend(v_list[pos:pos + take])
+                    if i_list is not None:
+                        ints.extend(i_list[pos:pos + take])
+                    pos += take
+                    pending += take
+                    last_seq = seqs[pos - 1]
+                    if pending == every:
+                        pending = 0
+                        firing += 1
+                        m = mean_of_buffer(vals, ints)
+                        out_rows.append((*cur, firing, "count", last_seq, len(vals), m))
+                        if i_list is not None:
+                            kept = [(v, i) for v, i in zip(vals, ints) if not v < m]
+                            vals, ints = [v for v, _ in kept], [i for _, i in kept]
+                        else:
+                            vals = [v for v in vals if not v < m]
             if len(out_rows) >= 10_000:
-                yield pd.DataFrame.from_records(out_rows, columns=_OUT_NAMES(gk))
+                yield pd.DataFrame.from_records(out_rows, columns=names)
                 out_rows = []
-        if cur is not None:
-            close(cur)
+        if cur is not None and vals:
+            out_rows.append((*cur, firing + 1, "final", last_seq, len(vals), mean_of_buffer(vals, ints)))
         if out_rows:
-            yield pd.DataFrame.from_records(out_rows, columns=_OUT_NAMES(gk))
+            yield pd.DataFrame.from_records(out_rows, columns=names)
 
     return fold
 

@@ -124,10 +124,15 @@ def stream_routes(
     checkpoint: str | None = None,
     trigger: dict | None = None,
 ):
-    """Labelled streaming sink: each micro-batch written once, by tag."""
+    """Labelled streaming sink: each micro-batch written by tag.
 
-    def write_batch(batch: DataFrame, _epoch: int) -> None:
-        batch.write.mode("append").partitionBy(route_col).parquet(path)
+    Every epoch goes to its own ``epoch=<id>`` folder in overwrite mode, so a
+    micro-batch replayed after a failure replaces its earlier partial output
+    instead of duplicating it.
+    """
+
+    def write_batch(batch: DataFrame, epoch: int) -> None:
+        batch.write.mode("overwrite").partitionBy(route_col).parquet(os.path.join(path, f"epoch={epoch}"))
 
     spark = df.sparkSession
     return (
