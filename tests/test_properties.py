@@ -30,10 +30,12 @@ def test_prefix_scan_equals_plain_frame(spark, rows, block, exclusive):
         "s": ("sum", F.col("v")),
         "mx": ("max", F.struct(F.col("v"), (-F.col("seq")).alias("o"))),
         "mn": ("min", F.col("v")),
+        "mb": ("max_by", F.col("v"), F.when(F.col("v") % 3 == 0, F.col("seq"))),
     }
     fast = running(df, "seq", aggs, keys=["k"], block=block, exclusive=exclusive)
     slow = running_plain(df, "seq", aggs, keys=["k"], exclusive=exclusive)
-    as_set = lambda d: sorted((r.k, r.seq, r.s, tuple(r.mx) if r.mx else None, r.mn) for r in d.collect())  # noqa
+    as_set = lambda d: sorted((r.k, r.seq, r.s, tuple(r.mx) if r.mx else None, r.mn, r.mb)
+                              for r in d.collect())
     assert as_set(fast) == as_set(slow)
 
 
@@ -63,3 +65,4 @@ def test_evicting_fold_equals_row_loop(spark, values, every):
     out = evicting_mean(df, ["k"], "ts", "v", "seq", "1 day", every=every)
     got = [(r.kind, r.n, r.mean) for r in out.orderBy("firing").collect()]
     assert got == _evict_reference([float(v) for v in values], every)
+

@@ -89,7 +89,7 @@ def connect_latest(
       if ``value >= threshold`` else ``labels[1]``;
     * control rows: null ``subject``, the new threshold, ``labels[2]``.
 
-    "Latest control value" is a running max of struct(seq, value) over control
+    "Latest control value" is a running ``max_by(value, seq)`` over control
     rows -- associative, so it runs as a prefix scan over blocks of ``seq``
     rather than as one global ordered task.
     """
@@ -105,9 +105,9 @@ def connect_latest(
         F.col(control_value).cast("double").alias("__ctl"),
     )
     both = s.unionByName(c)
-    latest = F.when(F.col("__ctl").isNotNull(), F.struct(F.col("__seq").alias("s"), F.col("__ctl").alias("v")))
-    scanned = running(both, "__seq", {"__latest": ("max", latest)}, block=block)
-    threshold = F.coalesce(F.col("__latest.v"), F.lit(float(initial)))
+    ctl_seq = F.when(F.col("__ctl").isNotNull(), F.col("__seq"))
+    scanned = running(both, "__seq", {"__latest": ("max_by", F.col("__ctl"), ctl_seq)}, block=block)
+    threshold = F.coalesce(F.col("__latest"), F.lit(float(initial)))
     label = F.when(F.col("subject").isNull(), F.lit(labels[2])).otherwise(
         threshold_label(F.col(f"subject.{value}"), threshold, labels[:2])
     )

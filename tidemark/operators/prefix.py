@@ -17,10 +17,12 @@ The prefix scan splits the order column into blocks of ``block`` consecutive
    running frame inside each (key, block) finishes the job.  No join back, so
    the big side is shuffled exactly once (by key, block).
 
-Only associative, commutative reductions qualify: ``sum``, ``max``, ``min``.
-Arg-max, latest value and counts are expressed through them (``max`` of a
-struct, ``sum`` of 1).  The result equals the plain running frame whenever
-``seq`` is unique within a key.
+Only associative, commutative reductions qualify: ``sum``, ``max``, ``min`` and
+``max_by`` (value of the row with the largest ordering; the ordering must be
+unique, e.g. ``seq``).  Arg-max, latest value and counts are expressed through
+them.  All four keep primitive aggregation buffers when their inputs are
+primitive, so Spark hash-aggregates the block table.  The result equals the
+plain running frame whenever ``seq`` is unique within a key.
 """
 
 from __future__ import annotations
@@ -36,7 +38,7 @@ from tidemark.functions.timecols import floor_div
 # rows per key.  2**20 keeps both sides of that trade comfortable on a cluster.
 DEFAULT_BLOCK = 1 << 20
 
-_KINDS = {"sum": F.sum, "max": F.max, "min": F.min}
+_KINDS = {"sum": F.sum, "max": F.max, "min": F.min, "max_by": None}
 
 _BLK = "__blk"
 _ORD = "__carry_last"
@@ -45,7 +47,7 @@ _ORD = "__carry_last"
 def running(
     df: DataFrame,
     seq: str,
-    aggs: dict[str, tuple[str, Column]],
+    aggs: dict[str, tuple[str, Column] | tuple[str, Column, Column]],
     keys: Sequence[str] = (),
     block: int = DEFAULT_BLOCK,
     exclusive: bool = False,
@@ -53,38 +55,61 @@ def running(
     """Add one running-aggregate column per entry of ``aggs``.
 
     ``aggs`` maps output name -> (kind, input expression) with kind in
-    ``sum``/``max``/``min``.  The frame runs over rows of the same ``keys`` in
-    ``seq`` order, from the first row to the current one (``exclusive=False``)
-    or to the one before it (``exclusive=True``, null on the first row).
+    ``sum``/``max``/``min``, or -> ("max_by", value, ordering).  The frame runs
+    over rows of the same ``keys`` in ``seq`` order, from the first row to the
+    current one (``exclusive=False``) or to the one before it
+    (``exclusive=True``, null on the first row).
     """
-    for name, (kind, _) in aggs.items():
-        if kind not in _KINDS:
-            raise ValueError(f"{name}: kind must be one of {sorted(_KINDS)}, got {kind!r}")
+    for name, spec in aggs.items():
+        if spec[0] not in _KINDS:
+            raise ValueError(f"{name}: kind must be one of {sorted(_KINDS)}, got {spec[0]!r}")
     keys = list(keys)
     base_cols = df.columns
-    ins = {name: f"__in_{name}" for name in aggs}
+
+    # Every aggregate becomes input columns plus three steps: block total,
+    # carry over earlier blocks, running value inside the block.
+    inputs: dict[str, Column] = {}
+    steps = []  # (output name, [block-total cols], [carry cols], final col)
+    for name, spec in aggs.items():
+        kind = spec[0]
+        if kind == "max_by":
+            v, o = f"__in_{name}_v", f"__in_{name}_o"
+            inputs[v], inputs[o] = spec[1], spec[2]
+            steps.append((
+                name,
+                [F.max_by(v, o).alias(v), F.max(o).alias(o)],
+                lambda w, v=v, o=o: [F.max_by(v, o).over(w).alias(v), F.max(o).over(w).alias(o)],
+                lambda w, v=v, o=o: F.max_by(v, o).over(w),
+                [v, o],
+            ))
+        else:
+            c = f"__in_{name}"
+            inputs[c] = spec[1]
+            fn = _KINDS[kind]
+            steps.append((
+                name,
+                [fn(c).alias(c)],
+                lambda w, c=c, fn=fn: [fn(c).over(w).alias(c)],
+                lambda w, c=c, fn=fn: fn(c).over(w),
+                [c],
+            ))
+    in_cols = list(inputs)
 
     x = df.withColumn(_BLK, floor_div(F.col(seq), block))
-    for name, (_, expr) in aggs.items():
-        x = x.withColumn(ins[name], expr)
+    for c, expr in inputs.items():
+        x = x.withColumn(c, expr)
 
     # (2) one partial per (key, block); (3) running over blocks, this one excluded.
-    totals = x.groupBy(*keys, _BLK).agg(
-        *[_KINDS[kind](ins[name]).alias(ins[name]) for name, (kind, _) in aggs.items()]
-    )
+    totals = x.groupBy(*keys, _BLK).agg(*[e for st in steps for e in st[1]])
     before = Window.partitionBy(*keys).orderBy(_BLK).rowsBetween(Window.unboundedPreceding, -1)
-    carry = totals.select(
-        *keys,
-        _BLK,
-        *[_KINDS[kind](ins[name]).over(before).alias(ins[name]) for name, (kind, _) in aggs.items()],
-    )
+    carry = totals.select(*keys, _BLK, *[e for st in steps for e in st[2](before)])
 
     # (4) carry row first in its block, then the real rows in seq order.
     types = dict(x.dtypes)
     carry_rows = carry.select(
         *[F.col(c) for c in keys],
         F.col(_BLK),
-        *[F.col(ins[n]) for n in aggs],
+        *[F.col(c) for c in in_cols],
         *[F.lit(None).cast(types[c]).alias(c) for c in base_cols if c not in keys],
         F.lit(False).alias(_ORD),
     )
@@ -97,18 +122,14 @@ def running(
         .orderBy(_ORD, seq)
         .rowsBetween(Window.unboundedPreceding, upto)
     )
-    out = both.select(
-        *base_cols,
-        _ORD,
-        *[_KINDS[kind](ins[name]).over(frame).alias(name) for name, (kind, _) in aggs.items()],
-    )
+    out = both.select(*base_cols, _ORD, *[st[3](frame).alias(st[0]) for st in steps])
     return out.filter(F.col(_ORD)).drop(_ORD)
 
 
 def running_plain(
     df: DataFrame,
     seq: str,
-    aggs: dict[str, tuple[str, Column]],
+    aggs: dict[str, tuple],
     keys: Sequence[str] = (),
     exclusive: bool = False,
 ) -> DataFrame:
@@ -116,7 +137,10 @@ def running_plain(
     brute-force check of :func:`running`, and fine when keys are many and small."""
     upto = -1 if exclusive else Window.currentRow
     frame = Window.partitionBy(*keys).orderBy(seq).rowsBetween(Window.unboundedPreceding, upto)
-    return df.select(
-        *df.columns,
-        *[_KINDS[kind](expr).over(frame).alias(name) for name, (kind, expr) in aggs.items()],
-    )
+    cols = []
+    for name, spec in aggs.items():
+        if spec[0] == "max_by":
+            cols.append(F.max_by(spec[1], spec[2]).over(frame).alias(name))
+        else:
+            cols.append(_KINDS[spec[0]](spec[1]).over(frame).alias(name))
+    return df.select(*df.columns, *cols)
