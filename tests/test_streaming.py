@@ -175,3 +175,37 @@ def test_stream_routes_sink(spark, tmp_dir):
     assert sorted(r.id for r in got.filter(F.col("route") == "tall").collect()) == sorted(
         str(i + 1) for i, h in enumerate(HEIGHTS) if h > 170)
     assert got.count() == len(HEIGHTS)
+
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables not present")
+def test_driver_events_as_stream_match_batch(spark):
+    """events parquet as a stream source: closed windows and join pairs equal batch."""
+    from tidemark.operators.tumbling import tumbling_mean
+
+    batch_df = spark.read.parquet(f"{SF}/events.parquet")
+    s = stream_table(spark, f"{SF}/events*.parquet", batch_df.schema)  # a file source wants a folder or glob
+    rows = run(stream_tumbling_mean(s, ["event_type"], "ts", "value", "1 day", exact_scale=2), spark)
+    streamed = sorted((r.event_type, r.window_start, r.n, r.mean) for r in rows)
+    batch = tumbling_mean(batch_df, ["event_type"], "ts", "value", "1 day", exact_scale=2)
+    last_start = batch.agg(F.max("window_start")).first()[0]
+    expected = sorted((r.event_type, r.window_start, r.n, r.mean) for r in batch.collect()
+                      if r.window_start < last_start)
+    assert streamed and streamed == expected
+
+    def side(df, kind, p):
+        return df.filter(F.col("event_type") == kind).select(
+            F.col("event_id").alias(f"{p}id"), F.col("user_id").alias(f"{p}user"),
+            F.col("ts").alias(f"{p}ts"), F.col("value").alias(f"{p}v"))
+
+    from tidemark.operators.joins import interval_join
+
+    res = F.col("l_v") < F.col("r_v")
+    j = stream_interval_join(side(s, "click", "l_"), side(s, "purchase", "r_"), "l_user", "r_user", "l_ts", "r_ts",
+                             "-1 hour", "3 hours", residual=res)
+    streamed = sorted((r.l_id, r.r_id) for r in run(j.select("l_id", "r_id"), spark))
+    bj = interval_join(side(batch_df, "click", "l_"), side(batch_df, "purchase", "r_"), "l_user", "r_user",
+                       "l_ts", "r_ts", "-1 hour", "3 hours", residual=res)
+    assert streamed == sorted((r.l_id, r.r_id) for r in bj.collect())
