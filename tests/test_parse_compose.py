@@ -114,3 +114,13 @@ def test_connect_latest(spark, block):
         (6, "4", 600.0, "not pass"),
         (7, "5", 600.0, "pass"),
     ]
+
+
+def test_connect_latest_keyed(spark):
+    subject = spark.createDataFrame([("a", 1, 10.0), ("b", 2, 10.0), ("a", 4, 10.0), ("b", 6, 10.0)],
+                                    "g string, seq long, score double")
+    control = spark.createDataFrame([("a", 3, 20.0), ("b", 5, 5.0)], "g string, seq long, mark double")
+    out = connect_latest(subject, control, "seq", "score", "mark", initial=8.0, block=2, keys=["g"])
+    got = [(r.g, r.seq, r.threshold, r.label) for r in out.orderBy("seq").collect()]
+    assert got == [("a", 1, 8.0, "pass"), ("b", 2, 8.0, "pass"), ("a", 3, 20.0, "change passing score"),
+                   ("a", 4, 20.0, "not pass"), ("b", 5, 5.0, "change passing score"), ("b", 6, 5.0, "pass")]

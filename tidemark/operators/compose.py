@@ -78,6 +78,7 @@ def connect_latest(
     initial: float,
     labels: tuple[str, str, str] = PASS_LABELS,
     block: int = DEFAULT_BLOCK,
+    keys: Sequence[str] = (),
 ) -> DataFrame:
     """Label each subject row against the latest control value before it.
 
@@ -91,26 +92,31 @@ def connect_latest(
 
     "Latest control value" is a running ``max_by(value, seq)`` over control
     rows -- associative, so it runs as a prefix scan over blocks of ``seq``
-    rather than as one global ordered task.
+    rather than as one global ordered task.  With ``keys`` (columns present on
+    both sides) each key has its own control value, like
+    ``last(value, ignorenulls) over (partition by key order by seq)``; output
+    then starts with the key columns.
     """
-    subj_cols = [c for c in subject.columns]
+    keys = list(keys)
     s = subject.select(
+        *keys,
         F.col(seq).alias("__seq"),
-        F.struct(*[F.col(c) for c in subj_cols]).alias("subject"),
+        F.struct(*[F.col(c) for c in subject.columns]).alias("subject"),
         F.lit(None).cast("double").alias("__ctl"),
     )
     c = control.select(
+        *keys,
         F.col(seq).alias("__seq"),
         F.lit(None).cast(s.schema["subject"].dataType).alias("subject"),
         F.col(control_value).cast("double").alias("__ctl"),
     )
     both = s.unionByName(c)
     ctl_seq = F.when(F.col("__ctl").isNotNull(), F.col("__seq"))
-    scanned = running(both, "__seq", {"__latest": ("max_by", F.col("__ctl"), ctl_seq)}, block=block)
+    scanned = running(both, "__seq", {"__latest": ("max_by", F.col("__ctl"), ctl_seq)}, keys=keys, block=block)
     threshold = F.coalesce(F.col("__latest"), F.lit(float(initial)))
     label = F.when(F.col("subject").isNull(), F.lit(labels[2])).otherwise(
         threshold_label(F.col(f"subject.{value}"), threshold, labels[:2])
     )
     return scanned.select(
-        F.col("__seq").alias(seq), "subject", threshold.alias("threshold"), label.alias("label")
+        *keys, F.col("__seq").alias(seq), "subject", threshold.alias("threshold"), label.alias("label")
     )
