@@ -20,7 +20,26 @@ def test_read_lines_file(spark, tmp_dir):
     with open(p, "w") as f:
         f.write("a\nb b\n\nc\n")
     df = read_lines(spark, p, with_seq=True)
-    assert [r.value for r in df.orderBy("seq").collect()] == ["a", "b b", "", "c"]
+    assert [(r.seq, r.value) for r in df.orderBy("seq").collect()] == [(0, "a"), (1, "b b"), (2, ""), (3, "c")]
+
+
+def test_read_lines_seq_across_files_and_splits(spark, tmp_dir):
+    # three files of different sizes; tiny split size forces several splits per file
+    expected = []
+    for name, n in (("a.txt", 300), ("b.txt", 5), ("c.txt", 1200)):
+        lines = [f"{name}-{i:05d}" for i in range(n)]
+        expected += lines
+        with open(os.path.join(tmp_dir, name), "w") as f:
+            f.write("\n".join(lines) + "\n")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1500")
+    try:
+        df = read_lines(spark, tmp_dir, with_seq=True)
+        assert df.rdd.getNumPartitions() > 3
+        got = [(r.seq, r.value) for r in df.orderBy("seq").collect()]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert got == list(enumerate(expected))
 
 
 def test_lines_of_text_column(spark):

@@ -16,7 +16,7 @@ from __future__ import annotations
 import os
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,15 +26,36 @@ from tidemark.session import checkpoint_location
 def read_lines(spark: SparkSession, path: str, with_seq: bool = False) -> DataFrame:
     """Text file(s) -> ``value`` (one row per line, line terminators removed).
 
-    ``with_seq`` adds ``seq``, increasing in line order within a file split
-    and across splits in partition order (``monotonically_increasing_id``:
-    deterministic for a given input, so a recomputed task gets the same ids).
-    For several files pass an explicit order column instead.
+    ``with_seq`` adds ``seq``: the line number (from 0) over all files taken
+    in path order, then line order -- the arrival order of reading the files
+    one after another.  Spark reads splits in parallel and packs them by size,
+    so the number is built, not observed:
+
+    * every line carries its split (``_metadata.file_path`` and
+      ``file_block_start``) and ``monotonically_increasing_id``, which is
+      consecutive inside a split;
+    * a split table (one row per split: first id, line count) gets a running
+      line offset in (path, start) order -- a window over #splits rows, not
+      over lines;
+    * ``seq = offset + (id - first id)``.
+
+    Deterministic for a given input, so a recomputed task gets the same numbers.
     """
     df = spark.read.text(path)
-    if with_seq:
-        df = df.withColumn("seq", F.monotonically_increasing_id())
-    return df
+    if not with_seq:
+        return df
+    lines = df.select(
+        "value",
+        F.col("_metadata.file_path").alias("__file"),
+        F.col("_metadata.file_block_start").alias("__start"),
+        F.monotonically_increasing_id().alias("__mid"),
+    )
+    splits = lines.groupBy("__file", "__start").agg(F.min("__mid").alias("__first"), F.count("*").alias("__n"))
+    order = Window.orderBy("__file", "__start").rowsBetween(Window.unboundedPreceding, -1)
+    splits = splits.select("__file", "__start", "__first",
+                           F.coalesce(F.sum("__n").over(order), F.lit(0)).alias("__offset"))
+    return lines.join(splits, ["__file", "__start"]).select(
+        "value", (F.col("__offset") + F.col("__mid") - F.col("__first")).alias("seq"))
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
