@@ -66,3 +66,25 @@ def test_evicting_fold_equals_row_loop(spark, values, every):
     got = [(r.kind, r.n, r.mean) for r in out.orderBy("firing").collect()]
     assert got == _evict_reference([float(v) for v in values], every)
 
+
+
+@SETTINGS
+@given(rows=rows_st, block=st.integers(min_value=1, max_value=9), cut=st.integers(min_value=0, max_value=60),
+       exclusive=st.booleans())
+def test_scan_continued_with_carry_equals_one_scan(spark, rows, block, cut, exclusive):
+    from tidemark.operators.prefix import running_totals
+
+    data = [(k, v, i) for i, (k, v) in enumerate(rows)]
+    df = spark.createDataFrame(data, "k string, v long, seq long")
+    aggs = {
+        "s": ("sum", F.col("v")),
+        "mx": ("max", F.col("v")),
+        "mb": ("max_by", F.col("v"), F.when(F.col("v") % 2 == 0, F.col("seq"))),
+    }
+    first, second = df.filter(F.col("seq") < cut), df.filter(F.col("seq") >= cut)
+    carry = running_totals(first, "seq", aggs, keys=["k"])
+    parts = running(first, "seq", aggs, keys=["k"], block=block, exclusive=exclusive).unionByName(
+        running(second, "seq", aggs, keys=["k"], block=block, exclusive=exclusive, carry=carry))
+    whole = running_plain(df, "seq", aggs, keys=["k"], exclusive=exclusive)
+    as_set = lambda d: sorted((r.k, r.seq, r.s, r.mx, r.mb) for r in d.collect())
+    assert as_set(parts) == as_set(whole)

@@ -15,7 +15,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.prefix import DEFAULT_BLOCK, running
+from tidemark.operators.prefix import DEFAULT_BLOCK, ScanSpec
 
 
 def union_all(*dfs: DataFrame) -> DataFrame:
@@ -69,6 +69,44 @@ def threshold_label(value: Column, threshold: Column, labels: tuple[str, str] =
     return F.when(value >= threshold, F.lit(labels[0])).otherwise(F.lit(labels[1]))
 
 
+def connect_latest_spec(
+    subject: DataFrame,
+    control: DataFrame,
+    seq: str,
+    value: str,
+    control_value: str,
+    initial: float,
+    labels: tuple[str, str, str] = PASS_LABELS,
+    keys: Sequence[str] = (),
+) -> ScanSpec:
+    keys = list(keys)
+    s = subject.select(
+        *keys,
+        F.col(seq).alias("__seq"),
+        F.struct(*[F.col(c) for c in subject.columns]).alias("subject"),
+        F.lit(None).cast("double").alias("__ctl"),
+    )
+    c = control.select(
+        *keys,
+        F.col(seq).alias("__seq"),
+        F.lit(None).cast(s.schema["subject"].dataType).alias("subject"),
+        F.col(control_value).cast("double").alias("__ctl"),
+    )
+    ctl_seq = F.when(F.col("__ctl").isNotNull(), F.col("__seq"))
+
+    def finish(scanned: DataFrame) -> DataFrame:
+        threshold = F.coalesce(F.col("__latest"), F.lit(float(initial)))
+        label = F.when(F.col("subject").isNull(), F.lit(labels[2])).otherwise(
+            threshold_label(F.col(f"subject.{value}"), threshold, labels[:2])
+        )
+        return scanned.select(
+            *keys, F.col("__seq").alias(seq), "subject", threshold.alias("threshold"), label.alias("label")
+        )
+
+    return ScanSpec(s.unionByName(c), "__seq", {"__latest": ("max_by", F.col("__ctl"), ctl_seq)}, keys,
+                    finish=finish)
+
+
 def connect_latest(
     subject: DataFrame,
     control: DataFrame,
@@ -97,26 +135,4 @@ def connect_latest(
     ``last(value, ignorenulls) over (partition by key order by seq)``; output
     then starts with the key columns.
     """
-    keys = list(keys)
-    s = subject.select(
-        *keys,
-        F.col(seq).alias("__seq"),
-        F.struct(*[F.col(c) for c in subject.columns]).alias("subject"),
-        F.lit(None).cast("double").alias("__ctl"),
-    )
-    c = control.select(
-        *keys,
-        F.col(seq).alias("__seq"),
-        F.lit(None).cast(s.schema["subject"].dataType).alias("subject"),
-        F.col(control_value).cast("double").alias("__ctl"),
-    )
-    both = s.unionByName(c)
-    ctl_seq = F.when(F.col("__ctl").isNotNull(), F.col("__seq"))
-    scanned = running(both, "__seq", {"__latest": ("max_by", F.col("__ctl"), ctl_seq)}, keys=keys, block=block)
-    threshold = F.coalesce(F.col("__latest"), F.lit(float(initial)))
-    label = F.when(F.col("subject").isNull(), F.lit(labels[2])).otherwise(
-        threshold_label(F.col(f"subject.{value}"), threshold, labels[:2])
-    )
-    return scanned.select(
-        *keys, F.col("__seq").alias(seq), "subject", threshold.alias("threshold"), label.alias("label")
-    )
+    return connect_latest_spec(subject, control, seq, value, control_value, initial, labels, keys).run(block)

@@ -20,10 +20,35 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.timecols import duration_us, epoch_us, like_input
-from tidemark.operators.prefix import DEFAULT_BLOCK, running
+from tidemark.operators.prefix import DEFAULT_BLOCK, ScanSpec
 from tidemark.operators.tumbling import WE, WS, with_window
 
 
+def classify_late_spec(
+    df: DataFrame,
+    ts: str,
+    seq: str,
+    bound: str | int | dt.timedelta,
+    size: str | int | dt.timedelta,
+    keys: Sequence[str] = (),
+) -> ScanSpec:
+    bound_us = duration_us(bound)
+    x = with_window(df, ts, size).withColumn("__t", epoch_us(df, ts))
+
+    def finish(d: DataFrame) -> DataFrame:
+        wm_us = F.col("__max_before") - F.lit(bound_us)
+        end_us = F.unix_micros(F.col(WE).cast("timestamp"))
+        return d.select(
+            *df.columns,
+            WS,
+            WE,
+            like_input(F.timestamp_micros(wm_us), df, ts).alias("wm_before"),
+            F.coalesce(end_us - F.lit(1_000) <= wm_us, F.lit(False)).alias("is_late"),
+        )
+
+    return ScanSpec(x, seq, {"__max_before": ("max", F.col("__t"))}, list(keys), exclusive=True, finish=finish)
+
+
 def classify_late(
     df: DataFrame,
     ts: str,
@@ -38,16 +63,4 @@ def classify_late(
     ``wm_before`` is the watermark just before the record arrived (null for
     the first record); ``keys`` gives per-key watermarks (default: one stream).
     """
-    bound_us = duration_us(bound)
-    x = with_window(df, ts, size).withColumn("__t", epoch_us(df, ts))
-    x = running(x, seq, {"__max_before": ("max", F.col("__t"))}, keys=keys, block=block, exclusive=True)
-    wm_us = F.col("__max_before") - F.lit(bound_us)
-    end_us = F.unix_micros(F.col(WE).cast("timestamp"))
-    wm_ts = like_input(F.timestamp_micros(wm_us), df, ts)
-    return x.select(
-        *df.columns,
-        WS,
-        WE,
-        wm_ts.alias("wm_before"),
-        F.coalesce(end_us - F.lit(1_000) <= wm_us, F.lit(False)).alias("is_late"),
-    )
+    return classify_late_spec(df, ts, seq, bound, size, keys).run(block)

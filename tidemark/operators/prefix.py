@@ -27,7 +27,8 @@ plain running frame whenever ``seq`` is unique within a key.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -42,15 +43,54 @@ _KINDS = {"sum": F.sum, "max": F.max, "min": F.min, "max_by": None}
 
 _BLK = "__blk"
 _ORD = "__carry_last"
+_FIRST_BLOCK = -(1 << 63)  # block id of a carry from earlier input
+
+
+class _Agg:
+    """One running aggregate: its input columns and how to combine them."""
+
+    def __init__(self, name: str, spec: tuple):
+        kind = spec[0]
+        if kind not in _KINDS:
+            raise ValueError(f"{name}: kind must be one of {sorted(_KINDS)}, got {kind!r}")
+        self.name, self.kind = name, kind
+        if kind == "max_by":
+            self.cols = [f"__in_{name}_v", f"__in_{name}_o"]
+            self.inputs = dict(zip(self.cols, spec[1:3]))
+        else:
+            self.cols = [f"__in_{name}"]
+            self.inputs = {self.cols[0]: spec[1]}
+
+    def combine(self, over=None) -> list[Column]:
+        """Partial results of the same aggregate merged (as group or window aggregate)."""
+        w = (lambda c: c.over(over)) if over is not None else (lambda c: c)
+        if self.kind == "max_by":
+            v, o = self.cols
+            return [w(F.max_by(v, o)).alias(v), w(F.max(o)).alias(o)]
+        c = self.cols[0]
+        return [w(_KINDS[self.kind](c)).alias(c)]
+
+    def result(self, over) -> Column:
+        return self.combine(over)[0].alias(self.name)
+
+
+def _prepare(df: DataFrame, aggs: dict, keys: Sequence[str], seq: str, block: int):
+    steps = [_Agg(name, spec) for name, spec in aggs.items()]
+    x = df.withColumn(_BLK, floor_div(F.col(seq), block))
+    for st in steps:
+        for c, expr in st.inputs.items():
+            x = x.withColumn(c, expr)
+    return steps, x
 
 
 def running(
     df: DataFrame,
     seq: str,
-    aggs: dict[str, tuple[str, Column] | tuple[str, Column, Column]],
+    aggs: dict[str, tuple],
     keys: Sequence[str] = (),
     block: int = DEFAULT_BLOCK,
     exclusive: bool = False,
+    carry: DataFrame | None = None,
 ) -> DataFrame:
     """Add one running-aggregate column per entry of ``aggs``.
 
@@ -59,54 +99,26 @@ def running(
     over rows of the same ``keys`` in ``seq`` order, from the first row to the
     current one (``exclusive=False``) or to the one before it
     (``exclusive=True``, null on the first row).
+
+    ``carry`` (from :func:`running_totals` over earlier rows, same ``aggs``)
+    is folded in ahead of every key's first row -- how a stream continues a
+    scan from one micro-batch to the next.
     """
-    for name, spec in aggs.items():
-        if spec[0] not in _KINDS:
-            raise ValueError(f"{name}: kind must be one of {sorted(_KINDS)}, got {spec[0]!r}")
     keys = list(keys)
     base_cols = df.columns
-
-    # Every aggregate becomes input columns plus three steps: block total,
-    # carry over earlier blocks, running value inside the block.
-    inputs: dict[str, Column] = {}
-    steps = []  # (output name, [block-total cols], [carry cols], final col)
-    for name, spec in aggs.items():
-        kind = spec[0]
-        if kind == "max_by":
-            v, o = f"__in_{name}_v", f"__in_{name}_o"
-            inputs[v], inputs[o] = spec[1], spec[2]
-            steps.append((
-                name,
-                [F.max_by(v, o).alias(v), F.max(o).alias(o)],
-                lambda w, v=v, o=o: [F.max_by(v, o).over(w).alias(v), F.max(o).over(w).alias(o)],
-                lambda w, v=v, o=o: F.max_by(v, o).over(w),
-                [v, o],
-            ))
-        else:
-            c = f"__in_{name}"
-            inputs[c] = spec[1]
-            fn = _KINDS[kind]
-            steps.append((
-                name,
-                [fn(c).alias(c)],
-                lambda w, c=c, fn=fn: [fn(c).over(w).alias(c)],
-                lambda w, c=c, fn=fn: fn(c).over(w),
-                [c],
-            ))
-    in_cols = list(inputs)
-
-    x = df.withColumn(_BLK, floor_div(F.col(seq), block))
-    for c, expr in inputs.items():
-        x = x.withColumn(c, expr)
+    steps, x = _prepare(df, aggs, keys, seq, block)
+    in_cols = [c for st in steps for c in st.cols]
 
     # (2) one partial per (key, block); (3) running over blocks, this one excluded.
-    totals = x.groupBy(*keys, _BLK).agg(*[e for st in steps for e in st[1]])
+    totals = x.groupBy(*keys, _BLK).agg(*[e for st in steps for e in st.combine()])
+    if carry is not None:
+        totals = totals.unionByName(carry.select(*keys, *in_cols).withColumn(_BLK, F.lit(_FIRST_BLOCK)))
     before = Window.partitionBy(*keys).orderBy(_BLK).rowsBetween(Window.unboundedPreceding, -1)
-    carry = totals.select(*keys, _BLK, *[e for st in steps for e in st[2](before)])
+    prefix = totals.select(*keys, _BLK, *[e for st in steps for e in st.combine(before)])
 
     # (4) carry row first in its block, then the real rows in seq order.
     types = dict(x.dtypes)
-    carry_rows = carry.select(
+    carry_rows = prefix.select(
         *[F.col(c) for c in keys],
         F.col(_BLK),
         *[F.col(c) for c in in_cols],
@@ -122,10 +134,52 @@ def running(
         .orderBy(_ORD, seq)
         .rowsBetween(Window.unboundedPreceding, upto)
     )
-    out = both.select(*base_cols, _ORD, *[st[3](frame).alias(st[0]) for st in steps])
+    out = both.select(*base_cols, _ORD, *[st.result(frame) for st in steps])
     return out.filter(F.col(_ORD)).drop(_ORD)
 
 
+def running_totals(
+    df: DataFrame,
+    seq: str,
+    aggs: dict[str, tuple],
+    keys: Sequence[str] = (),
+    carry: DataFrame | None = None,
+) -> DataFrame:
+    """Per key, the aggregates over all of ``df`` (plus ``carry``): the carry
+    for whatever comes after ``df``.  One row per key, internal column names."""
+    keys = list(keys)
+    steps, x = _prepare(df, aggs, keys, seq, 1)
+    in_cols = [c for st in steps for c in st.cols]
+    part = x.groupBy(*keys).agg(*[e for st in steps for e in st.combine()])
+    if carry is not None:
+        part = part.unionByName(carry.select(*keys, *in_cols))
+    return part.groupBy(*keys).agg(*[e for st in steps for e in st.combine()])
+
+
+@dataclass
+class ScanSpec:
+    """A prefix-scan operator as data: rows to scan, aggregates, and the
+    projection that turns running aggregates into the operator's output.
+
+    The batch operator is ``spec.run(block)``; the same spec drives the
+    micro-batch stream form (:func:`tidemark.streaming.scan.stream_scan`).
+    """
+
+    frame: DataFrame
+    seq: str
+    aggs: dict[str, tuple]
+    keys: list[str] = field(default_factory=list)
+    exclusive: bool = False
+    finish: Callable[[DataFrame], DataFrame] = lambda d: d
+
+    def run(self, block: int = DEFAULT_BLOCK, carry: DataFrame | None = None, frame: DataFrame | None = None):
+        src = self.frame if frame is None else frame
+        return self.finish(running(src, self.seq, self.aggs, self.keys, block, self.exclusive, carry))
+
+    def totals(self, frame: DataFrame, carry: DataFrame | None = None) -> DataFrame:
+        return running_totals(frame, self.seq, self.aggs, self.keys, carry)
+
+
 def running_plain(
     df: DataFrame,
     seq: str,

@@ -16,10 +16,24 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.prefix import DEFAULT_BLOCK, running
+from tidemark.operators.prefix import DEFAULT_BLOCK, ScanSpec
 from tidemark.operators.tumbling import mean_of
 
 
+def running_argmax_spec(
+    df: DataFrame,
+    keys: Sequence[str],
+    seq: str,
+    value: str,
+    payload: Sequence[str] = (),
+    name: str = "leader",
+) -> ScanSpec:
+    rec = F.struct(*[F.col(c) for c in (seq, value, *payload)])
+    ordered = F.struct(F.col(value).alias("v"), (-F.col(seq)).alias("o"), rec.alias("r"))
+    return ScanSpec(df, seq, {"__lead": ("max", ordered)}, list(keys),
+                    finish=lambda d: d.withColumn(name, F.col("__lead.r")).drop("__lead"))
+
+
 def running_argmax(
     df: DataFrame,
     keys: Sequence[str],
@@ -31,10 +45,21 @@ def running_argmax(
 ) -> DataFrame:
     """Add ``name``: struct(seq, value, payload...) of the row with the highest
     ``value`` among rows of the key up to and including this one."""
-    rec = F.struct(*[F.col(c) for c in (seq, value, *payload)])
-    ordered = F.struct(F.col(value).alias("v"), (-F.col(seq)).alias("o"), rec.alias("r"))
-    out = running(df, seq, {"__lead": ("max", ordered)}, keys=keys, block=block)
-    return out.withColumn(name, F.col("__lead.r")).drop("__lead")
+    return running_argmax_spec(df, keys, seq, value, payload, name).run(block)
+
+
+def running_mean_spec(
+    df: DataFrame,
+    keys: Sequence[str],
+    seq: str,
+    value: str,
+    exact_scale: int | None = None,
+) -> ScanSpec:
+    v = F.col(value) if exact_scale is None else F.col(value).cast(f"decimal(18,{exact_scale})")
+    return ScanSpec(
+        df, seq, {"__sum": ("sum", v), "n": ("sum", F.lit(1).cast("long"))}, list(keys),
+        finish=lambda d: d.withColumn("mean", mean_of(F.col("__sum"), F.col("n"))).drop("__sum"),
+    )
 
 
 def running_mean(
@@ -46,12 +71,4 @@ def running_mean(
     block: int = DEFAULT_BLOCK,
 ) -> DataFrame:
     """Add ``n`` and ``mean``: count and mean of ``value`` so far for the key."""
-    v = F.col(value) if exact_scale is None else F.col(value).cast(f"decimal(18,{exact_scale})")
-    out = running(
-        df,
-        seq,
-        {"__sum": ("sum", v), "n": ("sum", F.lit(1).cast("long"))},
-        keys=keys,
-        block=block,
-    )
-    return out.withColumn("mean", mean_of(F.col("__sum"), F.col("n"))).drop("__sum")
+    return running_mean_spec(df, keys, seq, value, exact_scale).run(block)

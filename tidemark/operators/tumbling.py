@@ -13,6 +13,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions.timecols import floor_div, window_bounds
 
@@ -20,7 +21,11 @@ WS, WE = "window_start", "window_end"
 
 
 def with_window(df: DataFrame, ts: str, size: str | int | dt.timedelta) -> DataFrame:
-    start, end = window_bounds(ts, size)
+    """Add ``window_start`` / ``window_end``; ``ts`` is a timestamp or epoch ms."""
+    t = F.col(ts)
+    if isinstance(df.schema[ts].dataType, (T.LongType, T.IntegerType)):
+        t = F.timestamp_millis(t)
+    start, end = window_bounds(t, size)
     return df.withColumn(WS, start).withColumn(WE, end)
 
 
