@@ -256,3 +256,17 @@ def test_stream_scan_forms_match_batch(spark, tmp_dir):
     assert got.count() == want.count() == 16
     # arrival order of two streams differs from seq order; every subject row still sees a threshold
     assert got.filter("threshold is null").count() == 0
+
+
+def test_stream_members_closed_windows(spark, tmp_dir):
+    from tidemark.streaming.windows import stream_tumbling_members
+
+    s = measured_stream(spark, tmp_dir, SEX_P9, HEIGHTS, per_file=3)
+    rows = run(stream_tumbling_members(s, ["sex"], "arrive_time", "seq", "5 minutes", cols=("id",), part_rows=2),
+               spark)
+    got = {}
+    for r in sorted(rows, key=lambda r: (r.sex, r.window_start, r.part)):
+        got.setdefault((r.sex, r.window_start), []).extend(m.id for m in r.members)
+    assert got[("m", _utc(13, 25))] == ["4", "5", "6"]
+    assert got[("f", _utc(13, 25))] == ["2", "3"]
+    assert max(r.n for r in rows) <= 2

@@ -23,7 +23,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.timecols import duration_us, event_time, interval, spark_duration
+from tidemark.functions.timecols import duration_us, event_time, floor_div, interval, spark_duration
 from tidemark.operators.tumbling import WE, WS, exact_mean, mean_of
 
 ET = "event_time"
@@ -96,16 +96,20 @@ def stream_tumbling_members(
     seq: str,
     size: str | int | dt.timedelta,
     cols: Sequence[str] = (),
+    part_rows: int = 1 << 16,
     delay: str | int | dt.timedelta = 0,
     close_at_last_instant: bool = False,
 ) -> DataFrame:
-    """Append-mode members of each closed window, sorted by ``seq``."""
+    """Append-mode members of each closed window, sorted by ``seq``, in parts
+    of at most ``part_rows`` members (as the batch form), so no state row grows
+    with the window."""
     member = F.struct(*[F.col(c) for c in (seq, *cols)])
     w = watermarked(df, ts, delay, close_at_last_instant)
     return (
-        w.groupBy(*keys, F.window(F.col(ET), spark_duration(size)).alias("__w"))
+        w.groupBy(*keys, F.window(F.col(ET), spark_duration(size)).alias("__w"),
+                  floor_div(F.col(seq), part_rows).alias("part"))
         .agg(F.count(F.lit(1)).alias("n"), F.collect_list(member).alias("__m"))
-        .select(*keys, F.col("__w.start").alias(WS), F.col("__w.end").alias(WE), "n",
+        .select(*keys, F.col("__w.start").alias(WS), F.col("__w.end").alias(WE), "part", "n",
                 F.sort_array("__m").alias("members"))
     )
 
