@@ -133,7 +133,8 @@ def test_stream_evicting_mean(spark, tmp_dir):
     ]
 
 
-def test_stream_interval_join_program13(spark, tmp_dir):
+@pytest.mark.parametrize("bucketed", [True, False])
+def test_stream_interval_join_program13(spark, tmp_dir, bucketed):
     sch = pa.schema([("id", pa.string()), ("grade", pa.string()), ("height", pa.float64()), ("t", pa.int64())])
 
     def side(name, ids, hs):
@@ -145,7 +146,7 @@ def test_stream_interval_join_program13(spark, tmp_dir):
 
     men, women = side("left", MEN_IDS, MEN_H), side("right", WOMEN_IDS, WOMEN_H)
     j = stream_interval_join(men, women, "l_grade", "r_grade", "l_t", "r_t", "-1 minute", "3 minutes",
-                             residual=F.col("l_height") < F.col("r_height"))
+                             residual=F.col("l_height") < F.col("r_height"), bucketed=bucketed)
     rows = run(j.select("l_id", "r_id"), spark)
     assert len(rows) == 39
 

@@ -126,12 +126,16 @@ def stream_interval_join(
     residual: Column | None = None,
     left_delay: str | int | dt.timedelta = 0,
     right_delay: str | int | dt.timedelta = 0,
+    bucketed: bool = True,
 ) -> DataFrame:
     """Stream-stream inner interval join; state is dropped as watermarks pass.
 
     Both inputs get a watermark on their TIMESTAMP time column
     (``left_event_time`` / ``right_event_time``); the range predicate on those
-    columns lets Spark bound the join state of each side.
+    columns lets Spark bound the join state of each side.  ``bucketed`` adds
+    the time bucket of the batch form to the join key (left rows repeated for
+    the buckets their interval touches, right rows in one), so one hot key is
+    spread over partitions instead of one state-store partition.
     """
     lo_us, hi_us = duration_us(lower), duration_us(upper)
     lw = left.withColumn("left_event_time", event_time(left, left_ts)).withWatermark(
@@ -145,4 +149,11 @@ def stream_interval_join(
     )
     if residual is not None:
         cond = cond & residual
-    return lw.join(rw, cond, "inner")
+    if not bucketed:
+        return lw.join(rw, cond, "inner")
+    width = max(hi_us - lo_us, 1)
+    lt = F.unix_micros(F.col("left_event_time"))
+    lw = lw.withColumn("__lbkt", F.explode(F.sequence(floor_div(lt + F.lit(lo_us), width),
+                                                      floor_div(lt + F.lit(hi_us), width))))
+    rw = rw.withColumn("__rbkt", floor_div(F.unix_micros(F.col("right_event_time")), width))
+    return lw.join(rw, cond & (F.col("__lbkt") == F.col("__rbkt")), "inner").drop("__lbkt", "__rbkt")
