@@ -271,3 +271,26 @@ def test_stream_members_closed_windows(spark, tmp_dir):
     assert got[("m", _utc(13, 25))] == ["4", "5", "6"]
     assert got[("f", _utc(13, 25))] == ["2", "3"]
     assert max(r.n for r in rows) <= 2
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables not present")
+def test_driver_events_stateful_windows_match_batch(spark):
+    """Early and evicting windows over events as a stream: closed windows equal batch."""
+    from tidemark.operators.firing import early_mean, evicting_mean
+
+    batch_df = spark.read.parquet(f"{SF}/events.parquet")
+    s = stream_table(spark, f"{SF}/events*.parquet", batch_df.schema)
+    last_start = batch_df.select(F.max(F.date_trunc("day", "ts"))).first()[0]
+
+    streamed = run(stream_early_mean(s, ["event_type"], "ts", "value", "event_id", "1 day", exact_scale=2), spark)
+    want = early_mean(batch_df, ["event_type"], "ts", "value", "event_id", "1 day", exact_scale=2, block=64)
+    key = lambda r: (r.event_type, r.window_start, r.firing, r.at_seq, r.n, r.mean)
+    # early reports are emitted as rows arrive; final ones once the window has closed
+    closed = lambda r, final: r.window_start < last_start or r.firing != final
+    assert sorted(map(key, streamed)) == sorted(key(r) for r in want.collect() if closed(r, "final"))
+
+    streamed = run(stream_evicting_mean(s, ["event_type"], "ts", "value", "event_id", "1 day", exact_scale=2), spark)
+    want = evicting_mean(batch_df, ["event_type"], "ts", "value", "event_id", "1 day", exact_scale=2)
+    key = lambda r: (r.event_type, r.window_start, r.firing, r.kind, r.at_seq, r.n, r.mean)
+    assert sorted(map(key, streamed)) == sorted(
+        key(r) for r in want.collect() if r.window_start < last_start or r.kind != "final")
