@@ -12,7 +12,7 @@ from fixture_data import (AGE_P7, HEIGHTS, HEIGHTS_P12, LEFT_AT, MEASURED, MEASU
 from tidemark.functions.parse import parse_delimited
 from tidemark.functions.timecols import from_millis
 from tidemark.operators.firing import early_mean, evicting_mean
-from tidemark.operators.lateness import classify_late
+from tidemark.operators.lateness import classify_late, drop_late
 from tidemark.operators.running import running_argmax, running_mean
 from tidemark.operators.tumbling import tumbling_extremes, tumbling_mean, tumbling_members
 
@@ -151,3 +151,13 @@ def test_classify_late(spark):
     assert not any(got[i] for i in range(1, 12))
     first = out.filter(F.col("seq") == 1).collect()[0]
     assert first.wm_before is None
+
+
+def test_drop_late_then_window(spark):
+    lines = left_at_lines() + [f"12,p12,m,20,{T6 + 2}", f"13,p13,m,20,{T6 + 11}"]
+    df = parse_delimited(lines_df(spark, lines), LEFT_AT, keep=("seq",))
+    df = df.withColumn("ts", from_millis("out_time"))
+    kept = drop_late(df, "ts", "seq", bound=5, size=5, block=4)
+    out = tumbling_members(kept, (), "ts", "seq", 5, cols=("id",)).collect()
+    got = sorted((int((r.window_start.timestamp() * 1000) - T6), [m.id for m in r.members]) for r in out)
+    assert got == [(0, ["1", "2", "3", "4", "5"]), (5, ["6", "7", "8", "9", "10"]), (10, ["11", "13"])]

@@ -10,7 +10,7 @@ from tidemark.operators.compose import (connect_latest, explode_routes, route, r
                                         threshold_label, union_all)
 from tidemark.operators.firing import early_mean, evicting_mean
 from tidemark.operators.joins import interval_join
-from tidemark.operators.lateness import classify_late
+from tidemark.operators.lateness import classify_late, drop_late
 from tidemark.operators.prefix import running, running_totals
 from tidemark.operators.running import running_argmax, running_mean
 from tidemark.operators.tumbling import tumbling_extremes, tumbling_mean, tumbling_members
@@ -19,7 +19,7 @@ from tidemark.sources.files import (lines_of, read_lines, read_table, start_stre
                                     stream_table, write_routes)
 
 __all__ = [
-    "classify_late", "connect_latest", "early_mean", "event_time", "evicting_mean", "explode_routes",
+    "classify_late", "connect_latest", "drop_late", "early_mean", "event_time", "evicting_mean", "explode_routes",
     "from_millis", "get_session", "grouped_number", "interval_join", "lines_of", "message", "parse_delimited",
     "parse_scalar", "read_lines", "read_table", "render_record", "route", "route_one", "running",
     "running_argmax", "running_mean", "running_totals", "select_route", "start_stream", "stream_lines",

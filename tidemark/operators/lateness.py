@@ -64,3 +64,21 @@ def classify_late(
     the first record); ``keys`` gives per-key watermarks (default: one stream).
     """
     return classify_late_spec(df, ts, seq, bound, size, keys).run(block)
+
+
+def drop_late(
+    df: DataFrame,
+    ts: str,
+    seq: str,
+    bound: str | int | dt.timedelta,
+    size: str | int | dt.timedelta,
+    keys: Sequence[str] = (),
+    block: int = DEFAULT_BLOCK,
+) -> DataFrame:
+    """The rows a bounded-out-of-order watermark would let into their window.
+
+    Windowing the result with the same ``size`` gives what the original emits
+    when late rows are discarded (no allowed lateness, no side output).
+    """
+    kept = classify_late(df, ts, seq, bound, size, keys, block).filter(~F.col("is_late"))
+    return kept.select(*df.columns)
