@@ -171,6 +171,18 @@ SELECT o_orderkey, o_orderdate, window_start, window_end, make_timestamp(wm) AS
 FROM x
 """
 
+ONTIME_ORDERS_DAILY = f"""
+WITH x AS (
+  SELECT o_orderdate, o_totalprice, {_OE} AS window_end,
+         max(epoch_us(o_orderdate)) OVER (ORDER BY o_orderkey ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+           - 1200 * {DAY_US} AS wm
+  FROM orders)
+SELECT {_OS} AS window_start, {_OE} AS window_end, count(o_totalprice) AS n,
+       CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) / count(o_totalprice) AS mean
+FROM x WHERE NOT coalesce(epoch_us(window_end) - 1000 <= wm, false)
+GROUP BY ALL
+"""
+
 _JOIN = """
 SELECT l.user_id, l.event_id AS left_id, r.event_id AS right_id, r.user_id AS right_user,
        l.ts AS left_ts, r.ts AS right_ts, l.value AS left_value, r.value AS right_value
@@ -218,6 +230,7 @@ ORACLES = {
     "early_mean": EARLY_MEAN,
     "evicting_mean": EVICTING_MEAN,
     "late_orders": LATE_ORDERS,
+    "ontime_orders_daily": ONTIME_ORDERS_DAILY,
     "interval_join": INTERVAL_JOIN,
     "match_message": MATCH_MESSAGE,
 }

@@ -25,7 +25,7 @@ from tidemark.functions.parse import parse_delimited, to_line
 from tidemark.operators.compose import connect_latest, explode_routes, route, union_all
 from tidemark.operators.firing import early_mean, evicting_mean
 from tidemark.operators.joins import interval_join
-from tidemark.operators.lateness import classify_late
+from tidemark.operators.lateness import classify_late, drop_late
 from tidemark.operators.running import running_argmax, running_mean
 from tidemark.operators.tumbling import tumbling_extremes, tumbling_mean, tumbling_members
 from tidemark.session import pin_utc
@@ -173,6 +173,14 @@ def late_orders(spark, sf_dir):
     return classify_late(o, "o_orderdate", "o_orderkey", LATE_BOUND, DAY, block=_block(spark))
 
 
+def ontime_orders_daily(spark, sf_dir):
+    """T4 + W2: late orders discarded, then a daily count and exact total."""
+    o = _t(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", "o_totalprice")
+    kept = drop_late(o, "o_orderdate", "o_orderkey", LATE_BOUND, DAY, block=_block(spark))
+    daily = tumbling_mean(kept, (), "o_orderdate", "o_totalprice", DAY, exact_scale=SCALE)
+    return daily.select("window_start", "window_end", "n", "mean")
+
+
 def _click_purchase(spark, sf_dir) -> DataFrame:
     e = _t(spark, sf_dir, "events")
     left = e.filter(F.col("event_type") == "click").select(
@@ -220,6 +228,7 @@ QUERIES = {
     "early_mean": early_mean_q,
     "evicting_mean": evicting_mean_q,
     "late_orders": late_orders,
+    "ontime_orders_daily": ontime_orders_daily,
     "interval_join": interval_join_q,
     "match_message": match_message,
 }
