@@ -38,6 +38,16 @@ PARSE_ORDERS = """
 SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM orders
 """
 
+PARSE_MARKS = """
+SELECT event_id, value AS mark FROM events WHERE event_type = 'signup'
+"""
+
+RENDER_EVENTS = """
+SELECT event_id, CAST(to_json(struct_pack(event_id := event_id, event_type := event_type, value := value))
+                      AS VARCHAR) AS text
+FROM events
+"""
+
 UNION_ORDERS = """
 SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders WHERE o_orderstatus = 'F'
 UNION ALL
@@ -219,6 +229,8 @@ FROM ({_JOIN})
 ORACLES = {
     "scan_lines": SCAN_LINES,
     "parse_orders": PARSE_ORDERS,
+    "parse_marks": PARSE_MARKS,
+    "render_events": RENDER_EVENTS,
     "union_orders": UNION_ORDERS,
     "route_purchases": ROUTE_PURCHASES,
     "connect_threshold": CONNECT_THRESHOLD,

@@ -20,8 +20,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.format import message
-from tidemark.functions.parse import parse_delimited, to_line
+from tidemark.functions.format import message, render_record
+from tidemark.functions.parse import parse_delimited, parse_scalar, to_line
 from tidemark.operators.compose import connect_latest, explode_routes, route, union_all
 from tidemark.operators.firing import early_mean, evicting_mean
 from tidemark.operators.joins import interval_join
@@ -85,6 +85,19 @@ def parse_orders(spark, sf_dir):
     )
 
 
+def parse_marks(spark, sf_dir):
+    """Signup values as one-number lines (a control stream), parsed back."""
+    e = _t(spark, sf_dir, "events").filter(F.col("event_type") == "signup")
+    lines = e.select("event_id", F.col("value").cast("string").alias("value"))
+    return parse_scalar(lines, "mark", keep=("event_id",))
+
+
+def render_events(spark, sf_dir):
+    """P5: every event rendered as one JSON text line."""
+    e = _t(spark, sf_dir, "events")
+    return e.select("event_id", render_record("event_id", "event_type", "value").alias("text"))
+
+
 def union_orders(spark, sf_dir):
     """Finished orders plus all orders (overlapping inputs, bag union)."""
     o = _t(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
@@ -217,6 +230,8 @@ def match_message(spark, sf_dir):
 QUERIES = {
     "scan_lines": scan_lines,
     "parse_orders": parse_orders,
+    "parse_marks": parse_marks,
+    "render_events": render_events,
     "union_orders": union_orders,
     "route_purchases": route_purchases,
     "connect_threshold": connect_threshold,
