@@ -294,3 +294,14 @@ def test_driver_events_stateful_windows_match_batch(spark):
     key = lambda r: (r.event_type, r.window_start, r.firing, r.kind, r.at_seq, r.n, r.mean)
     assert sorted(map(key, streamed)) == sorted(
         key(r) for r in want.collect() if r.window_start < last_start or r.kind != "final")
+
+
+def test_stream_early_mean_drops_row_behind_watermark(spark, tmp_dir):
+    folder = os.path.join(tmp_dir, "in")
+    late = {"seq": 13, "id": "13", "sex": "m", "height": 300.0, "arrive_time": T0 + MINUTE + 5000}
+    land(folder, measured_rows(["m"] * 12, HEIGHTS) + [late], MEASURED_PA, 1)
+    s = stream_table(spark, folder, spark.read.parquet(folder).schema, max_files_per_trigger=1)
+    rows = run(stream_early_mean(s, ["sex"], "arrive_time", "height", "seq", "5 minutes"), spark)
+    finals = sorted((r.window_start, r.n, r.mean) for r in rows if r.firing == "final")
+    assert finals == [(_utc(13, 20), 1, 168.0), (_utc(13, 25), 5, 174.0), (_utc(13, 30), 5, 166.6)]
+    assert all(r.at_seq != 13 for r in rows)
