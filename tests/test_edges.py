@@ -80,3 +80,17 @@ def test_prefix_block_size_does_not_change_results(spark, block):
     got = sorted(tuple(r) for r in running_mean(ev, ["user_id"], "event_id", "value", exact_scale=2,
                                                 block=block).collect())
     assert got == ref
+
+
+def test_null_values_are_skipped(spark):
+    base = dt.datetime(2024, 1, 1)
+    rows = [("a", base, 1, 10.0), ("a", base, 2, None), ("a", base, 3, 20.0), ("a", base, 4, 30.0),
+            ("a", base, 5, 40.0)]
+    df = spark.createDataFrame(rows, "k string, ts timestamp_ntz, seq long, v double")
+    got = {r.seq: (r.n, r.mean) for r in running_mean(df, ["k"], "seq", "v", block=2).collect()}
+    assert got[2] == (1, 10.0) and got[3] == (2, 15.0)
+    assert tumbling_mean(df, ["k"], "ts", "v", "1 day").first().n == 4
+    early = {(r.firing, r.n, r.mean) for r in early_mean(df, ["k"], "ts", "v", "seq", "1 day", block=2).collect()}
+    assert early == {("early", 4, 25.0), ("final", 4, 25.0)}
+    ev = sorted((r.firing, r.kind, r.n, r.mean) for r in evicting_mean(df, ["k"], "ts", "v", "seq", "1 day").collect())
+    assert ev == [(1, "count", 3, 20.0), (2, "final", 3, 30.0)]

@@ -49,10 +49,10 @@ def early_mean(
     ``firing = 'early'``: one row per input row that is the ``n``-th of its
     window with ``n > min_rows``; mean of the first ``n`` rows.
     ``firing = 'final'``: one row per window, mean of all its rows,
-    ``at_seq`` = its last ``seq``.
+    ``at_seq`` = its last ``seq``.  Rows with a null value never enter a window.
     """
     gk = [*keys, WS, WE]
-    x = with_window(df, ts, size)
+    x = with_window(df.filter(F.col(value).isNotNull()), ts, size)
     v = F.col(value) if exact_scale is None else F.col(value).cast(f"decimal(18,{exact_scale})")
     run = running(
         x.select(*gk, seq, v.alias("__v")),
@@ -177,9 +177,11 @@ def evicting_mean(
     ``kind='final'``: the report at window end over the ``n`` rows left.
     ``exact_scale`` sums values as integers at that many decimals (the same
     rule as the SQL oracle); otherwise doubles are summed in buffer order.
+    Rows with a null value never enter a window (SQL aggregates skip nulls).
     """
     gk = [*keys, WS, WE]
-    x = with_window(df, ts, size).select(*gk, F.col(seq).cast("long").alias(seq), F.col(value).cast("double").alias(value))
+    x = with_window(df.filter(F.col(value).isNotNull()), ts, size).select(
+        *gk, F.col(seq).cast("long").alias(seq), F.col(value).cast("double").alias(value))
     schema = T.StructType(
         [x.schema[c] for c in gk]
         + [

@@ -56,8 +56,9 @@ def running_mean_spec(
     exact_scale: int | None = None,
 ) -> ScanSpec:
     v = F.col(value) if exact_scale is None else F.col(value).cast(f"decimal(18,{exact_scale})")
+    counted = F.when(F.col(value).isNotNull(), F.lit(1)).otherwise(F.lit(0)).cast("long")
     return ScanSpec(
-        df, seq, {"__sum": ("sum", v), "n": ("sum", F.lit(1).cast("long"))}, list(keys),
+        df, seq, {"__sum": ("sum", v), "n": ("sum", counted)}, list(keys),
         finish=lambda d: d.withColumn("mean", mean_of(F.col("__sum"), F.col("n"))).drop("__sum"),
     )
 
@@ -70,5 +71,6 @@ def running_mean(
     exact_scale: int | None = None,
     block: int = DEFAULT_BLOCK,
 ) -> DataFrame:
-    """Add ``n`` and ``mean``: count and mean of ``value`` so far for the key."""
+    """Add ``n`` and ``mean``: count and mean of the non-null ``value``\ s so far
+    for the key (nulls are skipped, as SQL aggregates skip them)."""
     return running_mean_spec(df, keys, seq, value, exact_scale).run(block)
