@@ -71,6 +71,6 @@ def running_mean(
     exact_scale: int | None = None,
     block: int = DEFAULT_BLOCK,
 ) -> DataFrame:
-    """Add ``n`` and ``mean``: count and mean of the non-null ``value``\ s so far
+    """Add ``n`` and ``mean``: count and mean of the non-null values so far
     for the key (nulls are skipped, as SQL aggregates skip them)."""
     return running_mean_spec(df, keys, seq, value, exact_scale).run(block)
