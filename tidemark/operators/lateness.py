@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.timecols import duration_us, epoch_us, like_input
 from tidemark.operators.prefix import DEFAULT_BLOCK, ScanSpec
-from tidemark.operators.tumbling import WE, WS, with_window
+from tidemark.operators.tumbling import WE, WS, window_cols
 
 
 def classify_late_spec(
@@ -33,7 +33,7 @@ def classify_late_spec(
     keys: Sequence[str] = (),
 ) -> ScanSpec:
     bound_us = duration_us(bound)
-    x = with_window(df, ts, size).withColumn("__t", epoch_us(df, ts))
+    x = df.select("*", *window_cols(df, ts, size), epoch_us(df, ts).alias("__t"))
 
     def finish(d: DataFrame) -> DataFrame:
         wm_us = F.col("__max_before") - F.lit(bound_us)

@@ -76,10 +76,8 @@ class _Agg:
 
 def _prepare(df: DataFrame, aggs: dict, keys: Sequence[str], seq: str, block: int):
     steps = [_Agg(name, spec) for name, spec in aggs.items()]
-    x = df.withColumn(_BLK, floor_div(F.col(seq), block))
-    for st in steps:
-        for c, expr in st.inputs.items():
-            x = x.withColumn(c, expr)
+    inputs = [expr.alias(c) for st in steps for c, expr in st.inputs.items()]
+    x = df.select("*", floor_div(F.col(seq), block).alias(_BLK), *inputs)  # one projection, one analysis
     return steps, x
 
 
@@ -117,7 +115,7 @@ def running(
     prefix = totals.select(*keys, _BLK, *[e for st in steps for e in st.combine(before)])
 
     # (4) carry row first in its block, then the real rows in seq order.
-    types = dict(x.dtypes)
+    types = {f.name: f.dataType for f in df.schema.fields}
     carry_rows = prefix.select(
         *[F.col(c) for c in keys],
         F.col(_BLK),
@@ -125,8 +123,8 @@ def running(
         *[F.lit(None).cast(types[c]).alias(c) for c in base_cols if c not in keys],
         F.lit(False).alias(_ORD),
     )
-    rows = x.withColumn(_ORD, F.lit(True))
-    both = rows.unionByName(carry_rows)
+    rows = x.select(*keys, _BLK, *in_cols, *[c for c in base_cols if c not in keys], F.lit(True).alias(_ORD))
+    both = rows.union(carry_rows)  # same column order on both sides
 
     upto = -1 if exclusive else Window.currentRow
     frame = (
@@ -135,7 +133,7 @@ def running(
         .rowsBetween(Window.unboundedPreceding, upto)
     )
     out = both.select(*base_cols, _ORD, *[st.result(frame) for st in steps])
-    return out.filter(F.col(_ORD)).drop(_ORD)
+    return out.filter(F.col(_ORD)).select(*base_cols, *[st.name for st in steps])
 
 
 def running_totals(

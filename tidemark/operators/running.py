@@ -30,8 +30,8 @@ def running_argmax_spec(
 ) -> ScanSpec:
     rec = F.struct(*[F.col(c) for c in (seq, value, *payload)])
     ordered = F.struct(F.col(value).alias("v"), (-F.col(seq)).alias("o"), rec.alias("r"))
-    return ScanSpec(df, seq, {"__lead": ("max", ordered)}, list(keys),
-                    finish=lambda d: d.withColumn(name, F.col("__lead.r")).drop("__lead"))
+    out_cols = [*df.columns, F.col("__lead.r").alias(name)]
+    return ScanSpec(df, seq, {"__lead": ("max", ordered)}, list(keys), finish=lambda d: d.select(*out_cols))
 
 
 def running_argmax(
@@ -59,7 +59,7 @@ def running_mean_spec(
     counted = F.when(F.col(value).isNotNull(), F.lit(1)).otherwise(F.lit(0)).cast("long")
     return ScanSpec(
         df, seq, {"__sum": ("sum", v), "n": ("sum", counted)}, list(keys),
-        finish=lambda d: d.withColumn("mean", mean_of(F.col("__sum"), F.col("n"))).drop("__sum"),
+        finish=lambda d: d.select(*df.columns, "n", mean_of(F.col("__sum"), F.col("n")).alias("mean")),
     )
 
 

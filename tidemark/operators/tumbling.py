@@ -20,13 +20,18 @@ from tidemark.functions.timecols import floor_div, window_bounds
 WS, WE = "window_start", "window_end"
 
 
-def with_window(df: DataFrame, ts: str, size: str | int | dt.timedelta) -> DataFrame:
-    """Add ``window_start`` / ``window_end``; ``ts`` is a timestamp or epoch ms."""
+def window_cols(df: DataFrame, ts: str, size: str | int | dt.timedelta) -> tuple[Column, Column]:
+    """``window_start`` / ``window_end`` columns; ``ts`` is a timestamp or epoch ms."""
     t = F.col(ts)
     if isinstance(df.schema[ts].dataType, (T.LongType, T.IntegerType)):
         t = F.timestamp_millis(t)
     start, end = window_bounds(t, size)
-    return df.withColumn(WS, start).withColumn(WE, end)
+    return start.alias(WS), end.alias(WE)
+
+
+def with_window(df: DataFrame, ts: str, size: str | int | dt.timedelta) -> DataFrame:
+    """Add ``window_start`` / ``window_end``."""
+    return df.select("*", *window_cols(df, ts, size))
 
 
 def exact_mean(value: str | Column, scale: int | None) -> tuple[Column, Column]:

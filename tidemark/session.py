@@ -30,6 +30,9 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.streaming.stateStore.providerClass": STATE_STORE_PROVIDER,
+    # Call-site capture for error messages costs a JVM round trip per column
+    # function while plans are built; off for jobs, on for interactive debugging.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

@@ -58,9 +58,21 @@ def read_lines(spark: SparkSession, path: str, with_seq: bool = False) -> DataFr
         "value", (F.col("__offset") + F.col("__mid") - F.col("__first")).alias("seq"))
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One of the driver tables: ``{sf_dir}/{name}.parquet``."""
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+_TABLES: dict[tuple[str, str], DataFrame] = {}
+
+
+def read_table(spark: SparkSession, sf_dir: str, name: str, fresh: bool = False) -> DataFrame:
+    """One of the driver tables: ``{sf_dir}/{name}.parquet``.
+
+    The DataFrame (a lazy plan: file listing and schema, no data) is made once
+    per application and path and then reused, like a table registered once;
+    ``fresh=True`` lists the files again.
+    """
+    path = os.path.join(sf_dir, f"{name}.parquet")
+    key = (spark.sparkContext.applicationId, path)
+    if fresh or key not in _TABLES:
+        _TABLES[key] = spark.read.parquet(path)
+    return _TABLES[key]
 
 
 def lines_of(df: DataFrame, text: str, id_cols: tuple[str, ...] = ()) -> DataFrame:
