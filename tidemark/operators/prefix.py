@@ -27,6 +27,7 @@ plain running frame whenever ``seq`` is unique within a key.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
@@ -46,6 +47,22 @@ _ORD = "__carry_last"
 _FIRST_BLOCK = -(1 << 63)  # block id of a carry from earlier input
 
 
+def auto_block(df: DataFrame, seq: str, floor: int = 1 << 16, ceiling: int = 1 << 22) -> int:
+    """A block size for :func:`running` from the range of ``seq``.
+
+    ``sqrt(range)`` rounded up to a power of two balances the two sides of the
+    scan: at most about ``sqrt(range)`` rows per (key, block) task and per
+    key's block table.  Below ``floor`` blocks would only add block-table rows
+    (with many keys the table nears the row count), so small inputs get one or
+    a few blocks.  Costs one narrow aggregate (min/max of one column).
+    """
+    lo, hi = df.agg(F.min(seq), F.max(seq)).first()
+    if lo is None:
+        return floor
+    width = max(int(hi) - int(lo) + 1, 1)
+    return max(floor, min(ceiling, 1 << max(0, math.isqrt(width - 1).bit_length())))
+
+
 class _Agg:
     """One running aggregate: its input columns and how to combine them."""
 

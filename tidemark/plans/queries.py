@@ -10,8 +10,10 @@ Conventions shared with the oracles:
 * ``events.value`` has at most two decimals; means are summed exactly as
   ``decimal(18,2)`` and divided once, so results agree to the last bit however
   the rows are partitioned.
-* Prefix scans use ``tidemark.scan.block`` from the session (default 4096, so
-  the multi-block path runs even at test scale; a cluster sets ~2**20).
+* Prefix scans use ``tidemark.scan.block`` from the session when set, else a
+  block of about sqrt(seq range), at least 2**16
+  (:func:`tidemark.operators.prefix.auto_block`): 2**16 up to 2**32 rows, 2**20
+  at 10**12.  Tests pin small blocks to exercise the multi-block path.
 """
 
 from __future__ import annotations
@@ -26,6 +28,7 @@ from tidemark.operators.compose import connect_latest, explode_routes, route, un
 from tidemark.operators.firing import early_mean, evicting_mean
 from tidemark.operators.joins import interval_join
 from tidemark.operators.lateness import classify_late, drop_late
+from tidemark.operators.prefix import auto_block
 from tidemark.operators.running import running_argmax, running_mean
 from tidemark.operators.tumbling import tumbling_extremes, tumbling_mean, tumbling_members
 from tidemark.session import pin_utc
@@ -44,8 +47,10 @@ EVICT_EVERY = 3
 SCALE = 2
 
 
-def _block(spark: SparkSession) -> int:
-    return int(spark.conf.get("tidemark.scan.block", "4096"))
+def _block(spark: SparkSession, df: DataFrame, seq: str) -> int:
+    """``tidemark.scan.block`` when the session sets it, else sized from the data."""
+    fixed = spark.conf.get("tidemark.scan.block", None)
+    return int(fixed) if fixed else auto_block(df, seq)
 
 
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -121,7 +126,7 @@ def connect_threshold(spark, sf_dir):
     subject = e.filter(F.col("event_type") == "purchase").select("event_id", "user_id", "value")
     control = e.filter(F.col("event_type") == "signup").select("event_id", "value")
     out = connect_latest(subject, control, seq="event_id", value="value", control_value="value",
-                         initial=CONNECT_INITIAL, block=_block(spark))
+                         initial=CONNECT_INITIAL, block=_block(spark, e, "event_id"))
     return out.select("event_id", F.col("subject.user_id").alias("user_id"),
                       F.col("subject.value").alias("value"), "threshold", "label")
 
@@ -137,7 +142,7 @@ def window_members(spark, sf_dir):
 def running_oldest(spark, sf_dir):
     """A5: per event type, the running arg-max of value (first arrival wins ties)."""
     e = _t(spark, sf_dir, "events").select("event_id", "event_type", "value")
-    r = running_argmax(e, ["event_type"], "event_id", "value", block=_block(spark))
+    r = running_argmax(e, ["event_type"], "event_id", "value", block=_block(spark, e, "event_id"))
     return r.select("event_id", "event_type", "value",
                     F.col("leader.event_id").alias("leader_id"), F.col("leader.value").alias("leader_value"))
 
@@ -162,7 +167,7 @@ def tumbling_extremes_q(spark, sf_dir):
 def running_mean_q(spark, sf_dir):
     """A6/ST1: running mean value per user, one row per event."""
     e = _t(spark, sf_dir, "events").select("event_id", "user_id", "value")
-    r = running_mean(e, ["user_id"], "event_id", "value", exact_scale=SCALE, block=_block(spark))
+    r = running_mean(e, ["user_id"], "event_id", "value", exact_scale=SCALE, block=_block(spark, e, "event_id"))
     return r.select("event_id", "user_id", "n", "mean")
 
 
@@ -170,7 +175,7 @@ def early_mean_q(spark, sf_dir):
     """TR1/TR3/A4: daily mean per type, early reports from the 4th row on."""
     e = _t(spark, sf_dir, "events")
     return early_mean(e, ["event_type"], "ts", "value", "event_id", DAY,
-                      min_rows=EARLY_MIN_ROWS, exact_scale=SCALE, block=_block(spark))
+                      min_rows=EARLY_MIN_ROWS, exact_scale=SCALE, block=_block(spark, e, "event_id"))
 
 
 def evicting_mean_q(spark, sf_dir):
@@ -183,13 +188,13 @@ def evicting_mean_q(spark, sf_dir):
 def late_orders(spark, sf_dir):
     """Orders in key order against a 1,200-day bounded watermark."""
     o = _t(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
-    return classify_late(o, "o_orderdate", "o_orderkey", LATE_BOUND, DAY, block=_block(spark))
+    return classify_late(o, "o_orderdate", "o_orderkey", LATE_BOUND, DAY, block=_block(spark, o, "o_orderkey"))
 
 
 def ontime_orders_daily(spark, sf_dir):
     """T4 + W2: late orders discarded, then a daily count and exact total."""
     o = _t(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", "o_totalprice")
-    kept = drop_late(o, "o_orderdate", "o_orderkey", LATE_BOUND, DAY, block=_block(spark))
+    kept = drop_late(o, "o_orderdate", "o_orderkey", LATE_BOUND, DAY, block=_block(spark, o, "o_orderkey"))
     daily = tumbling_mean(kept, (), "o_orderdate", "o_totalprice", DAY, exact_scale=SCALE)
     return daily.select("window_start", "window_end", "n", "mean")
 
