@@ -88,3 +88,45 @@ def test_scan_continued_with_carry_equals_one_scan(spark, rows, block, cut, excl
     whole = running_plain(df, "seq", aggs, keys=["k"], exclusive=exclusive)
     as_set = lambda d: sorted((r.k, r.seq, r.s, r.mx, r.mb) for r in d.collect())
     assert as_set(parts) == as_set(whole)
+
+
+@SETTINGS
+@given(
+    left=st.lists(st.tuples(st.sampled_from("ab"), st.integers(0, 600), st.integers(0, 9)), min_size=1, max_size=25),
+    right=st.lists(st.tuples(st.sampled_from("ab"), st.integers(0, 600), st.integers(0, 9)), min_size=1, max_size=25),
+    lower=st.integers(-120, 60), span=st.integers(0, 180), bucket=st.one_of(st.none(), st.integers(1, 90)),
+)
+def test_bucketed_interval_join_equals_brute_force(spark, left, right, lower, span, bucket):
+    from tidemark.functions.timecols import from_millis
+    from tidemark.operators.joins import interval_join
+
+    upper = lower + span
+    base = 1_700_000_000_000
+    lrows = [(i, k, base + t * 1000, v) for i, (k, t, v) in enumerate(left)]
+    rrows = [(i, k, base + t * 1000, v) for i, (k, t, v) in enumerate(right)]
+    ldf = spark.createDataFrame(lrows, "lid int, lk string, lt long, lv int").withColumn("lts", from_millis("lt"))
+    rdf = spark.createDataFrame(rrows, "rid int, rk string, rt long, rv int").withColumn("rts", from_millis("rt"))
+    out = interval_join(ldf, rdf, "lk", "rk", "lts", "rts", f"{lower} seconds", f"{upper} seconds",
+                        residual=F.col("lv") <= F.col("rv"), bucket=None if bucket is None else f"{bucket} seconds")
+    brute = sorted((a[0], b[0]) for a in lrows for b in rrows
+                   if a[1] == b[1] and a[2] + lower * 1000 <= b[2] <= a[2] + upper * 1000 and a[3] <= b[3])
+    assert sorted((r.lid, r.rid) for r in out.collect()) == brute
+
+
+@SETTINGS
+@given(rows=st.lists(st.tuples(st.sampled_from("xy"), st.integers(0, 50)), min_size=1, max_size=40),
+       block=st.integers(1, 6), bound=st.integers(0, 20))
+def test_keyed_late_classification_equals_plain_frame(spark, rows, block, bound):
+    from pyspark.sql import Window
+
+    from tidemark.operators.lateness import classify_late
+
+    base = dt.datetime(2024, 1, 1)
+    data = [(k, base + dt.timedelta(seconds=t), i) for i, (k, t) in enumerate(rows)]
+    df = spark.createDataFrame(data, "k string, ts timestamp_ntz, seq long")
+    got = classify_late(df, "ts", "seq", f"{bound} seconds", "10 seconds", keys=["k"], block=block)
+    w = Window.partitionBy("k").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
+    wm = F.max(F.unix_micros(F.col("ts").cast("timestamp"))).over(w) - F.lit(bound * 1_000_000)
+    end = F.unix_micros(F.window("ts", "10 seconds").getField("end").cast("timestamp"))
+    want = df.select("seq", F.coalesce(end - 1000 <= wm, F.lit(False)).alias("is_late"))
+    assert sorted((r.seq, r.is_late) for r in got.collect()) == sorted((r.seq, r.is_late) for r in want.collect())
