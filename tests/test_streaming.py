@@ -325,3 +325,23 @@ def test_stream_text_lines_parsed_and_windowed(spark, tmp_dir):
     rows = run(stream_tumbling_mean(parsed, ["sex"], "arrive_time", "height", "5 minutes"), spark)
     got = {(r.window_start, r.sex): round(r.mean, 6) for r in rows}
     assert got == {(_utc(13, 20), "m"): 168.0, (_utc(13, 25), "f"): 167.5, (_utc(13, 25), "m"): 178.333333}
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables not present")
+def test_driver_events_extremes_and_members_as_stream(spark):
+    from tidemark.operators.tumbling import tumbling_extremes, tumbling_members
+    from tidemark.streaming.windows import stream_tumbling_extremes, stream_tumbling_members
+
+    batch_df = spark.read.parquet(f"{SF}/events.parquet")
+    s = stream_table(spark, f"{SF}/events*.parquet", batch_df.schema)
+    last = batch_df.select(F.max(F.date_trunc("day", "ts"))).first()[0]
+
+    got = run(stream_tumbling_extremes(s, ["event_type"], "ts", "value", "event_id", "1 day"), spark)
+    want = tumbling_extremes(batch_df, ["event_type"], "ts", "value", "event_id", "1 day")
+    key = lambda r: (r.event_type, r.window_start, r.n, tuple(r.highest), tuple(r.lowest))
+    assert sorted(map(key, got)) == sorted(key(r) for r in want.collect() if r.window_start < last)
+
+    got = run(stream_tumbling_members(s, ["event_type"], "ts", "event_id", "1 day", part_rows=16), spark)
+    want = tumbling_members(batch_df, ["event_type"], "ts", "event_id", "1 day", part_rows=16)
+    key = lambda r: (r.event_type, r.window_start, r.part, r.n, [m.event_id for m in r.members])
+    assert sorted(map(key, got)) == sorted(key(r) for r in want.collect() if r.window_start < last)
