@@ -345,3 +345,34 @@ def test_driver_events_extremes_and_members_as_stream(spark):
     want = tumbling_members(batch_df, ["event_type"], "ts", "event_id", "1 day", part_rows=16)
     key = lambda r: (r.event_type, r.window_start, r.part, r.n, [m.event_id for m in r.members])
     assert sorted(map(key, got)) == sorted(key(r) for r in want.collect() if r.window_start < last)
+
+
+def test_end_of_input_marker_flushes_windows(spark, tmp_dir):
+    from tidemark.operators.tumbling import tumbling_mean
+    from tidemark.sources.files import mark_end_of_input
+
+    folder = os.path.join(tmp_dir, "in")
+    land(folder, measured_rows(SEX_P9[:11], HEIGHTS[:11]), MEASURED_PA, 1)
+    schema = spark.read.parquet(folder).schema
+    batch = tumbling_mean(spark.read.parquet(folder), ["sex"], "arrive_time", "height", "5 minutes")
+    mark_end_of_input(spark, folder, schema, "arrive_time", {"sex": "<end>", "seq": 1 << 62})
+    s = stream_table(spark, folder, schema, max_files_per_trigger=1)
+    rows = run(stream_tumbling_mean(s, ["sex"], "arrive_time", "height", "5 minutes"), spark)
+    got = sorted((r.window_start, r.sex, r.n, r.mean) for r in rows)
+    assert got == sorted((r.window_start, r.sex, r.n, r.mean) for r in batch.collect())
+    assert len(got) == 5
+
+
+def test_end_of_input_marker_fires_processor_timers(spark, tmp_dir):
+    from tidemark.sources.files import mark_end_of_input
+
+    folder = os.path.join(tmp_dir, "in")
+    land(folder, measured_rows(["m"] * 12, HEIGHTS), MEASURED_PA, 1)
+    schema = spark.read.parquet(folder).schema
+    mark_end_of_input(spark, folder, schema, "arrive_time", {"sex": "<end>", "seq": 1 << 62})
+    s = stream_table(spark, folder, schema, max_files_per_trigger=1)
+    rows = run(stream_early_mean(s, ["sex"], "arrive_time", "height", "seq", "5 minutes"), spark)
+    finals = sorted((r.window_start, r.n, round(r.mean, 6)) for r in rows if r.firing == "final")
+    assert finals == [(_utc(13, 20), 1, 168.0), (_utc(13, 25), 5, 174.0), (_utc(13, 30), 5, 166.6),
+                      (_utc(13, 35), 1, 155.0)]
+    assert all(r.sex == "m" for r in rows)

@@ -13,6 +13,7 @@ cluster's shared checkpoint folder.
 
 from __future__ import annotations
 
+import datetime as dt
 import os
 from collections.abc import Callable
 
@@ -115,6 +116,32 @@ def stream_table(
     return r.load(path)
 
 
+# Fixed value: an event time later than any real one (epoch ms of 2200-01-01 UTC, inside the
+# nanosecond range pandas uses for timestamps in Python operators).
+END_OF_INPUT_MS = 7258118400000
+
+
+def mark_end_of_input(spark: SparkSession, folder: str, schema: T.StructType, ts: str, keys: dict) -> None:
+    """Land one sentinel record so a bounded stream flushes its windows.
+
+    A stream of files has no "end"; the last windows stay open until the
+    watermark passes them.  The sentinel carries an event time beyond any real
+    one and sentinel key values (``keys``: column -> value), so it advances the
+    watermark past every real window while forming its own group, whose window
+    never closes -- no output includes it.  Other columns are null.  Land it
+    after the real files (it is newest, so the file source reads it last).
+    """
+    dtype = schema[ts].dataType
+    if isinstance(dtype, (T.LongType, T.IntegerType)):
+        t = END_OF_INPUT_MS
+    else:
+        t = dt.datetime(1970, 1, 1) + dt.timedelta(milliseconds=END_OF_INPUT_MS)
+    row = {f.name: None for f in schema.fields}
+    row.update(keys)
+    row[ts] = t
+    spark.createDataFrame([row], schema).coalesce(1).write.mode("append").parquet(folder)
+
+
 def write_routes(df: DataFrame, path: str, route_col: str = "route", mode: str = "overwrite") -> None:
     """Labelled sink: one folder per tag (``route=<tag>/``)."""
     df.write.mode(mode).partitionBy(route_col).parquet(path)
