@@ -94,3 +94,13 @@ def test_null_values_are_skipped(spark):
     assert early == {("early", 4, 25.0), ("final", 4, 25.0)}
     ev = sorted((r.firing, r.kind, r.n, r.mean) for r in evicting_mean(df, ["k"], "ts", "v", "seq", "1 day").collect())
     assert ev == [(1, "count", 3, 20.0), (2, "final", 3, 30.0)]
+
+
+def test_block_size_from_data_matches_driver_rule(spark):
+    from tidemark.operators.prefix import auto_block, auto_block_col
+
+    frames = [spark.range(n).withColumnRenamed("id", "seq") for n in (10, 70_000)]
+    frames += [spark.createDataFrame([(0,), (w - 1,)], "seq long") for w in (1 << 40, (1 << 40) + 1, 10**12)]
+    for df in frames:
+        assert spark.range(1).select(auto_block_col(df, "seq").alias("b")).first().b == auto_block(df, "seq")
+    assert auto_block(frames[2], "seq") == 1 << 20

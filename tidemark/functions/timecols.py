@@ -78,9 +78,9 @@ def like_input(col: Column, df: DataFrame, name: str) -> Column:
     return col
 
 
-def floor_div(a: Column, b: int) -> Column:
+def floor_div(a: Column, b: int | Column) -> Column:
     """Exact integer ``floor(a / b)`` for ``b > 0`` (no trip through double)."""
-    bl = F.lit(b).cast("long")
+    bl = (b if isinstance(b, Column) else F.lit(b)).cast("long")
     a = a.cast("long")
     return F.call_function("div", a - F.pmod(a, bl), bl)
 

@@ -63,6 +63,16 @@ def auto_block(df: DataFrame, seq: str, floor: int = 1 << 16, ceiling: int = 1 <
     return max(floor, min(ceiling, 1 << max(0, math.isqrt(width - 1).bit_length())))
 
 
+def auto_block_col(df: DataFrame, seq: str, floor: int = 1 << 16, ceiling: int = 1 << 22) -> Column:
+    """:func:`auto_block` as a scalar subquery: the size is computed by the
+    query that uses it (Spark 4 ``DataFrame.scalar``), not by a separate job
+    driven from Python.  Any block size gives the same results."""
+    width = F.max(seq) - F.min(seq) + F.lit(1)
+    exp = F.ceil(F.log2(F.sqrt(F.greatest(width, F.lit(1)))))
+    size = F.least(F.lit(ceiling), F.greatest(F.lit(floor), F.pow(F.lit(2.0), exp).cast("long")))
+    return df.select(F.coalesce(size, F.lit(floor)).cast("long").alias("block")).scalar()
+
+
 class _Agg:
     """One running aggregate: its input columns and how to combine them."""
 
@@ -91,7 +101,7 @@ class _Agg:
         return self.combine(over)[0].alias(self.name)
 
 
-def _prepare(df: DataFrame, aggs: dict, keys: Sequence[str], seq: str, block: int):
+def _prepare(df: DataFrame, aggs: dict, keys: Sequence[str], seq: str, block: int | Column):
     steps = [_Agg(name, spec) for name, spec in aggs.items()]
     inputs = [expr.alias(c) for st in steps for c, expr in st.inputs.items()]
     x = df.select("*", floor_div(F.col(seq), block).alias(_BLK), *inputs)  # one projection, one analysis
@@ -103,7 +113,7 @@ def running(
     seq: str,
     aggs: dict[str, tuple],
     keys: Sequence[str] = (),
-    block: int = DEFAULT_BLOCK,
+    block: int | Column = DEFAULT_BLOCK,
     exclusive: bool = False,
     carry: DataFrame | None = None,
 ) -> DataFrame:

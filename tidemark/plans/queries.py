@@ -11,9 +11,9 @@ Conventions shared with the oracles:
   ``decimal(18,2)`` and divided once, so results agree to the last bit however
   the rows are partitioned.
 * Prefix scans use ``tidemark.scan.block`` from the session when set, else a
-  block of about sqrt(seq range), at least 2**16
-  (:func:`tidemark.operators.prefix.auto_block`): 2**16 up to 2**32 rows, 2**20
-  at 10**12.  Tests pin small blocks to exercise the multi-block path.
+  block of about sqrt(seq range), at least 2**16, computed by the query itself
+  (:func:`tidemark.operators.prefix.auto_block_col`): 2**16 up to 2**32 rows,
+  2**20 at 10**12.  Tests pin small blocks to exercise the multi-block path.
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ from tidemark.operators.compose import connect_latest, explode_routes, route, un
 from tidemark.operators.firing import early_mean, evicting_mean
 from tidemark.operators.joins import interval_join
 from tidemark.operators.lateness import classify_late, drop_late
-from tidemark.operators.prefix import auto_block
+from tidemark.operators.prefix import auto_block_col
 from tidemark.operators.running import running_argmax, running_mean
 from tidemark.operators.tumbling import tumbling_extremes, tumbling_mean, tumbling_members
 from tidemark.session import pin_utc
@@ -47,10 +47,11 @@ EVICT_EVERY = 3
 SCALE = 2
 
 
-def _block(spark: SparkSession, df: DataFrame, seq: str) -> int:
-    """``tidemark.scan.block`` when the session sets it, else sized from the data."""
+def _block(spark: SparkSession, df: DataFrame, seq: str):
+    """``tidemark.scan.block`` when the session sets it, else sized from the data
+    inside the query (a scalar subquery over the ``seq`` range)."""
     fixed = spark.conf.get("tidemark.scan.block", None)
-    return int(fixed) if fixed else auto_block(df, seq)
+    return int(fixed) if fixed else auto_block_col(df, seq)
 
 
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
