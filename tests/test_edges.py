@@ -104,3 +104,16 @@ def test_block_size_from_data_matches_driver_rule(spark):
     for df in frames:
         assert spark.range(1).select(auto_block_col(df, "seq").alias("b")).first().b == auto_block(df, "seq")
     assert auto_block(frames[2], "seq") == 1 << 20
+
+
+def test_event_time_arithmetic_ignores_session_zone(spark):
+    rows = [("a", dt.datetime(2024, 3, 10, 1, 59), 1), ("a", dt.datetime(2024, 3, 10, 2, 30), 2),
+            ("a", dt.datetime(2024, 3, 10, 3, 1), 3)]
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        df = spark.createDataFrame(rows, "k string, ts timestamp_ntz, seq long")
+        out = {r.seq: r.wm_before for r in classify_late(df, "ts", "seq", 0, "1 hour", block=2).collect()}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert out == {1: None, 2: dt.datetime(2024, 3, 10, 1, 59), 3: dt.datetime(2024, 3, 10, 2, 30)}

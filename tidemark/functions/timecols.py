@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.session import pin_utc
+
 _UNITS_US = {
     "us": 1, "microsecond": 1, "microseconds": 1,
     "ms": 1_000, "millisecond": 1_000, "milliseconds": 1_000,
@@ -53,12 +55,19 @@ def from_millis(col: str | Column) -> Column:
 
 
 def event_time(df: DataFrame, col: str) -> Column:
-    """The column as TIMESTAMP (what ``withWatermark`` accepts)."""
+    """The column as TIMESTAMP (what ``withWatermark`` accepts).
+
+    TIMESTAMP_NTZ values are read as UTC wall-clock times.  The cast goes
+    through the session zone, so the session is pinned to UTC here; in any
+    other zone a daylight-saving gap or overlap would bend event-time
+    arithmetic.
+    """
     dtype = df.schema[col].dataType
     c = F.col(col)
     if isinstance(dtype, T.TimestampType):
         return c
     if isinstance(dtype, T.TimestampNTZType):
+        pin_utc(df.sparkSession)
         return c.cast("timestamp")
     if isinstance(dtype, (T.LongType, T.IntegerType)):
         return F.timestamp_millis(c)
@@ -74,6 +83,7 @@ def like_input(col: Column, df: DataFrame, name: str) -> Column:
     """Cast a TIMESTAMP result back to the type of input column ``name``."""
     dtype = df.schema[name].dataType
     if isinstance(dtype, T.TimestampNTZType):
+        pin_utc(df.sparkSession)
         return col.cast("timestamp_ntz")
     return col
 
