@@ -117,3 +117,15 @@ def test_event_time_arithmetic_ignores_session_zone(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
     assert out == {1: None, 2: dt.datetime(2024, 3, 10, 1, 59), 3: dt.datetime(2024, 3, 10, 2, 30)}
+
+
+def test_materialized_scan_input_gives_same_rows(spark):
+    from tidemark.operators.running import running_mean_spec
+
+    rows = [("a" if i % 3 else "b", i, float(i % 7)) for i in range(40)]
+    df = spark.createDataFrame(rows, "k string, seq long, v double")
+    spec = running_mean_spec(df, ["k"], "seq", "v")
+    a = sorted(tuple(r) for r in spec.run(block=4).collect())
+    b = sorted(tuple(r) for r in spec.run(block=4, materialize=True).collect())
+    assert a == b
+    assert spark.sparkContext.getCheckpointDir() is not None

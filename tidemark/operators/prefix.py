@@ -197,8 +197,16 @@ class ScanSpec:
     exclusive: bool = False
     finish: Callable[[DataFrame], DataFrame] = lambda d: d
 
-    def run(self, block: int = DEFAULT_BLOCK, carry: DataFrame | None = None, frame: DataFrame | None = None):
+    def run(self, block: int | Column = DEFAULT_BLOCK, carry: DataFrame | None = None,
+            frame: DataFrame | None = None, materialize: bool = False):
+        """The operator's output.  ``materialize`` checkpoints the input first
+        (:func:`tidemark.session.materialize`), so an expensive input plan is
+        computed once although the scan reads it twice."""
         src = self.frame if frame is None else frame
+        if materialize:
+            from tidemark.session import materialize as _materialize
+
+            src = _materialize(src)
         return self.finish(running(src, self.seq, self.aggs, self.keys, block, self.exclusive, carry))
 
     def totals(self, frame: DataFrame, carry: DataFrame | None = None) -> DataFrame:

@@ -15,7 +15,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 STATE_STORE_PROVIDER = (
     "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -92,3 +92,14 @@ _local_root: str | None = None
 def checkpoint_location(spark: SparkSession, name: str) -> str:
     """Per-query streaming checkpoint folder below :func:`checkpoint_root`."""
     return os.path.join(checkpoint_root(spark), "streams", name)
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Compute ``df`` once into the shared checkpoint folder and cut its lineage.
+
+    A reliable checkpoint (``DataFrame.checkpoint``) under
+    ``spark.checkpoint.dir``: survives executor loss, and later plans read the
+    written rows instead of recomputing an expensive input.  Runs a job now.
+    """
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint(eager=True)
