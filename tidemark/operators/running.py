@@ -28,9 +28,14 @@ def running_argmax_spec(
     payload: Sequence[str] = (),
     name: str = "leader",
 ) -> ScanSpec:
-    rec = F.struct(*[F.col(c) for c in (seq, value, *payload)])
-    ordered = F.struct(F.col(value).alias("v"), (-F.col(seq)).alias("o"), rec.alias("r"))
-    out_cols = [*df.columns, F.col("__lead.r").alias(name)]
+    if payload:
+        rec = F.struct(*[F.col(c) for c in (seq, value, *payload)])
+        ordered = F.struct(F.col(value).alias("v"), (-F.col(seq)).alias("o"), rec.alias("r"))
+        leader = F.col("__lead.r")
+    else:  # (value, seq) already is the record: keep the scanned struct small
+        ordered = F.struct(F.col(value).alias("v"), (-F.col(seq)).alias("o"))
+        leader = F.struct((-F.col("__lead.o")).alias(seq), F.col("__lead.v").alias(value))
+    out_cols = [*df.columns, leader.alias(name)]
     return ScanSpec(df, seq, {"__lead": ("max", ordered)}, list(keys), finish=lambda d: d.select(*out_cols))
 
 

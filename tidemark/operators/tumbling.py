@@ -88,14 +88,22 @@ def tumbling_extremes(
     comparison of the original: the highest is ``max(value, -seq)``, the lowest
     ``min(value, seq)``.  Both are single-pass partial aggregates.
     """
-    rec = [F.col(c) for c in (seq, value, *payload)]
-    hi = F.max(F.struct(F.col(value).alias("v"), (-F.col(seq)).alias("o"), F.struct(*rec).alias("r")))
-    lo = F.min(F.struct(F.col(value).alias("v"), F.col(seq).alias("o"), F.struct(*rec).alias("r")))
+    v = F.col(value).alias("v")
+    if payload:
+        rec = F.struct(*[F.col(c) for c in (seq, value, *payload)]).alias("r")
+        hi = F.max(F.struct(v, (-F.col(seq)).alias("o"), rec))
+        lo = F.min(F.struct(v, F.col(seq).alias("o"), rec))
+        highest, lowest = F.col("__hi.r"), F.col("__lo.r")
+    else:  # (value, seq) already is the record: keep the aggregated struct small
+        hi = F.max(F.struct(v, (-F.col(seq)).alias("o")))
+        lo = F.min(F.struct(v, F.col(seq).alias("o")))
+        highest = F.struct((-F.col("__hi.o")).alias(seq), F.col("__hi.v").alias(value))
+        lowest = F.struct(F.col("__lo.o").alias(seq), F.col("__lo.v").alias(value))
     return (
         with_window(df, ts, size)
         .groupBy(*keys, WS, WE)
         .agg(F.count(F.lit(1)).alias("n"), hi.alias("__hi"), lo.alias("__lo"))
-        .select(*keys, WS, WE, "n", F.col("__hi.r").alias("highest"), F.col("__lo.r").alias("lowest"))
+        .select(*keys, WS, WE, "n", highest.alias("highest"), lowest.alias("lowest"))
     )
 
 
