@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from tidemark.llm.license import op3_license_scans
+from tidemark.llm.packing import op6_packing
 from tidemark.llm.tokencount import op7_token_counts
 
 QUERIES = {
+    "op3_license_scans": op3_license_scans,
+    "op6_packing": op6_packing,
     "op7_token_counts": op7_token_counts,
 }
 
