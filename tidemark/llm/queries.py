@@ -5,8 +5,10 @@ from __future__ import annotations
 from tidemark.llm.license import op3_license_scans
 from tidemark.llm.packing import op6_packing
 from tidemark.llm.tokencount import op7_token_counts
+from tidemark.llm.toxicity import op1_toxicity
 
 QUERIES = {
+    "op1_toxicity": op1_toxicity,
     "op3_license_scans": op3_license_scans,
     "op6_packing": op6_packing,
     "op7_token_counts": op7_token_counts,
