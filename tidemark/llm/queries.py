@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from tidemark.llm.license import op3_license_scans
 from tidemark.llm.packing import op6_packing
+from tidemark.llm.quality import op9_quality_classifier
 from tidemark.llm.tokencount import op7_token_counts
 from tidemark.llm.toxicity import op1_toxicity
 
@@ -12,6 +13,7 @@ QUERIES = {
     "op3_license_scans": op3_license_scans,
     "op6_packing": op6_packing,
     "op7_token_counts": op7_token_counts,
+    "op9_quality_classifier": op9_quality_classifier,
 }
 
 ORACLES: dict[str, str] = {}
