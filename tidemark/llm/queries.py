@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from tidemark.llm.decontam import ORACLE as OP4_ORACLE, op4_decontamination
 from tidemark.llm.license import op3_license_scans
 from tidemark.llm.packing import op6_packing
 from tidemark.llm.quality import op9_quality_classifier
@@ -11,9 +12,12 @@ from tidemark.llm.toxicity import op1_toxicity
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op3_license_scans": op3_license_scans,
+    "op4_decontamination": op4_decontamination,
     "op6_packing": op6_packing,
     "op7_token_counts": op7_token_counts,
     "op9_quality_classifier": op9_quality_classifier,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op4_decontamination": OP4_ORACLE,
+}
