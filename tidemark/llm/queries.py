@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from tidemark.llm.decontam import ORACLE as OP4_ORACLE, op4_decontamination
 from tidemark.llm.license import op3_license_scans
+from tidemark.llm.linededup import op5_line_dedup
 from tidemark.llm.packing import op6_packing
 from tidemark.llm.quality import op9_quality_classifier
 from tidemark.llm.tokencount import op7_token_counts
@@ -13,6 +14,7 @@ QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op3_license_scans": op3_license_scans,
     "op4_decontamination": op4_decontamination,
+    "op5_line_dedup": op5_line_dedup,
     "op6_packing": op6_packing,
     "op7_token_counts": op7_token_counts,
     "op9_quality_classifier": op9_quality_classifier,
