@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from tidemark.llm.decontam import ORACLE as OP4_ORACLE, op4_decontamination
+from tidemark.llm.jaccard import op8_ngram_jaccard
 from tidemark.llm.license import op3_license_scans
 from tidemark.llm.linededup import op5_line_dedup
 from tidemark.llm.packing import op6_packing
@@ -17,6 +18,7 @@ QUERIES = {
     "op5_line_dedup": op5_line_dedup,
     "op6_packing": op6_packing,
     "op7_token_counts": op7_token_counts,
+    "op8_ngram_jaccard": op8_ngram_jaccard,
     "op9_quality_classifier": op9_quality_classifier,
 }
 
