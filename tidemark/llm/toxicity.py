@@ -23,7 +23,7 @@ score.
 
 All labelled documents feed the counts (an aggregate over expressions, which
 grows with the input).  For scoring, the counts are folded into a count-min
-table of fixed size (``rows`` x ``buckets`` x two classes), so what is broadcast
+table of fixed size (``rows`` x cells x two classes), so what is broadcast
 has a proven bound; only the curve's weights come from a bounded sample
 (``fit_rows`` documents).
 """
@@ -37,6 +37,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -49,7 +50,9 @@ CACHE_WORDS = 500_000
 
 @dataclass(frozen=True)
 class Settings:
-    buckets: int = 1 << 21
+    #: The tables: owners of hash ranges (as a power of two), cells of an owner's slice for words and for stems, rows.
+    owner_bits: int = 6
+    slice_cells: tuple[int, int] = (1 << 14, 1 << 11)
     rows: int = 2
     stem: int = 4
     #: Discounts of counts of 1, 2, and 3 or more.
@@ -86,59 +89,85 @@ def _maybe_small(rows: DataFrame, settings: Settings) -> DataFrame:
     return F.broadcast(rows) if rows.limit(settings.small_labels + 1).count() <= settings.small_labels else rows
 
 
-def expression_counts(rows: DataFrame, settings: Settings) -> DataFrame:
-    """``key, level, n0, n1``: in how many ordinary and toxic documents each word (0) and stem (1) stands."""
-    stem = settings.stem
+def gather(rows: DataFrame, settings: Settings) -> Models:
+    """In how many ordinary and toxic documents each word (level 0) and stem (level 1) stands, folded into the models' tables.
 
-    def run(batches):
+    Tasks count their expressions and send them, packed, to the owner of their
+    hash range; owners add up each expression's documents exactly and answer
+    with the totals and their slice of the count-min tables, of fixed size.
+    """
+    stem, shift = settings.stem, np.uint64(64 - settings.owner_bits)
+
+    def send(batches):
         found: dict[str, list[int]] = {}
         for b in slices(batches):
             for text, toxic in zip(b["text"].to_pylist(), b["toxic"].to_pylist(), strict=True):
                 for w in set(WORD.findall(text.lower())):
                     found.setdefault(w, [0, 0])[toxic] += 1
             if len(found) > 400_000:
-                yield from _flush(found, stem)
+                yield packed(found)
                 found = {}
-        yield from _flush(found, stem)
-
-    per_task = rows.select("text", F.col("toxic").cast("int").alias("toxic")).mapInArrow(run, "key long, level int, n0 long, n1 long")
-    return per_task.groupBy("key", "level").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
-
-
-def _signed(keys) -> np.ndarray:
-    return np.array(keys, np.uint64).view(np.int64)
-
-
-def _flush(found: dict[str, list[int]], stem: int):
-    """A word's documents, and for its stem the word's documents too (each word is one continuation)."""
-    if not found:
-        return
-    keys = [keys_of(w, stem) for w in found]
-    n = np.array(list(found.values()), np.int64)
-    stems: dict[int, np.ndarray] = {}
-    for (_, s), row in zip(keys, n, strict=True):
-        if s in stems:
-            stems[s] = stems[s] + row
-        else:
-            stems[s] = row
-    m = np.array(list(stems.values()), np.int64)
-    for level, k, x in ((0, [a for a, _ in keys], n), (1, list(stems), m)):
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(_signed(k)), pa.array(np.full(len(k), level, np.int32)), pa.array(x[:, 0]), pa.array(x[:, 1])], ["key", "level", "n0", "n1"])
+        if found:
+            yield packed(found)
+
+    def packed(found: dict[str, list[int]]) -> pa.RecordBatch:
+        """A word's documents, and for its stem the word's documents too (each word is one continuation)."""
+        keys = np.array([keys_of(w, stem) for w in found], np.uint64)
+        n = np.array(list(found.values()), np.uint32)
+        stems, which = np.unique(keys[:, 1], return_inverse=True)
+        m = np.stack([np.bincount(which, n[:, c]) for c in (0, 1)], axis=1).astype(np.uint32)
+        out = []
+        for level, k, x in ((0, keys[:, 0], n), (1, stems, m)):
+            order = np.argsort(k)
+            k, x = k[order], x[order]
+            owner = (k >> shift).astype(np.int64)
+            for o in np.unique(owner):
+                at = slice(*np.searchsorted(owner, [o, o + 1]))
+                out.append((int(o), level, k[at].tobytes(), x[at].tobytes()))
+        kinds = (pa.int32(), pa.int32(), pa.binary(), pa.binary())
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], ["owner", "level", "keys", "n"])
+
+    def answer(t: pa.Table) -> pa.Table:
+        out = []
+        for level in (0, 1):
+            part = [r for r in t.to_pylist() if r["level"] == level]
+            key = np.frombuffer(b"".join(r["keys"] for r in part), np.uint64)
+            n = np.frombuffer(b"".join(r["n"] for r in part), np.uint32).reshape(-1, 2)
+            key, which = np.unique(key, return_inverse=True)
+            n = np.stack([np.bincount(which, n[:, c], len(key)) for c in (0, 1)])
+            cells = np.zeros((2, settings.rows, settings.slice_cells[level]), np.float32)
+            for r, spot in enumerate(cells_of(key, level, settings)):
+                for c in (0, 1):
+                    np.add.at(cells[c, r], spot, n[c])
+            out.append((t["owner"][0].as_py(), level, cells.tobytes(), n.sum(axis=1).tolist(), (n > 0).sum(axis=1).astype(float).tolist()))
+        kinds = (pa.int32(), pa.int32(), pa.binary(), pa.list_(pa.float64()), pa.list_(pa.float64()))
+        return pa.table({f: pa.array(c, k) for f, c, k in zip(("owner", "level", "cells", "total", "kinds"), zip(*out, strict=True), kinds, strict=True)})
+
+    sent = rows.select("text", F.col("toxic").cast("int").alias("toxic")).mapInArrow(send, "owner int, level int, keys binary, n binary")
+    got = sent.groupBy("owner").applyInArrow(answer, "owner int, level int, cells binary, total array<double>, kinds array<double>").collect()  # of fixed size
+    tables = [np.zeros((2, settings.rows, 1 << settings.owner_bits, size), np.float32) for size in settings.slice_cells]
+    totals, kinds = np.zeros((2, 2)), np.zeros((2, 2))
+    for r in got:
+        own = tables[r["level"]][:, :, r["owner"]]
+        own[:] = np.frombuffer(r["cells"], np.float32).reshape(own.shape)
+        totals[r["level"]] += r["total"]
+        kinds[r["level"]] += r["kinds"]
+    return Models([t.reshape(2, settings.rows, -1) for t in tables], totals, kinds, settings)
 
 
 class Models:
     """Both classes' counts in count-min tables of fixed size, and their log-likelihoods."""
 
-    def __init__(self, tables: np.ndarray, totals: np.ndarray, kinds: np.ndarray, settings: Settings):
-        #: [level, class, row, bucket] counts; [level, class] sums of counts and numbers of expressions.
+    def __init__(self, tables: list[np.ndarray], totals: np.ndarray, kinds: np.ndarray, settings: Settings):
+        #: By level, [class, row, cell] counts; [level, class] sums of counts and numbers of expressions.
         self.tables, self.totals, self.kinds, self.settings = tables, totals, kinds, settings
         self.evidence: dict[str, float] = {}
 
     def counts(self, keys: np.ndarray, level: int) -> np.ndarray:
         """[class, key]: the least of a key's cells."""
-        spots = buckets_of(keys, self.settings)
-        return np.stack([np.min([self.tables[level, c, r, s] for r, s in enumerate(spots)], axis=0) for c in (0, 1)]).astype(float)
+        own = (keys >> np.uint64(64 - self.settings.owner_bits)).astype(np.int64) * self.settings.slice_cells[level]
+        spots = [own + x for x in cells_of(keys, level, self.settings)]
+        return np.stack([np.min([self.tables[level][c, r, s] for r, s in enumerate(spots)], axis=0) for c in (0, 1)]).astype(float)
 
     def log_ratio(self, words: list[str], own: int | None = None) -> np.ndarray:
         """log P_toxic(w) - log P_ordinary(w); ``own`` takes one document of that class out of the counts first."""
@@ -187,41 +216,21 @@ class Models:
         return sum(x) / len(x), float((run[span:] - run[:-span]).max() / span), math.log(len(x))
 
 
-def buckets_of(keys: np.ndarray, settings: Settings) -> list[np.ndarray]:
-    """A key's cell in each row: other bits of the key for each (the lowest bit is left out: Spark's longs are signed)."""
-    width = 63 // settings.rows
-    return [((keys >> np.uint64(1 + r * width)) % np.uint64(settings.buckets)).astype(np.int64) for r in range(settings.rows)]
+def cells_of(keys: np.ndarray, level: int, settings: Settings) -> list[np.ndarray]:
+    """A key's cell within its owner's slice, in each row of the table: other bits of the key for each."""
+    width = (64 - settings.owner_bits) // settings.rows
+    return [((keys >> np.uint64(r * width)) % np.uint64(settings.slice_cells[level])).astype(np.int64) for r in range(settings.rows)]
 
 
-def learn(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> tuple[Models, np.ndarray]:
-    """Both models and the curve's weights (bias, whole text, passage, length)."""
+def learn(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> tuple[Broadcast, np.ndarray]:
+    """Both models, sent to the tasks once, and the curve's weights (bias, whole text, passage, length)."""
     rows = training_rows(docs, labels, settings)
-    counts = expression_counts(rows, settings)
-    width = 63 // settings.rows
-    cells = [F.struct(F.lit(r).alias("r"), F.pmod(F.shiftrightunsigned("key", 1 + r * width), F.lit(settings.buckets)).alias("b")) for r in range(settings.rows)]
-    folded = (
-        counts.select("level", "n0", "n1", F.explode(F.array(*cells)).alias("c"))
-        .groupBy("level", F.col("c.r").alias("r"), F.col("c.b").alias("b"))
-        .agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"), F.count(F.when(F.col("n0") > 0, 1)).alias("k0"), F.count(F.when(F.col("n1") > 0, 1)).alias("k1"))
-    )
-    # At most 2 x rows x buckets rows, whatever the corpus.
-    got = {f.name: c.to_numpy() for f, c in zip(folded.schema, folded.toArrow().columns, strict=True)}
-    tables = np.zeros((2, 2, settings.rows, settings.buckets), np.float32)
-    first = got["r"] == 0
-    totals, kinds = np.zeros((2, 2)), np.zeros((2, 2))
-    for level in (0, 1):
-        at = got["level"] == level
-        for c in (0, 1):
-            tables[level, c, got["r"][at], got["b"][at]] = got[f"n{c}"][at]
-            totals[level, c] = got[f"n{c}"][at & first].sum()
-            kinds[level, c] = got[f"k{c}"][at & first].sum()
-    models = Models(tables, totals, kinds, settings)
-    return models, fit(rows, models, settings)
+    sent = docs.sparkSession.sparkContext.broadcast(gather(rows, settings))
+    return sent, fit(rows, sent, settings)
 
 
-def fit(rows: DataFrame, models: Models, settings: Settings) -> np.ndarray:
+def fit(rows: DataFrame, sent: Broadcast, settings: Settings) -> np.ndarray:
     """Logistic weights from a bounded sample (the smallest hashes of ids), each text scored without its own counts."""
-    sent = rows.sparkSession.sparkContext.broadcast(models)
     ids = rows.select("doc_id").orderBy(F.xxhash64("doc_id")).limit(settings.fit_rows)
 
     def run(batches):
@@ -255,17 +264,16 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3, steps: int = 50)
 
 
 # -- scoring ------------------------------------------------------------------
-def score(docs: DataFrame, models: Models, weights: np.ndarray, settings: Settings = Settings()) -> DataFrame:
+def score(docs: DataFrame, sent: Broadcast, weights: np.ndarray, settings: Settings = Settings()) -> DataFrame:
     """One row per document: ``doc_id, held_out, score, predicted, whole, passage``.
 
     A null or empty text has no evidence and gets the curve's value at none.
     Repeated rows and ids give a row each; an empty table gives none; texts are
     scored whole, whatever their length; other columns are ignored.
     """
-    sent = docs.sparkSession.sparkContext.broadcast((models, weights))
 
     def run(batches):
-        m, w = sent.value
+        m, w = sent.value, weights
         for b in slices(batches):
             x = np.array([m.features(t) for t in b["text"].to_pylist()]).reshape(-1, 3)
             p = 1 / (1 + np.exp(-np.clip(w[0] + x @ w[1:], -700, 700)))
