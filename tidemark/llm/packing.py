@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from array import array
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -31,9 +32,9 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import slices, table, tokenizer_path
 
 #: Examples a task holds open at once.
-BUFFER = 2048
+BUFFER = 512
 #: Distinct words whose ids a worker keeps; beyond it the table starts anew.
-CACHE_WORDS = 600_000
+CACHE_WORDS = 1_000_000
 END = (1).to_bytes(4, "little")
 
 
@@ -148,9 +149,11 @@ def _letters(start: str) -> str:
 class WordTokenizer:
     """Ids by the ``tokenizers`` library, asked once per distinct word.
 
-    Words are what the file's own pre-tokenizer cuts, so equal words have equal
-    ids.  Texts with letters above U+024F (where lower-casing and composition
-    depend on more than a letter) or special-token strings go to the library whole.
+    Words are what the file's own pre-tokenizer cuts (never across white space),
+    so equal words have equal ids.  Texts with letters above U+024F (where
+    lower-casing and composition depend on more than a letter), separators that
+    count as white space only here, or special-token strings go to the library
+    whole.
     """
 
     def __init__(self, path: str):
@@ -158,26 +161,48 @@ class WordTokenizer:
 
         self.library = Tokenizer.from_file(path)
         letter, digit = _letters("L"), _letters("N")
-        space = "\\s\\x85\\xa0"
         # Fixed value: the file's word pattern, spelt out for letters below U+0250.
-        self.word = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{letter}]+|[{digit}]|[^{space}{letter}{digit}]+")
-        self.other = re.compile("[^\x00-\x1b -ɏ]|İ|" + "|".join(re.escape(t.content) for t in self.library.get_added_tokens_decoder().values()))
+        self.word = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{letter}]+|[{digit}]|[^\\s{letter}{digit}]+")
+        self.far = re.compile("[^\x00-\u024f]|\u0130")
+        self.odd = ("\x1c", "\x1d", "\x1e", "\x1f", *(t.content for t in self.library.get_added_tokens_decoder().values()))
+        self.words: dict[str, bytes] = {}
         self.ids: dict[str, bytes] = {}
 
+    def plain(self, text: str) -> bool:
+        if any(x in text for x in self.odd):
+            return False
+        try:
+            text.encode("latin-1")
+            return True
+        except UnicodeEncodeError:
+            return self.far.search(text) is None
+
     def encode(self, text: str) -> bytes:
         """Little-endian 32-bit ids, without special tokens."""
-        if self.other.search(text):
-            return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        words = self.word.findall(text.lower())
-        if len(self.ids) > CACHE_WORDS:
-            self.ids.clear()
+        if not self.plain(text):
+            return array("I", self.library.encode(text, add_special_tokens=False).ids).tobytes()
+        items, ids = text.lower().split(), self.ids
         try:
-            return b"".join(map(self.ids.__getitem__, words))
+            return b"".join(map(ids.__getitem__, items))
         except KeyError:
-            new = [w for w in dict.fromkeys(words) if w not in self.ids]
-            for w, e in zip(new, self.library.encode_batch(new, add_special_tokens=False), strict=True):
-                self.ids[w] = np.array(e.ids, "<u4").tobytes()
-            return b"".join(map(self.ids.__getitem__, words))
+            self._ask([x for x in dict.fromkeys(items) if x not in ids])
+            return b"".join(map(ids.__getitem__, items))
+
+    def _ask(self, items: list[str]) -> None:
+        words = self.words
+        if len(words) > CACHE_WORDS:
+            words.clear()
+        cut = [self.word.findall(x) for x in items]
+        new = list(dict.fromkeys(w for c in cut for w in c if w not in words))
+        for w, e in zip(new, self.library.encode_batch_fast(new, add_special_tokens=False), strict=True):
+            words[w] = array("I", e.ids).tobytes()
+        for x, c in zip(items, cut, strict=True):
+            self.ids[x] = b"".join([words[w] for w in c])
+
+    def bound(self) -> None:
+        """Called between texts: starts the table of items anew when it is full."""
+        if len(self.ids) > CACHE_WORDS:
+            self.ids.clear()
 
 
 @lru_cache(maxsize=2)
@@ -207,6 +232,7 @@ def pack_documents(docs: DataFrame, path: str, limits: Limits = Limits(), loss_f
         tok = word_tokenizer(path)
         for b in slices(batches):
             for doc, text, n in zip(*(b[c].to_pylist() for c in ("doc_id", "text", "prompt")), strict=True):
+                tok.bound()
                 ids = tok.encode(text) + END
                 loss = None
                 if loss_from:
