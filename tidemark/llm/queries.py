@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from tidemark.llm.ann import op2_nearest_neighbours
 from tidemark.llm.decontam import ORACLE as OP4_ORACLE, op4_decontamination
 from tidemark.llm.jaccard import op8_ngram_jaccard
 from tidemark.llm.license import op3_license_scans
@@ -14,6 +15,7 @@ from tidemark.llm.toxicity import op1_toxicity
 
 QUERIES = {
     "op1_toxicity": op1_toxicity,
+    "op2_nearest_neighbours": op2_nearest_neighbours,
     "op3_license_scans": op3_license_scans,
     "op4_decontamination": op4_decontamination,
     "op5_line_dedup": op5_line_dedup,
