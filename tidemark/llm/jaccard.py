@@ -52,7 +52,7 @@ class Settings:
     filter_bits: int = 28
     sketch_bits: int = 22
     #: Rounds of comparing classes with leaders before pairs are made.
-    rounds: int = 3
+    rounds: int = 2
     #: Shingles a task holds before it sends them.
     held: int = 2_000_000
 
@@ -235,15 +235,18 @@ def links(classes: DataFrame, settings: Settings) -> DataFrame:
         roots = keep(components(found))
     here = postings.join(roots, F.col("sig") == F.col("id"), "left").withColumn("root", F.coalesce("root", "sig")).drop("id")
     mixed = here.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo != hi").select("token")
-    here = here.join(mixed, "token")
-    side = lambda s: here.select("token", *[F.col(c).alias(f"{s}_{c}") for c in ("sig", "n", "spare", "matches", "root")])
+    here = here.join(mixed, "token").join(classes.select("sig", "prefix"), "sig")
+    side = lambda s: here.select("token", *[F.col(c).alias(f"{s}_{c}") for c in ("sig", "n", "spare", "matches", "root", "prefix")])
     enough = _overlap_for("x_n", "y_n", settings)
+    same = F.array_intersect("x_prefix", "y_prefix")
+    # Shared shingles that are in neither prefix: all of one side's that follow its prefix, at most.
+    rest = F.greatest(*[F.col(f"{s}_n") - F.col(f"{s}_spare") - F.size(f"{s}_prefix") for s in "xy"])
     pairs = side("x").join(side("y"), "token").filter(
         (F.col("x_sig") < F.col("y_sig")) & (F.col("x_root") != F.col("y_root"))
-        & (F.col("x_n") - F.col("x_spare") >= enough) & (F.col("y_n") - F.col("y_spare") >= enough)
-        & (F.least("x_n", "y_n") >= enough))
-    pairs = pairs.groupBy(F.col("x_sig").alias("a"), F.col("y_sig").alias("b")).agg(
-        F.count("*").alias("same"), F.first(F.least("x_matches", "y_matches")).alias("asked")).filter("same >= asked").select("a", "b")
+        & (F.col("x_n") - F.col("x_spare") >= enough) & (F.col("y_n") - F.col("y_spare") >= enough) & (F.least("x_n", "y_n") >= enough)
+        & (F.size(same) >= F.least("x_matches", "y_matches")) & (F.size(same) + rest >= enough)
+        & (F.array_min(same) == F.col("token")))  # a pair comes from one of its tokens only
+    pairs = pairs.select(F.col("x_sig").alias("a"), F.col("y_sig").alias("b"))
     return components(found.union(_verified(pairs, classes, settings)))
 
 
