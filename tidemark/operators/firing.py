@@ -13,21 +13,24 @@
 partial aggregate.  The evicting window is path dependent (what is evicted
 depends on everything evicted before), so it is an ordered fold: rows are
 hash-partitioned by (key, window), sorted by ``seq`` inside each partition (an
-external sort that spills), and folded group by group in ``mapInPandas``.  The
+external sort that spills), and folded group by group in ``mapInArrow``.  The
 fold streams: its memory is the surviving buffer of the current group, never
-the whole group or partition.
+the whole group or partition, and a report costs the logarithm of that buffer.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+import heapq
+from collections.abc import Iterable, Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from tidemark.operators.prefix import DEFAULT_BLOCK, running
 from tidemark.operators.tumbling import WE, WS, exact_mean, mean_of, with_window
@@ -79,87 +82,119 @@ def early_mean(
     return early.unionByName(final)
 
 
-def _evicting_fold(gk: list[str], seq: str, value: str, every: int, scale: int | None):
-    """Build the per-partition fold for :func:`evicting_mean`.
+class EvictingBuffer:
+    """The rows a window still holds: their exact sum and a heap with the smallest on top.
 
-    Input batches arrive sorted by (gk, seq).  Group boundaries inside a batch
-    are found with numpy; each group is then advanced a block of ``every`` rows
-    at a time.  State carried across batches: the current group key, its
-    surviving buffer, rows since the last report and the report number.
+    A report costs the logarithm of the buffer per row added or evicted, never a
+    pass over it.  With ``scale`` values are summed as integers at that many
+    decimals; without it every double is an exact multiple of 2**-1074, so the
+    sum is exact too and the mean is rounded once, whatever the order of rows.
     """
-    unit = None if scale is None else 10**scale
-    names = _OUT_NAMES(gk)
 
-    def mean_of_buffer(vals: list[float], ints: list[int]) -> float:
-        if unit is None:
-            total = 0.0
-            for v in vals:  # left to right in buffer order, like the original
-                total += v
-            return total / float(len(vals))
-        return (sum(ints) / unit) / len(ints)
+    def __init__(self, scale: int | None, values: Iterable[float] = ()):
+        self.unit = None if scale is None else 10**scale
+        self.heap: list[float] = []
+        self.total = 0
+        for v in values:
+            self.add(v)
+
+    def _exact(self, v: float) -> int:
+        if self.unit is not None:
+            return round(v * self.unit)
+        top, bottom = v.as_integer_ratio()  # bottom is a power of two
+        return top << (1074 - bottom.bit_length() + 1)
+
+    def add(self, v: float) -> None:
+        heapq.heappush(self.heap, v)
+        self.total += self._exact(v)
+
+    def mean(self) -> float:
+        if self.unit is not None:
+            return (self.total / self.unit) / len(self.heap)
+        return self.total / (len(self.heap) << 1074)
+
+    def evict_below(self, m: float) -> int:
+        n = len(self.heap)
+        while self.heap and self.heap[0] < m:
+            self.total -= self._exact(heapq.heappop(self.heap))
+        return n - len(self.heap)
+
+
+def _changes(col: pa.Array) -> np.ndarray:
+    """Where a sorted key column differs from the row before (nulls equal nulls, NaN equals NaN)."""
+    a, b = col.slice(1), col.slice(0, len(col) - 1)
+    try:
+        differ = pc.fill_null(pc.not_equal(a, b), False)
+        if pa.types.is_floating(col.type):
+            both = pc.and_(pc.fill_null(pc.is_nan(a), False), pc.fill_null(pc.is_nan(b), False))
+            differ = pc.and_not(differ, both)
+        differ = pc.or_(differ, pc.xor(pc.is_null(a), pc.is_null(b)))
+        return np.asarray(differ.to_numpy(zero_copy_only=False), bool)
+    except pa.ArrowNotImplementedError:  # nested keys
+        x = col.to_pylist()
+        return np.array([p != q for p, q in zip(x[1:], x[:-1])], bool)
+
+
+def _same_key(x: tuple, y: tuple) -> bool:
+    return all(p == q or (p != p and q != q) for p, q in zip(x, y))
+
+
+def _evicting_fold(gk: list[str], seq: str, value: str, every: int, scale: int | None, schema: pa.Schema):
+    """Build the per-partition fold for :func:`evicting_mean`.
+
+    Arrow batches arrive sorted by (gk, seq); keys stay Arrow values, so a
+    nullable or large integer key keeps its type.  State carried across batches:
+    the current group key, its buffer, rows since the last report and the report
+    number.
+    """
 
     def fold(batches):
-        out_rows: list[tuple] = []
-        cur = None
-        vals: list[float] = []
-        ints: list[int] = []
+        out: list[tuple] = []
+        cur, held = None, EvictingBuffer(scale)
         pending = firing = 0
         last_seq = None
 
-        for pdf in batches:
-            n = len(pdf)
+        def emit() -> pa.RecordBatch:
+            cols = zip(*out, strict=True)
+            return pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(cols, schema, strict=True)], schema=schema)
+
+        for batch in batches:
+            n = batch.num_rows
             if n == 0:
                 continue
-            cols = [pdf[c].to_numpy() for c in gk]
-            starts = np.zeros(n, dtype=bool)
+            cols = [batch.column(c) for c in gk]
+            starts = np.zeros(n, bool)
             starts[0] = True
             for c in cols:
-                starts[1:] |= c[1:] != c[:-1]
-            bounds = np.flatnonzero(starts).tolist() + [n]
-            seqs = pdf[seq].tolist()
-            v_arr = pdf[value].to_numpy(dtype="float64")
-            v_list = v_arr.tolist()
-            i_list = np.rint(v_arr * unit).astype(np.int64).tolist() if unit is not None else None
+                starts[1:] |= _changes(c)
+            bounds = [*np.flatnonzero(starts).tolist(), n]
+            seqs, values = batch.column(seq).to_pylist(), batch.column(value).to_pylist()
             for a, b in zip(bounds[:-1], bounds[1:]):
-                key = tuple(pdf[c].iat[a] for c in gk)
-                if key != cur:
-                    if cur is not None and vals:
-                        out_rows.append((*cur, firing + 1, "final", last_seq, len(vals), mean_of_buffer(vals, ints)))
-                    cur, vals, ints, pending, firing = key, [], [], 0, 0
-                pos = a
-                while pos < b:
-                    take = min(every - pending, b - pos)
-                    vals.extend(v_list[pos:pos + take])
-                    if i_list is not None:
-                        ints.extend(i_list[pos:pos + take])
-                    pos += take
-                    pending += take
-                    last_seq = seqs[pos - 1]
+                key = tuple(c[a].as_py() for c in cols)
+                if cur is None or not _same_key(key, cur):
+                    if cur is not None and held.heap:
+                        out.append((*cur, firing + 1, "final", last_seq, len(held.heap), held.mean()))
+                    cur, held, pending, firing = key, EvictingBuffer(scale), 0, 0
+                for k in range(a, b):
+                    held.add(values[k])
+                    pending += 1
+                    last_seq = seqs[k]
                     if pending == every:
-                        pending = 0
-                        firing += 1
-                        m = mean_of_buffer(vals, ints)
-                        out_rows.append((*cur, firing, "count", last_seq, len(vals), m))
-                        if i_list is not None:
-                            kept = [(v, i) for v, i in zip(vals, ints) if not v < m]
-                            vals, ints = [v for v, _ in kept], [i for _, i in kept]
-                        else:
-                            vals = [v for v in vals if not v < m]
-            if len(out_rows) >= 10_000:
-                yield pd.DataFrame.from_records(out_rows, columns=names)
-                out_rows = []
-        if cur is not None and vals:
-            out_rows.append((*cur, firing + 1, "final", last_seq, len(vals), mean_of_buffer(vals, ints)))
-        if out_rows:
-            yield pd.DataFrame.from_records(out_rows, columns=names)
+                        pending, firing = 0, firing + 1
+                        m = held.mean()
+                        out.append((*cur, firing, "count", last_seq, len(held.heap), m))
+                        held.evict_below(m)
+                if len(out) >= 10_000:
+                    yield emit()
+                    out.clear()
+        if cur is not None and held.heap:
+            out.append((*cur, firing + 1, "final", last_seq, len(held.heap), held.mean()))
+        if out:
+            yield emit()
 
     return fold
 
 
-def _OUT_NAMES(gk):
-    return [*gk, "firing", "kind", "at_seq", "n", "mean"]
-
-
 def evicting_mean(
     df: DataFrame,
     keys: Sequence[str],
@@ -176,11 +211,13 @@ def evicting_mean(
     ``n`` rows then in the window; rows below ``mean`` are evicted after it.
     ``kind='final'``: the report at window end over the ``n`` rows left.
     ``exact_scale`` sums values as integers at that many decimals (the same
-    rule as the SQL oracle); otherwise doubles are summed in buffer order.
-    Rows with a null value never enter a window (SQL aggregates skip nulls).
+    rule as the SQL oracle); otherwise the doubles' exact sum is rounded once.
+    Rows with a null value or one that isn't a finite number never enter a
+    window; rows with a null key form a group of their own.
     """
     gk = [*keys, WS, WE]
-    x = with_window(df.filter(F.col(value).isNotNull()), ts, size).select(
+    finite = F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double")) & (F.abs(F.col(value).cast("double")) < float("inf"))
+    x = with_window(df.filter(finite), ts, size).select(
         *gk, F.col(seq).cast("long").alias(seq), F.col(value).cast("double").alias(value))
     schema = T.StructType(
         [x.schema[c] for c in gk]
@@ -193,4 +230,5 @@ def evicting_mean(
         ]
     )
     ordered = x.repartition(*[F.col(c) for c in gk]).sortWithinPartitions(*gk, seq)
-    return ordered.mapInPandas(_evicting_fold(gk, seq, value, every, exact_scale), schema)
+    arrow = to_arrow_schema(schema)
+    return ordered.mapInArrow(_evicting_fold(gk, seq, value, every, exact_scale, arrow), schema)

@@ -40,6 +40,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from tidemark.functions.timecols import duration_us, event_time, spark_duration
 from tidemark.operators.compose import PASS_LABELS
+from tidemark.operators.firing import EvictingBuffer
 from tidemark.operators.tumbling import WE, WS
 
 ET = "event_time"
@@ -50,6 +51,15 @@ def _rows(rows: Iterator[pd.DataFrame], seq: str) -> pd.DataFrame:
     return pdf.sort_values(seq, kind="stable").reset_index(drop=True)
 
 
+def _valued(pdf: pd.DataFrame, value: str) -> pd.DataFrame:
+    """Rows whose value is a finite number: no other enters a window, as in the batch forms.
+
+    They are dropped here, not by a filter below: their times still move the watermark.
+    """
+    v = pdf[value].to_numpy(dtype="float64", na_value=np.nan)
+    return pdf[np.isfinite(v)].reset_index(drop=True)
+
+
 def _ms(t) -> int:
     """Window bound from a grouping key -> epoch ms (session zone is UTC)."""
     return int(pd.Timestamp(t).value // 1_000_000)
@@ -75,16 +85,17 @@ class RunningMeanProcessor(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         pdf = _rows(rows, self.seq)
         total, n0 = self.acc.get() if self.acc.exists() else (0, 0)
-        v = pdf[self.value].to_numpy(dtype="float64")
-        counts = n0 + np.arange(1, len(v) + 1)
+        v = pdf[self.value].to_numpy(dtype="float64", na_value=np.nan)
+        there = ~np.isnan(v)  # nulls count for nothing, as in the batch form
+        v = np.where(there, v, 0.0)
+        counts = n0 + np.cumsum(there)
         if self.scale is None:
             totals = np.cumsum(np.concatenate([[float(total)], v]))[1:]
-            means = totals / counts
-            new_total = float(totals[-1])
+            sums, new_total = totals, float(totals[-1])
         else:
             totals = int(total) + np.cumsum(_exact(v, self.scale))
-            means = (totals / 10**self.scale) / counts
-            new_total = int(totals[-1])
+            sums, new_total = totals / 10**self.scale, int(totals[-1])
+        means = pd.array([s / n if n else None for s, n in zip(sums.tolist(), counts.tolist())], dtype="Float64")
         self.acc.update((new_total, int(counts[-1])))
         out = _key_frame(key, self.keys, len(pdf))
         out.update({self.seq: pdf[self.seq].to_numpy(), "n": counts.astype("int64"), "mean": means})
@@ -110,10 +121,12 @@ class RunningArgMaxProcessor(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         pdf = _rows(rows, self.seq)
-        best = self.leader.get() if self.leader.exists() else None
+        best = tuple(self.leader.get()) if self.leader.exists() else None
         lead_seq, lead_val = [], []
         for s, v in zip(pdf[self.seq].tolist(), pdf[self.value].tolist()):
-            if best is None or v > best[1]:  # strict: the first arrival keeps the lead
+            v = None if pd.isna(v) else v
+            # Strict: the first arrival keeps the lead; a null leads only until the first value.
+            if best is None or (v is not None and (best[1] is None or v > best[1])):
                 best = (s, v)
             lead_seq.append(best[0])
             lead_val.append(best[1])
@@ -148,15 +161,15 @@ class LatestControlProcessor(StatefulProcessor):
         pdf = _rows(rows, self.seq)
         mark = self.mark.get()[0] if self.mark.exists() else self.initial
         thresholds, labels = [], []
-        for ctl, v in zip(pdf["tm_ctl"].tolist(), pdf[self.value].tolist()):
-            if ctl is not None and not pd.isna(ctl):
-                mark = float(ctl)
+        for is_ctl, ctl, v in zip(pdf["tm_is_ctl"].tolist(), pdf["tm_ctl"].tolist(), pdf[self.value].tolist()):
+            if is_ctl:  # a control row without a value leaves the mark as it is
+                mark = mark if ctl is None or pd.isna(ctl) else float(ctl)
                 labels.append(self.labels[2])
             else:
-                labels.append(self.labels[0] if v >= mark else self.labels[1])
+                labels.append(self.labels[0] if v is not None and v >= mark else self.labels[1])
             thresholds.append(mark)
         self.mark.update((mark,))
-        out = pdf.drop(columns=["tm_ctl", "tm_grp"])
+        out = pdf.drop(columns=["tm_ctl", "tm_is_ctl", "tm_grp"])
         out["threshold"] = thresholds
         out["label"] = labels
         yield out
@@ -172,8 +185,8 @@ def stream_connect_latest(subject: DataFrame, control: DataFrame, seq: str, valu
     control values are per key.  Output: subject columns (null on control
     rows), ``threshold``, ``label``.
     """
-    s = subject.withColumn("tm_ctl", F.lit(None).cast("double"))
-    c = control.select(*keys, seq, F.col(control_value).cast("double").alias("tm_ctl"))
+    s = subject.withColumn("tm_ctl", F.lit(None).cast("double")).withColumn("tm_is_ctl", F.lit(False))
+    c = control.select(*keys, seq, F.col(control_value).cast("double").alias("tm_ctl"), F.lit(True).alias("tm_is_ctl"))
     for f in subject.schema.fields:
         if f.name not in c.columns:
             c = c.withColumn(f.name, F.lit(None).cast(f.dataType))
@@ -200,7 +213,9 @@ class EarlyMeanProcessor(StatefulProcessor):
         return float(total) / n if self.scale is None else (int(total) / 10**self.scale) / n
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        pdf = _rows(rows, self.seq)
+        pdf = _valued(_rows(rows, self.seq), self.value)
+        if pdf.empty:
+            return
         if self.acc.exists():
             total, n, last = self.acc.get()
         else:
@@ -246,58 +261,58 @@ def stream_early_mean(df: DataFrame, keys: Sequence[str], ts: str, value: str, s
 
 # --------------------------------------------------------------------------- evicting mean
 class EvictingMeanProcessor(StatefulProcessor):
+    """Rows still held as list state; a micro-batch that evicts nothing only appends to it."""
+
     def __init__(self, group, seq, value, every, exact_scale):
         self.group, self.seq, self.value = list(group), seq, value
         self.every, self.scale = every, exact_scale
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.buf = handle.getListState("buf", "v double, i long")
+        self.buf = handle.getListState("buf", "v double")
         self.cnt = handle.getValueState("cnt", "pending int, firing int, last long")
 
-    def _mean(self, buf):
-        if self.scale is None:
-            total = 0.0
-            for v, _ in buf:
-                total += v
-            return total / float(len(buf))
-        return (sum(i for _, i in buf) / 10**self.scale) / len(buf)
+    def _held(self) -> EvictingBuffer:
+        return EvictingBuffer(self.scale, (r[0] for r in self.buf.get()))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        pdf = _rows(rows, self.seq)
+        pdf = _valued(_rows(rows, self.seq), self.value)
+        if pdf.empty:
+            return
         if self.cnt.exists():
             pending, firing, last = self.cnt.get()
-            buf = [tuple(r) for r in self.buf.get()]
+            held = self._held()
         else:
-            pending, firing, last, buf = 0, 0, None, []
+            pending, firing, last, held = 0, 0, None, EvictingBuffer(self.scale)
             self.handle.registerTimer(_ms(key[-1]) - 1)
-        v = pdf[self.value].to_numpy(dtype="float64")
-        ints = _exact(v, self.scale)
-        ints = ints.tolist() if ints is not None else [0] * len(v)
-        out = []
-        for s, x, i in zip(pdf[self.seq].tolist(), v.tolist(), ints):
-            buf.append((x, i))
+        values = pdf[self.value].to_numpy(dtype="float64").tolist()
+        out, evicted = [], 0
+        for s, x in zip(pdf[self.seq].tolist(), values):
+            held.add(x)
             pending, last = pending + 1, s
             if pending >= self.every:
                 pending, firing = 0, firing + 1
-                m = self._mean(buf)
-                out.append((*key, firing, "count", s, len(buf), m))
-                buf = [b for b in buf if not b[0] < m]
+                m = held.mean()
+                out.append((*key, firing, "count", s, len(held.heap), m))
+                evicted += held.evict_below(m)
         self.cnt.update((pending, firing, last))
-        self.buf.clear()
-        if buf:
-            self.buf.put(buf)
+        if evicted:
+            self.buf.clear()
+            if held.heap:
+                self.buf.put([(v,) for v in held.heap])
+        else:
+            self.buf.appendList([(v,) for v in values])
         if out:
             yield pd.DataFrame.from_records(out, columns=[*self.group, "firing", "kind", "at_seq", "n", "mean"])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         if self.cnt.exists():
             _, firing, last = self.cnt.get()
-            buf = [tuple(r) for r in self.buf.get()]
+            held = self._held()
             self.cnt.clear()
             self.buf.clear()
-            if buf:
-                yield pd.DataFrame.from_records([(*key, firing + 1, "final", last, len(buf), self._mean(buf))],
+            if held.heap:
+                yield pd.DataFrame.from_records([(*key, firing + 1, "final", last, len(held.heap), held.mean())],
                                                 columns=[*self.group, "firing", "kind", "at_seq", "n", "mean"])
 
 
@@ -327,13 +342,18 @@ class LateClassifierProcessor(StatefulProcessor):
         pdf = _rows(rows, self.seq)
         top = self.top.get()[0] if self.top.exists() else None
         wm, late = [], []
-        for t in pdf["tm_t"].tolist():
+        for t in pdf["tm_t"].astype("Int64").tolist():
             w = None if top is None else top - self.bound_us
-            end = (t // self.size_us) * self.size_us + self.size_us
             wm.append(w)
+            if pd.isna(t):  # a row without a time is not late and moves nothing
+                late.append(False)
+                continue
+            t = int(t)
+            end = (t // self.size_us) * self.size_us + self.size_us
             late.append(w is not None and end - 1_000 <= w)
             top = t if top is None else max(top, t)
-        self.top.update((top,))
+        if top is not None:
+            self.top.update((top,))
         out = pdf.drop(columns=["tm_t", "tm_grp"])
         out["wm_before_us"] = pd.array(wm, dtype="Int64")
         out["is_late"] = late
