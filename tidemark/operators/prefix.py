@@ -27,12 +27,12 @@ plain running frame whenever ``seq`` is unique within a key.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions.timecols import floor_div
 
@@ -47,30 +47,39 @@ _ORD = "__carry_last"
 _FIRST_BLOCK = -(1 << 63)  # block id of a carry from earlier input
 
 
-def auto_block(df: DataFrame, seq: str, floor: int = 1 << 16, ceiling: int = 1 << 22) -> int:
-    """A block size for :func:`running` from the range of ``seq``.
+#: Rows that a block aims at; beyond 2**32 rows blocks grow with the square root of the row count.
+BLOCK_ROWS = 1 << 16
 
-    ``sqrt(range)`` rounded up to a power of two balances the two sides of the
-    scan: at most about ``sqrt(range)`` rows per (key, block) task and per
-    key's block table.  Below ``floor`` blocks would only add block-table rows
-    (with many keys the table nears the row count), so small inputs get one or
-    a few blocks.  Costs one narrow aggregate (min/max of one column).
+
+def _block_size(seq: str) -> Column:
+    """Block width that gives evenly spread ``seq`` values equal row counts per block.
+
+    The number of blocks follows the number of rows (at most about its square
+    root), the width follows from the range, so sparse order columns
+    (time-based or snowflake ids) get no more blocks than dense ones.  Widths
+    are computed as decimals: a range beyond 2**63 is no overflow.
     """
-    lo, hi = df.agg(F.min(seq), F.max(seq)).first()
-    if lo is None:
-        return floor
-    width = max(int(hi) - int(lo) + 1, 1)
-    return max(floor, min(ceiling, 1 << max(0, math.isqrt(width - 1).bit_length())))
+    d = T.DecimalType(38, 0)
+    width = F.max(seq).cast(d) - F.min(seq).cast(d) + F.lit(1).cast(d)
+    rows = F.greatest(F.lit(float(BLOCK_ROWS)), F.sqrt(F.count(seq)))
+    blocks = F.greatest(F.lit(1.0), F.ceil(F.count(seq) / rows).cast("double"))
+    # A power of two, so that a block's first seq is never below the least long.
+    size = F.pow(F.lit(2.0), F.ceil(F.log2(F.greatest(width.cast("double") / blocks, F.lit(1.0)))))
+    return F.coalesce(F.least(size, F.lit(float(1 << 62))).cast("long"), F.lit(BLOCK_ROWS).cast("long"))
+
+
+def auto_block(df: DataFrame, seq: str) -> int:
+    """A block size for :func:`running`, by one narrow aggregate of ``seq``."""
+    return int(df.agg(_block_size(seq)).first()[0])
 
 
-def auto_block_col(df: DataFrame, seq: str, floor: int = 1 << 16, ceiling: int = 1 << 22) -> Column:
+def auto_block_col(df: DataFrame, seq: str) -> Column:
     """:func:`auto_block` as a scalar subquery: the size is computed by the
     query that uses it (Spark 4 ``DataFrame.scalar``), not by a separate job
-    driven from Python.  Any block size gives the same results."""
-    width = F.max(seq) - F.min(seq) + F.lit(1)
-    exp = F.ceil(F.log2(F.sqrt(F.greatest(width, F.lit(1)))))
-    size = F.least(F.lit(ceiling), F.greatest(F.lit(floor), F.pow(F.lit(2.0), exp).cast("long")))
-    return df.select(F.coalesce(size, F.lit(floor)).cast("long").alias("block")).scalar()
+    driven from Python.  The block size decides how work is cut; exact
+    aggregates (integers, decimals, max, min) don't depend on it, sums of
+    doubles may differ in their last bits."""
+    return df.select(_block_size(seq).alias("block")).scalar()
 
 
 class _Agg:
