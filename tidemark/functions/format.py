@@ -40,5 +40,5 @@ def message(template: str, *cols: str | Column, numeric: set[int] | None = None)
 
 
 def render_record(*cols: str) -> Column:
-    """A record as one JSON text (console/print sinks)."""
-    return F.to_json(F.struct(*cols))
+    """A record as one JSON text (console/print sinks); null fields are written as null."""
+    return F.to_json(F.struct(*cols), {"ignoreNullFields": "false"})

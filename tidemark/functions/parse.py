@@ -109,5 +109,6 @@ def parse_scalar(df: DataFrame, name: str, data_type: T.DataType = T.DoubleType(
 
 
 def to_line(cols: Sequence[str | Column], sep: str = ",", name: str = "value") -> Column:
-    """Render columns as one delimited line (the inverse of the parser)."""
-    return F.concat_ws(sep, *[F.col(c).cast("string") if isinstance(c, str) else c.cast("string") for c in cols]).alias(name)
+    """Render columns as one delimited line (the inverse of the parser); a null is an empty field."""
+    text = lambda c: F.coalesce((F.col(c) if isinstance(c, str) else c).cast("string"), F.lit(""))
+    return F.concat_ws(sep, *[text(c) for c in cols]).alias(name)

@@ -85,18 +85,20 @@ def connect_latest_spec(
         F.col(seq).alias("__seq"),
         F.struct(*[F.col(c) for c in subject.columns]).alias("subject"),
         F.lit(None).cast("double").alias("__ctl"),
+        F.lit(False).alias("__is_ctl"),
     )
     c = control.select(
         *keys,
         F.col(seq).alias("__seq"),
         F.lit(None).cast(s.schema["subject"].dataType).alias("subject"),
         F.col(control_value).cast("double").alias("__ctl"),
+        F.lit(True).alias("__is_ctl"),
     )
     ctl_seq = F.when(F.col("__ctl").isNotNull(), F.col("__seq"))
 
     def finish(scanned: DataFrame) -> DataFrame:
         threshold = F.coalesce(F.col("__latest"), F.lit(float(initial)))
-        label = F.when(F.col("subject").isNull(), F.lit(labels[2])).otherwise(
+        label = F.when(F.col("__is_ctl"), F.lit(labels[2])).otherwise(
             threshold_label(F.col(f"subject.{value}"), threshold, labels[:2])
         )
         return scanned.select(
@@ -126,7 +128,8 @@ def connect_latest(
 
     * subject rows: ``subject`` struct, the threshold in force, ``labels[0]``
       if ``value >= threshold`` else ``labels[1]``;
-    * control rows: null ``subject``, the new threshold, ``labels[2]``.
+    * control rows: null ``subject``, the new threshold, ``labels[2]``
+      (a control row without a value leaves the threshold as it is).
 
     "Latest control value" is a running ``max_by(value, seq)`` over control
     rows -- associative, so it runs as a prefix scan over blocks of ``seq``

@@ -19,9 +19,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.timecols import duration_us, epoch_us, like_input
+from tidemark.functions.timecols import duration_us, epoch_us, floor_div, like_input
 from tidemark.operators.prefix import DEFAULT_BLOCK, ScanSpec
-from tidemark.operators.tumbling import WE, WS, window_cols
+from tidemark.operators.tumbling import WE, WS
 
 
 def classify_late_spec(
@@ -33,7 +33,11 @@ def classify_late_spec(
     keys: Sequence[str] = (),
 ) -> ScanSpec:
     bound_us = duration_us(bound)
-    x = df.select("*", *window_cols(df, ts, size), epoch_us(df, ts).alias("__t"))
+    # Window bounds by arithmetic on the instant: F.window would drop rows without a time.
+    size_us, t = duration_us(size), epoch_us(df, ts)
+    start = floor_div(t, size_us) * F.lit(size_us)
+    bound_at = lambda us: like_input(F.timestamp_micros(us), df, ts)
+    x = df.select("*", bound_at(start).alias(WS), bound_at(start + F.lit(size_us)).alias(WE), t.alias("__t"))
 
     def finish(d: DataFrame) -> DataFrame:
         wm_us = F.col("__max_before") - F.lit(bound_us)
@@ -58,7 +62,9 @@ def classify_late(
     keys: Sequence[str] = (),
     block: int = DEFAULT_BLOCK,
 ) -> DataFrame:
-    """Add ``window_start``, ``window_end``, ``wm_before`` and ``is_late``.
+    """Add ``window_start``, ``window_end``, ``wm_before`` and ``is_late``, one row per input row.
+
+    A row without a time has no window and is not late.
 
     ``wm_before`` is the watermark just before the record arrived (null for
     the first record); ``keys`` gives per-key watermarks (default: one stream).

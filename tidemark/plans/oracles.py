@@ -26,7 +26,7 @@ SCAN_LINES = """
 WITH p AS (SELECT doc_id, string_split(text, chr(10)) AS parts FROM documents),
 q AS (
   SELECT doc_id,
-         CASE WHEN len(parts) > 1 AND parts[len(parts)] = '' THEN parts[1:len(parts) - 1] ELSE parts END AS parts
+         CASE WHEN parts[len(parts)] = '' THEN parts[1:len(parts) - 1] ELSE parts END AS parts
   FROM p),
 r AS (SELECT doc_id, unnest(generate_series(1, len(parts))) AS line_no, unnest(parts) AS v FROM q)
 SELECT doc_id, CAST(line_no AS BIGINT) AS line_no,
@@ -65,15 +65,15 @@ WHERE NOT coalesce(value > 250.0, false) AND NOT coalesce(event_type = 'purchase
 
 CONNECT_THRESHOLD = """
 WITH u AS (
-  SELECT event_id, user_id, value, CAST(NULL AS DOUBLE) AS ctl FROM events WHERE event_type = 'purchase'
+  SELECT event_id, user_id, value, CAST(NULL AS DOUBLE) AS ctl, false AS is_ctl FROM events WHERE event_type = 'purchase'
   UNION ALL
-  SELECT event_id, CAST(NULL AS BIGINT), CAST(NULL AS DOUBLE), value FROM events WHERE event_type = 'signup'),
+  SELECT event_id, CAST(NULL AS BIGINT), CAST(NULL AS DOUBLE), value, true FROM events WHERE event_type = 'signup'),
 s AS (
   SELECT *, coalesce(last_value(ctl IGNORE NULLS) OVER (
       ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 50.0) AS threshold
   FROM u)
 SELECT event_id, user_id, value, threshold,
-       CASE WHEN ctl IS NOT NULL THEN 'change passing score'
+       CASE WHEN is_ctl THEN 'change passing score'
             WHEN value >= threshold THEN 'pass' ELSE 'not pass' END AS label
 FROM s
 """
@@ -92,6 +92,20 @@ FROM events
 WINDOW w AS (PARTITION BY event_type ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
 """
 
+RUNNING_LOWEST = """
+SELECT event_id, event_type, value,
+       arg_min(event_id, (value, event_id)) OVER w AS leader_id,
+       min(value) OVER w AS leader_value
+FROM events
+WINDOW w AS (PARTITION BY event_type ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+"""
+
+TUMBLING_STATS = f"""
+SELECT event_type, {_DS} AS window_start, {_DE} AS window_end, count(value) AS n,
+       CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total, min(value) AS least, max(value) AS most
+FROM events GROUP BY ALL
+"""
+
 TUMBLING_MEAN = f"""
 SELECT event_type, {_HS} AS window_start, {_HE} AS window_end, count(value) AS n,
        CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) / count(value) AS mean
@@ -181,6 +195,8 @@ SELECT o_orderkey, o_orderdate, window_start, window_end, make_timestamp(wm) AS
 FROM x
 """
 
+LATE_ORDERS_BOUND0 = LATE_ORDERS.replace(f"- 1200 * {DAY_US} AS wm", "AS wm")
+
 ONTIME_ORDERS_DAILY = f"""
 WITH x AS (
   SELECT o_orderdate, o_totalprice, {_OE} AS window_end,
@@ -238,10 +254,13 @@ ORACLES = {
     "running_oldest": RUNNING_OLDEST,
     "tumbling_mean": TUMBLING_MEAN,
     "tumbling_extremes": TUMBLING_EXTREMES,
+    "running_lowest": RUNNING_LOWEST,
+    "tumbling_stats": TUMBLING_STATS,
     "running_mean": RUNNING_MEAN,
     "early_mean": EARLY_MEAN,
     "evicting_mean": EVICTING_MEAN,
     "late_orders": LATE_ORDERS,
+    "late_orders_bound0": LATE_ORDERS_BOUND0,
     "ontime_orders_daily": ONTIME_ORDERS_DAILY,
     "interval_join": INTERVAL_JOIN,
     "match_message": MATCH_MESSAGE,

@@ -59,34 +59,22 @@ def read_lines(spark: SparkSession, path: str, with_seq: bool = False) -> DataFr
         "value", (F.col("__offset") + F.col("__mid") - F.col("__first")).alias("seq"))
 
 
-_TABLES: dict[tuple[str, str], DataFrame] = {}
-
-
-def read_table(spark: SparkSession, sf_dir: str, name: str, fresh: bool = False) -> DataFrame:
-    """One of the driver tables: ``{sf_dir}/{name}.parquet``.
-
-    The DataFrame (a lazy plan: file listing and schema, no data) is made once
-    per application and path and then reused, like a table registered once;
-    ``fresh=True`` lists the files again.
-    """
-    path = os.path.join(sf_dir, f"{name}.parquet")
-    key = (spark.sparkContext.applicationId, path)
-    if fresh or key not in _TABLES:
-        _TABLES[key] = spark.read.parquet(path)
-    return _TABLES[key]
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One of the driver tables: ``{sf_dir}/{name}.parquet``, as it is on disk now."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def lines_of(df: DataFrame, text: str, id_cols: tuple[str, ...] = ()) -> DataFrame:
     """Split a text column into lines the way a line reader does.
 
     ``\\n`` ends a line, a trailing ``\\r`` is dropped, and a final empty piece
-    after a closing newline is not a line.  Output: ``id_cols``, ``line_no``
+    after a closing newline is not a line (an empty text has no lines).  Output: ``id_cols``, ``line_no``
     (from 1) and ``value``.  Whole texts, every line.
     """
     parts = F.split(F.col(text), "\n", -1)
     n = F.size(parts)
     last_empty = F.element_at(parts, -1) == F.lit("")
-    keep = F.when((n > 1) & last_empty, F.slice(parts, 1, n - 1)).otherwise(parts)
+    keep = F.when(last_empty, F.slice(parts, 1, n - 1)).otherwise(parts)
     v = F.col("value")
     no_cr = F.when(v.endswith("\r"), F.expr("substring(value, 1, length(value) - 1)")).otherwise(v)
     return (
