@@ -70,14 +70,17 @@ def pin_utc(spark: SparkSession) -> None:
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    A cluster sets it; only when it is unset (local tests) a fresh local folder
-    is taken and registered, so streaming checkpoints and ``DataFrame.checkpoint``
-    both land in the same place.
+    A cluster must set it: a machine-local folder is not seen by executors and
+    not found again by a new driver.  Only a local master without the setting
+    (tests) gets a fresh local folder.  It is registered, so streaming
+    checkpoints and ``DataFrame.checkpoint`` both land in the same place.
     """
     global _local_root
     sc = spark.sparkContext
     root = sc.getConf().get("spark.checkpoint.dir", None)
     if not root:
+        if not sc.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         if _local_root is None:
             _local_root = tempfile.mkdtemp(prefix="tidemark-ckpt-")
         root = _local_root

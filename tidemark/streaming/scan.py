@@ -13,7 +13,7 @@ Per micro-batch ``N`` (``foreachBatch``):
 2. output = the operator's scan over the batch, seeded with that carry,
    written to ``<path>/epoch=N`` (overwrite);
 3. carry = totals of the batch merged with the old carry, written to
-   ``<checkpoint root>/<name>-carry/epoch=N`` (overwrite).
+   ``<the query's checkpoint>/carry/epoch=N`` (overwrite).
 
 A batch that is replayed after a failure reads the same carry and overwrites
 the same folders, so output and carry stay exactly-once.  Order: rows of
@@ -44,7 +44,8 @@ def stream_scan(
 ):
     """Run ``spec`` (built on a streaming DataFrame) micro-batch by micro-batch."""
     spark = spec.frame.sparkSession
-    carry_root = checkpoint_location(spark, f"{name}-carry")
+    checkpoint = checkpoint or checkpoint_location(spark, name)
+    carry_root = os.path.join(checkpoint, "carry")  # goes wherever the query's own state goes
 
     def one_batch(batch: DataFrame, epoch: int) -> None:
         carry = None
@@ -63,7 +64,7 @@ def stream_scan(
 
     return (
         spec.frame.writeStream.queryName(name)
-        .option("checkpointLocation", checkpoint or checkpoint_location(spark, name))
+        .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"availableNow": True}))
         .foreachBatch(one_batch)
         .start()
