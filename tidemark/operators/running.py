@@ -12,6 +12,7 @@ most of the rows is still spread over ``rows / block`` tasks.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -53,6 +54,45 @@ def running_argmax(
     return running_argmax_spec(df, keys, seq, value, payload, name).run(block)
 
 
+def running_reduce_spec(
+    df: DataFrame,
+    keys: Sequence[str],
+    seq: str,
+    order: Sequence[str],
+    lowest: bool = False,
+    payload: Sequence[str] = (),
+    name: str = "leader",
+) -> ScanSpec:
+    columns = list(dict.fromkeys([seq, *order, *payload]))
+    rec = F.struct(*[F.col(c) for c in columns])
+    turn = F.col(seq) if lowest else -F.col(seq)
+    ranked = F.struct(*[F.col(c).alias(f"v{i}") for i, c in enumerate(order)], turn.alias("o"), rec.alias("r"))
+    # A row with a null in its order never leads (it would be the least of all).
+    whole = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in order])
+    ranked = F.when(whole, ranked)
+    out_cols = [*df.columns, F.col("__lead.r").alias(name)]
+    return ScanSpec(df, seq, {"__lead": ("min" if lowest else "max", ranked)}, list(keys), finish=lambda d: d.select(*out_cols))
+
+
+def running_reduce(
+    df: DataFrame,
+    keys: Sequence[str],
+    seq: str,
+    order: Sequence[str],
+    lowest: bool = False,
+    payload: Sequence[str] = (),
+    block: int = DEFAULT_BLOCK,
+    name: str = "leader",
+) -> DataFrame:
+    """Add ``name``: struct(seq, order..., payload...) of the leading row so far.
+
+    The rolling reduce with a caller's order: the row whose ``order`` columns are
+    highest (or ``lowest``) among rows of the key up to this one; the first
+    arrival keeps the lead on ties; null before any row could lead.
+    """
+    return running_reduce_spec(df, keys, seq, order, lowest, payload, name).run(block)
+
+
 def running_mean_spec(
     df: DataFrame,
     keys: Sequence[str],

@@ -73,6 +73,18 @@ def tumbling_mean(
     )
 
 
+def tumbling_agg(df: DataFrame, keys: Sequence[str], ts: str, size: str | int | dt.timedelta, **aggs: Column) -> DataFrame:
+    """Per (keys, window): any built-in aggregates, ``name=aggregate``.
+
+    The open form of an aggregate function over a window (create, add, merge,
+    finish): every Spark aggregate already is one, computed partially before the
+    only shuffle.  Rows without a time are in no window.
+    """
+    if not aggs:
+        raise ValueError("tumbling_agg needs at least one aggregate")
+    return with_window(df, ts, size).groupBy(*keys, WS, WE).agg(*[a.alias(n) for n, a in aggs.items()])
+
+
 def tumbling_extremes(
     df: DataFrame,
     keys: Sequence[str],

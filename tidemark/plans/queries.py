@@ -11,9 +11,10 @@ Conventions shared with the oracles:
   ``decimal(18,2)`` and divided once, so results agree to the last bit however
   the rows are partitioned.
 * Prefix scans use ``tidemark.scan.block`` from the session when set, else a
-  block of about sqrt(seq range), at least 2**16, computed by the query itself
-  (:func:`tidemark.operators.prefix.auto_block_col`): 2**16 up to 2**32 rows,
-  2**20 at 10**12.  Tests pin small blocks to exercise the multi-block path.
+  block of about max(2**16, sqrt(rows)) rows, computed by the query itself from
+  the count and range of ``seq`` (one more pass over that column,
+  :func:`tidemark.operators.prefix.auto_block_col`).  ``test_entry.py`` runs the
+  scan queries against their oracles with many small blocks.
 """
 
 from __future__ import annotations
@@ -29,8 +30,8 @@ from tidemark.operators.firing import early_mean, evicting_mean
 from tidemark.operators.joins import interval_join
 from tidemark.operators.lateness import classify_late, drop_late
 from tidemark.operators.prefix import auto_block_col
-from tidemark.operators.running import running_argmax, running_mean
-from tidemark.operators.tumbling import tumbling_extremes, tumbling_mean, tumbling_members
+from tidemark.operators.running import running_argmax, running_mean, running_reduce
+from tidemark.operators.tumbling import tumbling_agg, tumbling_extremes, tumbling_mean, tumbling_members
 from tidemark.session import pin_utc
 from tidemark.sources.files import lines_of, read_table
 
@@ -165,6 +166,22 @@ def tumbling_extremes_q(spark, sf_dir):
     )
 
 
+def running_lowest(spark, sf_dir):
+    """A5 with a caller's order: per event type, the lowest value so far (first arrival wins ties)."""
+    e = _t(spark, sf_dir, "events").select("event_id", "event_type", "value")
+    r = running_reduce(e, ["event_type"], "event_id", ["value"], lowest=True, block=_block(spark, e, "event_id"))
+    return r.select("event_id", "event_type", "value",
+                    F.col("leader.event_id").alias("leader_id"), F.col("leader.value").alias("leader_value"))
+
+
+def tumbling_stats(spark, sf_dir):
+    """W2 with other aggregates: daily count, exact total, range per event type."""
+    e = _t(spark, sf_dir, "events")
+    cents = F.col("value").cast("decimal(18,2)")
+    return tumbling_agg(e, ["event_type"], "ts", DAY, n=F.count("value"), total=F.sum(cents).cast("double"),
+                        least=F.min("value"), most=F.max("value"))
+
+
 def running_mean_q(spark, sf_dir):
     """A6/ST1: running mean value per user, one row per event."""
     e = _t(spark, sf_dir, "events").select("event_id", "user_id", "value")
@@ -192,6 +209,12 @@ def late_orders(spark, sf_dir):
     return classify_late(o, "o_orderdate", "o_orderkey", LATE_BOUND, DAY, block=_block(spark, o, "o_orderkey"))
 
 
+def late_orders_bound0(spark, sf_dir):
+    """The same against a watermark without slack (the highest time so far)."""
+    o = _t(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
+    return classify_late(o, "o_orderdate", "o_orderkey", 0, DAY, block=_block(spark, o, "o_orderkey"))
+
+
 def ontime_orders_daily(spark, sf_dir):
     """T4 + W2: late orders discarded, then a daily count and exact total."""
     o = _t(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", "o_totalprice")
@@ -245,10 +268,13 @@ QUERIES = {
     "running_oldest": running_oldest,
     "tumbling_mean": tumbling_mean_q,
     "tumbling_extremes": tumbling_extremes_q,
+    "running_lowest": running_lowest,
+    "tumbling_stats": tumbling_stats,
     "running_mean": running_mean_q,
     "early_mean": early_mean_q,
     "evicting_mean": evicting_mean_q,
     "late_orders": late_orders,
+    "late_orders_bound0": late_orders_bound0,
     "ontime_orders_daily": ontime_orders_daily,
     "interval_join": interval_join_q,
     "match_message": match_message,

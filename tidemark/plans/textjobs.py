@@ -65,14 +65,20 @@ def union_people(spark, path_a, path_b):
     return union_all(_records(spark, path_a, PERSON).drop("seq"), _records(spark, path_b, PERSON).drop("seq"))
 
 
-def pass_marks(spark, paths, initial=PASS_MARK):
+def pass_marks(spark, students, marks=None, initial=PASS_MARK):
     """4: students labelled against the latest pass mark.
 
-    One arrival log replaces the two sockets of the original: a line with a
-    single field is a new pass mark, any other line a student record, and line
-    order (across files in path order) is arrival order.
+    With one input, the arrival log of both: a line with a single field is a new
+    pass mark, any other line a student record, and line order (across files in
+    path order) is arrival order.  With two, files of students and of marks that
+    were read side by side: line k of both arrived in turn, the mark first.
     """
-    lines = read_lines(spark, paths, with_seq=True)
+    if marks is not None:
+        log = read_lines(spark, students, with_seq=True).select("value", (F.col("seq") * 2 + 1).alias("seq"))
+        subject = parse_delimited(log, SCORED, char_fields=CHAR_FIELDS, keep=("seq",))
+        log = read_lines(spark, marks, with_seq=True).select("value", (F.col("seq") * 2).alias("seq"))
+        return connect_latest(subject, parse_scalar(log, "mark", keep=("seq",)), "seq", "score", "mark", initial)
+    lines = read_lines(spark, students, with_seq=True)
     is_mark = ~F.col("value").contains(",")
     subject = parse_delimited(lines.filter(~is_mark), SCORED, char_fields=CHAR_FIELDS, keep=("seq",))
     control = parse_scalar(lines.filter(is_mark), "mark", keep=("seq",))
@@ -144,6 +150,9 @@ def height_join(spark, men, women):
     return j.select("l_id", "r_id", text.alias("message"))
 
 
+#: Dataflows whose inputs differ in kind, and how many they take.
+TWO_INPUTS = {"union": (2,), "height-join": (2,), "pass-marks": (1, 2)}
+
 DATAFLOWS = {
     "lines": print_lines,
     "people": people,
