@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 from tidemark.operators.compose import connect_latest
 from tidemark.operators.firing import early_mean, evicting_mean
 from tidemark.operators.joins import interval_join
-from tidemark.operators.lateness import classify_late
-from tidemark.operators.running import running_argmax, running_mean
+from tidemark.operators.lateness import classify_late, drop_late
+from tidemark.operators.running import running_argmax, running_mean, running_reduce
 from tidemark.operators.tumbling import tumbling_extremes, tumbling_mean, tumbling_members
 
 SF = "/root/testdata/sf0.001"
@@ -103,7 +103,92 @@ def test_block_size_from_data_matches_driver_rule(spark):
     frames += [spark.createDataFrame([(0,), (w - 1,)], "seq long") for w in (1 << 40, (1 << 40) + 1, 10**12)]
     for df in frames:
         assert spark.range(1).select(auto_block_col(df, "seq").alias("b")).first().b == auto_block(df, "seq")
-    assert auto_block(frames[2], "seq") == 1 << 20
+    assert auto_block(frames[2], "seq") >= 1 << 39  # two rows need no more than a block or two
+    whole = spark.createDataFrame([(-(1 << 63),), ((1 << 63) - 1,)], "seq long")
+    assert auto_block(whole, "seq") == 1 << 62  # a range beyond 2**63 is no overflow
+
+
+@pytest.mark.parametrize("spacing", [1, 1 << 24, 1 << 40])
+def test_blocks_follow_rows_not_the_range(spark, spacing):
+    """Time-based and snowflake ids are sparse: as many blocks as for dense ones, and the same result."""
+    from tidemark.functions.timecols import floor_div
+    from tidemark.operators.prefix import auto_block, running
+
+    df = spark.range(200_000).select((F.col("id") * spacing).alias("seq"), (F.col("id") % 7).alias("v"))
+    block = auto_block(df, "seq")
+    sizes = [r["count"] for r in df.groupBy(floor_div(F.col("seq"), block)).count().collect()]
+    assert len(sizes) <= 8 and max(sizes) <= 1 << 17
+    got = running(df, "seq", {"s": ("sum", F.col("v"))}, block=block).agg(F.max("s"), F.sum("s")).first()
+    v = [i % 7 for i in range(200_000)]
+    import itertools
+    total = list(itertools.accumulate(v))
+    assert tuple(got) == (total[-1], sum(total))
+
+
+def test_evicting_fold_keeps_null_and_large_keys(spark):
+    big = 9007199254740993  # not a double
+    rows = [(k, dt.datetime(2024, 1, 1, 0, i), i, float(i)) for i, k in enumerate([None] * 6 + [big] * 3 + [big - 1] * 2)]
+    df = spark.createDataFrame(rows, "k long, ts timestamp_ntz, seq long, v double")
+    got = sorted(((r.k or 0, r.firing, r.kind, r.n) for r in evicting_mean(df, ["k"], "ts", "v", "seq", "1 day").collect()))
+    assert got == [(0, 1, "count", 3), (0, 2, "count", 5), (0, 3, "final", 3), (big - 1, 1, "final", 2), (big, 1, "count", 3), (big, 2, "final", 2)]
+    names = spark.createDataFrame([(None if k is None else str(k), t, s, v) for k, t, s, v in rows], "k string, ts timestamp_ntz, seq long, v double")
+    assert sorted((r.k or "", r.n) for r in evicting_mean(names, ["k"], "ts", "v", "seq", "1 day").collect()) == sorted(
+        [("", 3), ("", 5), ("", 3), (str(big - 1), 2), (str(big), 3), (str(big), 2)])
+
+
+def test_evicting_buffer_is_not_quadratic():
+    """Equal values evict nothing: a million rows with a report every three stay quick."""
+    import time
+
+    from tidemark.operators.firing import EvictingBuffer
+
+    held, began = EvictingBuffer(2), time.perf_counter()
+    for i in range(1, 1_000_001):
+        held.add(2.5)
+        if i % 3 == 0:
+            assert held.mean() == 2.5
+            held.evict_below(2.5)
+    assert len(held.heap) == 1_000_000 and time.perf_counter() - began < 30
+
+
+def test_rows_without_time_value_or_control(spark):
+    t = dt.datetime(2024, 1, 1)
+    df = spark.createDataFrame([(1, t), (2, None), (3, t)], "seq long, ts timestamp_ntz")
+    late = {r.seq: (r.window_start, r.is_late) for r in classify_late(df, "ts", "seq", 0, "1 day").collect()}
+    assert late == {1: (t, False), 2: (None, False), 3: (t, False)}
+    assert drop_late(df, "ts", "seq", 0, "1 day").count() == 3
+    subject = spark.createDataFrame([(1, 5.0), (4, 7.0), (5, None)], "seq long, v double")
+    control = spark.createDataFrame([(2, None), (3, 9.0)], "seq long, m double")
+    got = sorted((r.seq, r.threshold, r.label) for r in connect_latest(subject, control, "seq", "v", "m", 1.0).collect())
+    assert got == [(1, 1.0, "pass"), (2, 1.0, "change passing score"), (3, 9.0, "change passing score"), (4, 9.0, "not pass"), (5, 9.0, "not pass")]
+
+
+def test_null_fields_keep_their_place(spark):
+    from tidemark.functions.format import render_record
+    from tidemark.functions.parse import to_line
+
+    df = spark.createDataFrame([("a", None, 3)], "x string, y long, z long")
+    assert df.select(to_line(["x", "y", "z"])).first()[0] == "a,,3"
+    assert df.select(render_record("x", "y")).first()[0] == '{"x":"a","y":null}'
+
+
+def test_tables_are_read_by_the_session_that_asks(spark, tmp_dir):
+    from tidemark.sources.files import read_table
+
+    spark.range(3).write.parquet(f"{tmp_dir}/t.parquet")
+    other = spark.newSession()
+    assert read_table(other, tmp_dir, "t").sparkSession is other
+    spark.range(5).write.mode("overwrite").parquet(f"{tmp_dir}/t.parquet")
+    assert read_table(spark, tmp_dir, "t").count() == 5
+
+
+def test_running_reduce_orders(spark):
+    rows = [(1, "a", None, 1), (2, "a", 5, 2), (3, "a", 5, 1), (4, "a", 2, 9), (5, "a", 2, 9)]
+    df = spark.createDataFrame(rows, "seq long, k string, v long, w long")
+    low = {r.seq: r.leader and r.leader.seq for r in running_reduce(df, ["k"], "seq", ["v"], lowest=True, block=2).collect()}
+    assert low == {1: None, 2: 2, 3: 2, 4: 4, 5: 4}
+    both = {r.seq: r.leader and r.leader.seq for r in running_reduce(df, ["k"], "seq", ["v", "w"], block=2).collect()}
+    assert both == {1: None, 2: 2, 3: 2, 4: 2, 5: 2}
 
 
 def test_event_time_arithmetic_ignores_session_zone(spark):

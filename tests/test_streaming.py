@@ -376,3 +376,70 @@ def test_end_of_input_marker_fires_processor_timers(spark, tmp_dir):
     assert finals == [(_utc(13, 20), 1, 168.0), (_utc(13, 25), 5, 174.0), (_utc(13, 30), 5, 166.6),
                       (_utc(13, 35), 1, 155.0)]
     assert all(r.sex == "m" for r in rows)
+
+
+NULLS_PA = pa.schema([("seq", pa.int64()), ("k", pa.string()), ("v", pa.float64()), ("ts", pa.int64())])
+
+
+def _null_rows():
+    values = [None, 10.0, None, 20.0, 5.0, None, 20.0, 31.0, 2.0, None]
+    return [{"seq": i + 1, "k": "a" if i % 3 else "b", "v": v, "ts": None if i in (2, 6) else T0 + (i % 5) * MINUTE}
+            for i, v in enumerate(values)]
+
+
+def test_processors_on_nulls_match_batch(spark, tmp_dir):
+    """Null values and times: every keyed-state form gives what its batch form gives."""
+    from tidemark.operators.lateness import classify_late
+    from tidemark.operators.running import running_argmax, running_mean
+    from tidemark.streaming.processors import stream_classify_late
+
+    folder = os.path.join(tmp_dir, "in")
+    land(folder, _null_rows(), NULLS_PA, per_file=3)
+    batch = spark.read.parquet(folder)
+    s = stream_table(spark, folder, batch.schema, max_files_per_trigger=1)
+    clean = lambda x: None if x is None or x != x else x
+    for scale in (None, 2):
+        got = sorted((r.k, r.seq, r.n, clean(r.mean)) for r in run(stream_running_mean(s, ["k"], "seq", "v", scale), spark))
+        assert got == sorted((r.k, r.seq, r.n, r.mean) for r in running_mean(batch, ["k"], "seq", "v", scale).collect())
+    got = sorted((r.k, r.seq, r.leader_seq, clean(r.leader_value)) for r in run(stream_running_argmax(s, ["k"], "seq", "v"), spark))
+    assert got == sorted((r.k, r.seq, r.leader.seq, r.leader.v) for r in running_argmax(batch, ["k"], "seq", "v").collect())
+    got = sorted((r.seq, r.is_late) for r in run(stream_classify_late(s, "ts", "seq", "1 minute", "1 minute"), spark))
+    assert got == sorted((r.seq, r.is_late) for r in classify_late(batch, "ts", "seq", "1 minute", "1 minute").collect())
+
+
+def test_window_processors_skip_nulls_like_batch(spark, tmp_dir):
+    from tidemark.operators.firing import early_mean, evicting_mean
+    from tidemark.sources.files import mark_end_of_input
+
+    rows = [{"seq": i + 1, "k": "a", "v": None if i % 4 == 1 else float(i % 7), "ts": T0 + i * 1000} for i in range(20)]
+    folder = os.path.join(tmp_dir, "in")
+    land(folder, rows, NULLS_PA, per_file=7)
+    batch = spark.read.parquet(folder)
+    mark_end_of_input(spark, folder, batch.schema, "ts", {"k": "end", "seq": 0, "v": 0.0})
+    s = stream_table(spark, folder, batch.schema, max_files_per_trigger=1)
+    real = batch.filter("k = 'a'")
+    got = sorted((r.firing, r.at_seq, r.n, r.mean) for r in run(stream_early_mean(s, ["k"], "ts", "v", "seq", "5 minutes", exact_scale=2), spark) if r.k == "a")
+    assert got == sorted((r.firing, r.at_seq, r.n, r.mean) for r in early_mean(real, ["k"], "ts", "v", "seq", "5 minutes", exact_scale=2).collect())
+    got = sorted((r.firing, r.kind, r.at_seq, r.n, r.mean) for r in run(stream_evicting_mean(s, ["k"], "ts", "v", "seq", "5 minutes"), spark) if r.k == "a")
+    assert got == sorted((r.firing, r.kind, r.at_seq, r.n, r.mean) for r in evicting_mean(real, ["k"], "ts", "v", "seq", "5 minutes").collect())
+
+
+def test_scan_restarts_from_its_own_checkpoint(spark, tmp_dir):
+    """The carry lies in the query's checkpoint: a restarted query goes on from there."""
+    from tidemark.operators.running import running_mean
+    from tidemark.streaming.scan import stream_running_mean_scan
+
+    folder, out, ckpt = (os.path.join(tmp_dir, x) for x in ("in", "out", "ckpt"))
+    rows = [{"seq": i + 1, "k": "a", "v": float(i), "ts": T0} for i in range(9)]
+    for k in range(3):
+        os.makedirs(folder, exist_ok=True)
+        p = os.path.join(folder, f"part-{k}.parquet")
+        pq.write_table(pa.Table.from_pylist(rows[3 * k : 3 * k + 3], schema=NULLS_PA), p)
+        os.utime(p, (1_600_000_000 + k,) * 2)
+        s = stream_table(spark, folder, spark.read.parquet(folder).schema, max_files_per_trigger=1)
+        q = stream_running_mean_scan(s, ["k"], "seq", "v", "restart_" + uuid.uuid4().hex[:6], out, checkpoint=ckpt)
+        q.awaitTermination(120)
+        q.stop()
+    got = sorted((r.seq, r.n, r.mean) for r in spark.read.parquet(out).collect())
+    assert got == sorted((r.seq, r.n, r.mean) for r in running_mean(spark.read.parquet(folder), ["k"], "seq", "v").collect())
+    assert os.path.isdir(os.path.join(ckpt, "carry", "epoch=2"))
