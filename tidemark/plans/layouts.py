@@ -1,6 +1,6 @@
 """Record layouts of comma-separated event lines (no header, no quoting).
 
-Positions matter, names are ours.  Several inputs carry a readable time after
+Positions matter, names are the fields of the input records in snake case.  Several inputs carry a readable time after
 the last field; parse with ``cut_last_at_blank=True`` (the dataflows in
 :mod:`tidemark.plans.textjobs` do).
 """
