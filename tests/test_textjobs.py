@@ -6,8 +6,9 @@ import os
 import subprocess
 import sys
 
-from fixture_data import (HEIGHTS, HEIGHTS_P12, MEN_H, MEN_IDS, SEX_P9, T6, WOMEN_H, WOMEN_IDS, graded_lines,
-                          left_at_lines, measured_at_lines, p2_lines, p3_second_file, scored_lines)
+from fixture_data import (AGE_P2, AGE_P7, HEIGHTS, HEIGHTS_P12, MEN_H, MEN_IDS, MINUTE, PASS_MARKS, SCORES, SEX_P2, SEX_P7, SEX_P9,
+                          T0, T6, WOMEN_H, WOMEN_IDS, graded_lines, left_at_lines, measured_at_lines, p2_lines, p3_second_file,
+                          person_lines, scored_lines)
 from tidemark.plans.textjobs import DATAFLOWS
 
 REPO = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
@@ -58,6 +59,68 @@ def test_height_join_messages(spark, tmp_dir):
                      "female student[id:5,name:p5,height:177,arriveTime:1,618,838,750,000]")
 
 
+def test_pass_marks_from_two_files(spark, tmp_dir):
+    """Line k of marks and students arrive in turn, the mark first."""
+    students, marks = write(tmp_dir, "s.txt", scored_lines()), write(tmp_dir, "m.txt", [str(m) for m in PASS_MARKS])
+    rows = DATAFLOWS["pass-marks"](spark, students, marks).orderBy("seq").collect()
+    assert [(r.subject.id if r.subject else None, r.threshold, r.label) for r in rows] == [
+        (None, 560, "change passing score"), ("1", 560, "not pass"), (None, 600, "change passing score"), ("2", 600, "pass"),
+        (None, 650, "change passing score"), ("3", 650, "not pass"), ("4", 650, "not pass"), ("5", 650, "not pass")]
+
+
+def test_people_and_split(spark, tmp_dir):
+    rows = DATAFLOWS["people"](spark, write(tmp_dir, "p.txt", p2_lines())).orderBy("seq").collect()
+    assert [(r.id, r.sex, r.age) for r in rows] == [(str(i + 1), s, a) for i, (s, a) in enumerate(zip(SEX_P2, AGE_P2))]
+    rows = DATAFLOWS["split"](spark, write(tmp_dir, "s.txt", scored_lines())).orderBy("seq").collect()
+    assert [(r.id, r.route) for r in rows] == [
+        (str(i + 1), "admitted" if x > 600 else "not admitted") for i, x in enumerate(SCORES)]
+
+
+def test_oldest_by_sex(spark, tmp_dir):
+    p = write(tmp_dir, "p7.txt", person_lines(SEX_P7, AGE_P7))
+    got = [r.leader.id for r in DATAFLOWS["oldest"](spark, p).orderBy("seq").collect()]
+    best, want = {}, []
+    for i, (s, a) in enumerate(zip(SEX_P7, AGE_P7), start=1):
+        if s not in best or a > best[s][0]:
+            best[s] = (a, str(i))
+        want.append(best[s][1])
+    assert got == want
+
+
+def _five_minutes(heights=HEIGHTS):
+    groups = {}
+    for n, (s, h) in enumerate(zip(SEX_P9, heights)):
+        start = (T0 + n * MINUTE) // (5 * MINUTE) * 5 * MINUTE
+        groups.setdefault((s, start), []).append((str(n + 1), float(h)))
+    return groups
+
+
+def _key(r):
+    return r.sex, int(r.window_start.timestamp() * 1000)
+
+
+def test_window_dataflows(spark, tmp_dir):
+    p, groups = write(tmp_dir, "p9.txt", measured_at_lines(SEX_P9, HEIGHTS)), _five_minutes()
+    means = {_key(r): r["mean"] for r in DATAFLOWS["mean-height"](spark, p).collect()}
+    assert means == {k: sum(h for _, h in v) / len(v) for k, v in groups.items()}
+    report = {_key(r): (r.highest.id, r.lowest.id, r.n) for r in DATAFLOWS["window-report"](spark, p).collect()}
+    assert report == {k: (max(v, key=lambda x: x[1])[0], min(v, key=lambda x: x[1])[0], len(v)) for k, v in groups.items()}
+    members = {_key(r): [(m.id, m.height) for m in r.members] for r in DATAFLOWS["window-members"](spark, p).collect()}
+    assert members == groups
+
+
+def test_early_height(spark, tmp_dir):
+    p, groups = write(tmp_dir, "p11.txt", measured_at_lines(["m"] * 12, HEIGHTS)), {}
+    for (_, start), v in _five_minutes().items():
+        groups.setdefault(start, []).extend(v)
+    want = []
+    for start, v in groups.items():
+        v = [h for _, h in sorted(v, key=lambda x: int(x[0]))]
+        want += [(start, "early", n, sum(v[:n]) / n) for n in range(4, len(v) + 1)] + [(start, "final", len(v), sum(v) / len(v))]
+    rows = DATAFLOWS["early-height"](spark, p).collect()
+    assert sorted((int(r.window_start.timestamp() * 1000), r.firing, r.n, r["mean"]) for r in rows) == sorted(want)
+
+
 def test_command_line(tmp_dir):
     p = write(tmp_dir, "lines.txt", ["alpha", "beta gamma"])
     env = dict(os.environ, PYTHONPATH=REPO)
@@ -65,3 +128,7 @@ def test_command_line(tmp_dir):
                          env=env, timeout=300, cwd=tmp_dir)
     assert out.returncode == 0, out.stderr[-2000:]
     assert "beta gamma" in out.stdout
+    q = write(tmp_dir, "more.txt", [f"line {i}" for i in range(1500)])
+    out = subprocess.run([sys.executable, "-m", "tidemark", "lines", p, q], capture_output=True, text=True,
+                         env=env, timeout=300, cwd=tmp_dir)
+    assert out.returncode == 0 and sum(x.startswith("line ") for x in out.stdout.splitlines()) == 1500  # no row is cut off
