@@ -76,7 +76,7 @@ def _repeating(seed):
     return texts
 
 
-@pytest.mark.parametrize("settings", [suffix.Settings(), suffix.Settings(heavy=3), suffix.Settings(block=700, shard=5, bucket=9000, small=0)])
+@pytest.mark.parametrize("settings", [suffix.Settings(), suffix.Settings(heavy=3), suffix.Settings(block=700, shard=5, held=20, small=0)])
 def test_suffix_like_brute_force(spark, settings):
     texts = _repeating(4)
     rows = list(enumerate(texts))

@@ -1,4 +1,4 @@
-"""Which hashes occur more than once, counted exactly at the owners of hash ranges and told by a filter of fixed size."""
+"""Which hashes occur often, counted exactly at the owners of hash ranges and told by filters of fixed size."""
 
 from __future__ import annotations
 
@@ -16,8 +16,8 @@ from tidemark.llm.shingles import mix
 class Ranges:
     #: Owners (a power of two); with 32 bits of value each, hashes are told apart by ``owner_bits`` + 32 bits.
     owner_bits: int = 8
-    #: Size of the filter in bits (a power of two).
-    filter_bits: int = 27
+    #: Size of a filter in bits (a power of two).
+    filter_bits: int = 26
     #: Hashes a task holds before it sends them.
     held: int = 2_000_000
 
@@ -32,7 +32,7 @@ class Ranges:
         return (m & mask).astype(np.int64), ((m >> np.uint64(32)) & mask).astype(np.int64)
 
     def often(self, bits: np.ndarray, g: np.ndarray) -> np.ndarray:
-        """Whether each hash occurs more than once: never wrong if it does, seldom if it doesn't."""
+        """Whether each hash occurs so often as a filter says: never wrong if it does, seldom if it doesn't."""
         owner, value = self.address(g)
         first, second = self.spots(value)
         test = lambda at: (bits[owner, at >> 3] >> (at & 7).astype(np.uint8)) & 1
@@ -47,12 +47,13 @@ def packed(parts: list[np.ndarray], ranges: Ranges) -> pa.RecordBatch:
     for k in np.unique(owner):
         at = slice(*np.searchsorted(owner, [k, k + 1]))
         v, c = value[at], n[at]
-        rows.append((int(k), v[c == 1].tobytes(), v[c > 1].tobytes()))
-    return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), (pa.int32(), pa.binary(), pa.binary()), strict=True)], ["owner", "once", "more"])
+        rows.append((int(k), v[c == 1].tobytes(), v[c > 1].tobytes(), c[c > 1].astype(np.uint32).tobytes()))
+    kinds = (pa.int32(), pa.binary(), pa.binary(), pa.binary())
+    return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), kinds, strict=True)], ["owner", "once", "more", "times"])
 
 
-def repeated(rows: DataFrame, hashes, ranges: Ranges) -> np.ndarray:
-    """Filter of the hashes that occur more than once; ``hashes`` turns Arrow batches into arrays of hashes."""
+def frequent(rows: DataFrame, hashes, least: tuple[int, ...], ranges: Ranges) -> list[np.ndarray]:
+    """A filter for each of ``least``: the hashes that occur so often or more; ``hashes`` turns Arrow batches into arrays of hashes."""
 
     def send(batches) -> Iterator[pa.RecordBatch]:
         parts, size = [], 0
@@ -67,15 +68,20 @@ def repeated(rows: DataFrame, hashes, ranges: Ranges) -> np.ndarray:
 
     def answer(t: pa.Table) -> pa.Table:
         read = lambda c: np.frombuffer(b"".join(t[c].to_pylist()), np.uint32)
-        more = np.unique(read("more"))
-        value, n = np.unique(np.concatenate([read("once"), more, more]), return_counts=True)
-        bits = np.zeros(1 << (ranges.filter_bits - ranges.owner_bits), bool)
-        for at in ranges.spots(value[n > 1]):
-            bits[at] = True
-        return pa.table({"owner": t["owner"][:1], "bits": pa.array([np.packbits(bits, bitorder="little").tobytes()], pa.binary())})
-
-    got = rows.mapInArrow(send, "owner int, once binary, more binary").groupBy("owner").applyInArrow(answer, "owner int, bits binary").collect()
-    bits = np.zeros((1 << ranges.owner_bits, 1 << (ranges.filter_bits - ranges.owner_bits - 3)), np.uint8)
+        once, more, times = read("once"), read("more"), read("times")
+        value, which = np.unique(np.concatenate([once, more]), return_inverse=True)
+        n = np.bincount(which, np.concatenate([np.ones(len(once)), times]))
+        out = []
+        for k in least:
+            bits = np.zeros(1 << (ranges.filter_bits - ranges.owner_bits), bool)
+            for at in ranges.spots(value[n >= k]):
+                bits[at] = True
+            out.append(np.packbits(bits, bitorder="little").tobytes())
+        return pa.table({"owner": t["owner"][:1], "bits": pa.array([out], pa.list_(pa.binary()))})
+
+    got = rows.mapInArrow(send, "owner int, once binary, more binary, times binary").groupBy("owner").applyInArrow(answer, "owner int, bits array<binary>").collect()
+    filters = [np.zeros((1 << ranges.owner_bits, 1 << (ranges.filter_bits - ranges.owner_bits - 3)), np.uint8) for _ in least]
     for r in got:  # one row of fixed size per owner
-        bits[r["owner"]] = np.frombuffer(r["bits"], np.uint8)
-    return bits
+        for f, b in zip(filters, r["bits"], strict=True):
+            f[r["owner"]] = np.frombuffer(b, np.uint8)
+    return filters

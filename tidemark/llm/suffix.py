@@ -20,11 +20,11 @@ merged the same way.
 repeated if another row agrees with it in ``length - d`` bytes from the anchor on
 and in d bytes before it; both are blocks of rows cut from the common prefixes.
 
-Segments with equal bytes are one row with a count.  Copies of whole texts are
-found first by their hash: all of each copy is repeated, and one of them stands
-for all against other texts.  An anchor with more than ``heavy`` different
-segments is not merged in one bucket: its strings go to buckets of their own, by
-the string (equal strings only meet there, and are added up before the shuffle).
+Segments with equal bytes are one row with a count, added up by each task before
+they are sent.  Copies of whole texts are found first by their hash: all of each
+copy is repeated, and one of them stands for all against other texts.  An anchor
+that occurs ``heavy`` times or more is not merged in one bucket: its segments are
+dealt out by their bytes, and its strings added up by the string.
 """
 
 from __future__ import annotations
@@ -39,8 +39,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import SLICE_ROWS, keep, slices, table
-from tidemark.llm.owners import Ranges, repeated
+from tidemark.llm.common import SLICE_ROWS, keep, map_rows, slices, table
+from tidemark.llm.owners import Ranges, frequent
 from tidemark.llm.shingles import _powers, mix
 
 
@@ -51,10 +51,12 @@ class Settings:
     ranges: Ranges = Ranges()
     #: Bytes worked on at once in a task (a longer text is worked on in overlapping parts).
     block: int = 3_000_000
-    #: Rows of a shard, bytes of a bucket, different segments of an anchor that is merged in one bucket.
+    #: Rows of a shard, buckets for each partition of the input, occurrences of an anchor from which it has no bucket of its own.
     shard: int = 4096
-    bucket: int = 4_000_000
+    buckets: int = 16
     heavy: int = 4096
+    #: Segments a task adds up before it sends them.
+    held: int = 200_000
     #: Documents (ids) up to which a list of them is sent to every task instead of being joined by a shuffle.
     small: int = 500_000
 
@@ -124,47 +126,66 @@ def _anchor_hashes(batches, settings: Settings) -> Iterator[np.ndarray]:
             yield grams[anchor[first]]
 
 
-SEGMENTS = "anchor long, seg long, doc_id long, h long, start long, off int, bytes binary"
-
-
-def _segments(batches, bits: np.ndarray, settings: Settings) -> Iterator[pa.RecordBatch]:
-    """Segments whose strings may be repeated; their bytes go along the first time a task sees them."""
-    seen: set[tuple[int, int]] = set()
+def _segments(batches, filters: list[np.ndarray], settings: Settings) -> Iterator[tuple]:
+    """Segments whose strings may be repeated: document, start in it, anchor, its offset, whether it is heavy, bytes."""
     for b in slices(batches, SLICE_ROWS):
         docs = zip(b["doc_id"].to_pylist(), b["h"].to_pylist(), b["text"].cast(pa.binary()).to_pylist(), strict=True)
-        rows = []
         for data, ends, names in blocks(list(docs), settings):
             starts, anchor, grams = anchors(data, ends, settings)
-            if not len(starts):
-                continue
-            first, last = _runs(starts, anchor)
-            left = np.repeat(settings.ranges.often(bits, grams[anchor[first]]), last - first + 1)
-            starts, anchor = starts[left], anchor[left]
             first, last = _runs(starts, anchor)
-            owner = np.searchsorted(ends, starts[first], side="right")
-            begin = np.r_[0, ends[:-1]]
-            key = grams[anchor[first]].view(np.int64).tolist()
+            often = settings.ranges.often(filters[0], grams[anchor[first]])
+            first, last = first[often], last[often]
+            gram = grams[anchor[first]]
+            heavy = settings.ranges.often(filters[1], gram).tolist()
+            owner = np.searchsorted(ends, starts[first], side="right").tolist()
+            begin = np.r_[0, ends[:-1]].tolist()
             whole = data.tobytes()
-            for a, s, e, p, o in zip(key, starts[first].tolist(), starts[last].tolist(), anchor[first].tolist(), owner.tolist(), strict=True):
-                raw = whole[s : e + settings.length]
-                seg = xxhash.xxh3_64_intdigest(raw, p - s) - (1 << 63)
+            for a, s, e, p, o, hot in zip(gram.view(np.int64).tolist(), starts[first].tolist(), starts[last].tolist(), anchor[first].tolist(), owner, heavy, strict=True):
                 i, h, at = names[o]
-                new = (a, seg) not in seen
-                if new:
-                    seen.add((a, seg))
-                rows.append((a, seg, i, h, s - int(begin[o]) + at, p - s, raw if new else None))
-            if len(seen) > 1_000_000:
-                seen.clear()
-            if len(rows) > 20_000:
-                yield _segment_batch(rows)
-                rows = []
-        if rows:
-            yield _segment_batch(rows)
+                yield i, h, s - begin[o] + at, a, p - s, hot, whole[s : e + settings.length]
+
+
+def _name(raw: bytes, off: int) -> int:
+    return xxhash.xxh3_64_intdigest(raw, off) - (1 << 63)
+
+
+KINDS = "bucket long, anchor long, seg long, off int, heavy boolean, n long, bytes binary"
+PLACES = "anchor long, seg long, doc_id long, h long, start long"
+
+
+def _batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
+    kinds = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary(), "boolean": pa.bool_()}
+    fields = [f.split() for f in schema.split(", ")]
+    return pa.RecordBatch.from_arrays([pa.array(c, kinds[k]) for c, (_, k) in zip(zip(*rows, strict=True), fields, strict=True)], [n for n, _ in fields])
+
+
+def _kinds(batches, filters: list[np.ndarray], buckets: int, settings: Settings) -> Iterator[pa.RecordBatch]:
+    """Different segments and how often a task has seen each; heavy anchors' are dealt out by their bytes."""
+    seen: dict[tuple[int, int], list] = {}
+
+    def rows():
+        return _batch([((k[1] if v[1] else k[0]) % buckets, *k, *v) for k, v in seen.items()], KINDS)
 
+    for _, _, _, a, off, hot, raw in _segments(batches, filters, settings):
+        known = seen.setdefault((a, _name(raw, off)), [off, hot, 0, raw])
+        known[2] += 1
+        if len(seen) >= settings.held:
+            yield rows()
+            seen.clear()
+    if seen:
+        yield rows()
 
-def _segment_batch(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary())
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], [f.split()[0] for f in SEGMENTS.split(", ")])
+
+def _places(batches, filters: list[np.ndarray], settings: Settings) -> Iterator[pa.RecordBatch]:
+    """Where every segment stands."""
+    rows = []
+    for i, h, start, a, off, _, raw in _segments(batches, filters, settings):
+        rows.append((a, _name(raw, off), i, h, start))
+        if len(rows) >= 20_000:
+            yield _batch(rows, PLACES)
+            rows = []
+    if rows:
+        yield _batch(rows, PLACES)
 
 
 # -- transforms and their merge -------------------------------------------------
@@ -298,54 +319,67 @@ def _covers(mask: np.ndarray, length: int) -> tuple[list[int], list[int]]:
 
 
 # -- the job ---------------------------------------------------------------------
-FOUND = "anchor long, seg long, lo array<long>, hi array<long>"
-
-
-def _found_batch(anchor: list[int], seg: list[int], masks: list[np.ndarray], length: int) -> pa.Table:
-    covers = [_covers(m, length) for m in masks]
-    some = [i for i, c in enumerate(covers) if c[0]]
-    many = pa.list_(pa.int64())
-    return pa.table({"anchor": pa.array([anchor[i] for i in some], pa.int64()), "seg": pa.array([seg[i] for i in some], pa.int64()),
-                     "lo": pa.array([covers[i][0] for i in some], many), "hi": pa.array([covers[i][1] for i in some], many)})
+FOUND = "anchor long, seg long, lo array<long>, hi array<long>, bytes binary"
 
 
 def _merged(kinds: DataFrame, settings: Settings) -> DataFrame:
-    """Repeated parts of the different segments of anchors that have several."""
-    size = kinds.agg(F.sum(F.length("bytes"))).first()[0] or 0
+    """Repeated parts of segments, bucket by bucket; heavy anchors' segments come back with their bytes."""
+    length = settings.length
 
     def run(t: pa.Table) -> pa.Table:
-        cols = {c: t[c].to_pylist() for c in ("anchor", "seg", "bytes", "off")}
-        masks = repeated_strings(cols["anchor"], cols["bytes"], cols["off"], settings)
-        return _found_batch(cols["anchor"], cols["seg"], masks, settings.length)
-
-    buckets = max(64, size // settings.bucket + 1)
-    return kinds.withColumn("bucket", F.pmod("anchor", F.lit(buckets))).groupBy("bucket").applyInArrow(run, FOUND)
-
-
-def _split(kinds: DataFrame, settings: Settings) -> DataFrame:
-    """The same for heavy anchors, string by string: equal strings are added up by their 128-bit hash."""
+        kinds: dict[tuple[int, int], list] = {}
+        for a, seg, off, heavy, n, raw in zip(*(t[c].to_pylist() for c in ("anchor", "seg", "off", "heavy", "n", "bytes")), strict=True):
+            kinds.setdefault((a, seg), [off, heavy, raw, 0])[3] += n
+        several: dict[int, int] = {}
+        for (a, _), (_, heavy, _, _) in kinds.items():
+            if not heavy:
+                several[a] = several.get(a, 0) + 1
+        some = [(k, v) for k, v in kinds.items() if several.get(k[0], 0) > 1]
+        masks = {}
+        if some:
+            found = repeated_strings([k[0] for k, _ in some], [v[2] for _, v in some], [v[0] for _, v in some], settings)
+            masks = {k: m for (k, _), m in zip(some, found, strict=True)}
+        out = []
+        for k, (_, heavy, raw, n) in kinds.items():
+            if n > 1:
+                out.append((*k, [0], [len(raw)], raw if heavy else None))
+            elif heavy:
+                out.append((*k, None, None, raw))
+            elif k in masks and masks[k].any():
+                out.append((*k, *_covers(masks[k], length), None))
+        many = pa.list_(pa.int64())
+        fields = (("anchor", pa.int64()), ("seg", pa.int64()), ("lo", many), ("hi", many), ("bytes", pa.binary()))
+        return pa.table({f: pa.array([r[i] for r in out], k) for i, (f, k) in enumerate(fields)})
+
+    return kinds.groupBy("bucket").applyInArrow(run, FOUND)
+
+
+def _split(heavy: DataFrame, settings: Settings) -> DataFrame:
+    """Heavy anchors' segments string by string: equal strings are added up by their 128-bit hash."""
 
     def run(batches):
         for b in slices(batches, 2048):
             rows = [(a, s, at, xxhash.xxh3_128_digest(r[at : at + settings.length]))
                     for a, s, r in zip(b["anchor"].to_pylist(), b["seg"].to_pylist(), b["bytes"].to_pylist(), strict=True) for at in range(len(r) - settings.length + 1)]
             if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), (pa.int64(), pa.int64(), pa.int64(), pa.binary()), strict=True)],
-                                                 ["anchor", "seg", "at", "string"])
+                yield _batch(rows, STRINGS)
 
-    strings = kinds.select("anchor", "seg", "bytes").mapInArrow(run, "anchor long, seg long, at long, string binary")
-    often = strings.groupBy("anchor", "string").count().filter("count > 1").select("anchor", "string")
-    each = strings.join(often, ["anchor", "string"]).groupBy("anchor", "seg").agg(F.sort_array(F.collect_list("at")).alias("lo"))  # one segment's strings
+    strings = heavy.select("anchor", "seg", "bytes").mapInArrow(run, STRINGS)
+    often = strings.groupBy("string").count().filter("count > 1").select("string")
+    each = strings.join(often, "string").groupBy("anchor", "seg").agg(F.sort_array(F.collect_list("at")).alias("lo"))  # one segment's strings
     return each.select("anchor", "seg", "lo", F.transform("lo", lambda x: x + settings.length).alias("hi"))
 
 
+STRINGS = "anchor long, seg long, at long, string binary"
+
+
 def _if_few(rows: DataFrame, most: int) -> DataFrame:
     """Sent to every task if counted to be few, else left to a shuffle join; the same rows either way."""
     return F.broadcast(rows) if rows.limit(most + 1).count() <= most else rows
 
 
 def repeated_ranges(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """``doc_id, h, spans``: repeated bytes of documents that have any (``h`` is the text's hash; spans may overlap)."""
+    """``doc_id, h, lo, hi``: repeated bytes of documents that have any, as sorted ranges apart from each other (``h`` is the text's hash)."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).withColumn("h", F.xxhash64("text"))
     names = rows.select("doc_id", "h", F.hash("text").alias("h2"), F.octet_length("text").cast("long").alias("n")).filter(F.col("n") >= settings.length)
     same = names.groupBy("h", "h2", "n").agg(F.count("*").alias("copies"), F.min("doc_id").alias("first")).filter("copies > 1")
@@ -355,22 +389,37 @@ def repeated_ranges(docs: DataFrame, settings: Settings = Settings()) -> DataFra
     once = once.withColumn("__key", F.struct(F.coalesce("doc_id", F.lit(-1).cast("long")).alias("d"), "h"))
     others = keep(others)
     once = once.join(_if_few(others, settings.small), F.col("__key") == F.col("__skip"), "left_anti").select("doc_id", "h", "text")
-    bits = repeated(once, lambda batches: _anchor_hashes(batches, settings), settings.ranges)
-    sent = docs.sparkSession.sparkContext.broadcast(bits)
-    places = keep(once.mapInArrow(lambda batches: _segments(batches, sent.value, settings), SEGMENTS))
-    kinds = places.groupBy("anchor", "seg").agg(F.count("*").alias("n"), F.max("bytes").alias("bytes"), F.first("off").alias("off"))
-    kinds = keep(kinds)
-    several = kinds.groupBy("anchor").agg(F.count("*").alias("kinds")).filter("kinds > 1")
-    several = keep(several)
-    light = kinds.join(several.filter(F.col("kinds") <= settings.heavy).select("anchor"), "anchor")
-    heavy = kinds.join(several.filter(F.col("kinds") > settings.heavy).select("anchor"), "anchor")
-    whole = kinds.filter("n > 1").select("anchor", "seg", F.array(F.lit(0).cast("long")).alias("lo"), F.array(F.length("bytes").cast("long")).alias("hi"))
-    found = whole.unionByName(_merged(light, settings)).unionByName(_split(heavy, settings))
-    spans = places.select("anchor", "seg", "doc_id", "h", "start").join(found, ["anchor", "seg"]).select(
-        "doc_id", "h", F.explode(F.arrays_zip("lo", "hi")).alias("r"), "start")
+    filters = frequent(once, lambda batches: _anchor_hashes(batches, settings), (2, settings.heavy), settings.ranges)
+    sent = docs.sparkSession.sparkContext.broadcast(filters)  # of fixed size
+    buckets = max(64, settings.buckets * docs.select("text").rdd.getNumPartitions())
+    # Segments are cut twice, for their bytes and for their places: cheaper than to keep the bytes of all places.
+    kinds = once.mapInArrow(lambda batches: _kinds(batches, sent.value, buckets, settings), KINDS)
+    found = keep(_merged(kinds, settings))
+    heavy = found.filter("bytes is not null")
+    ranges = found.filter("lo is not null").select("anchor", "seg", "lo", "hi").unionByName(_split(heavy, settings))
+    places = once.mapInArrow(lambda batches: _places(batches, sent.value, settings), PLACES)
+    spans = places.join(ranges, ["anchor", "seg"]).select("doc_id", "h", F.explode(F.arrays_zip("lo", "hi")).alias("r"), "start")
     spans = spans.select("doc_id", "h", (F.col("start") + F.col("r.lo")).alias("lo"), (F.col("start") + F.col("r.hi")).alias("hi"))
     copied = copies.select("doc_id", "h", F.lit(0).cast("long").alias("lo"), F.col("n").alias("hi"))
-    return spans.distinct().unionByName(copied).groupBy("doc_id", "h").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))  # one document's
+    spans = spans.unionByName(copied).groupBy("doc_id", "h").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))  # one document's
+
+    def join(b: pa.RecordBatch) -> pa.RecordBatch:
+        many, joined = pa.list_(pa.int64()), [_joined(zip(*x, strict=True)) for x in zip(b["lo"].to_pylist(), b["hi"].to_pylist(), strict=True)]
+        return pa.RecordBatch.from_arrays([b["doc_id"], b["h"], *(pa.array([r[k] for r in joined], many) for k in (0, 1))], ["doc_id", "h", "lo", "hi"])
+
+    return map_rows(spans.select("doc_id", "h", F.col("spans.lo").alias("lo"), F.col("spans.hi").alias("hi")), join, "doc_id long, h long, lo array<long>, hi array<long>")
+
+
+def _joined(ranges) -> tuple[list[int], list[int]]:
+    """Ranges that touch or overlap made one."""
+    lo, hi = [], []
+    for x, y in sorted(ranges):
+        if hi and x <= hi[-1]:
+            hi[-1] = max(hi[-1], y)
+        else:
+            lo.append(x)
+            hi.append(y)
+    return lo, hi
 
 
 def remove_repeats(docs: DataFrame, settings: Settings = Settings(), with_bytes: bool = False) -> DataFrame:
@@ -383,25 +432,18 @@ def remove_repeats(docs: DataFrame, settings: Settings = Settings(), with_bytes:
     """
     gone = keep(repeated_ranges(docs, settings))
     few = gone.limit(settings.small + 1).count() <= settings.small
-    gone = gone.select(F.struct(F.coalesce("doc_id", F.lit(-1).cast("long")).alias("d"), "h").alias("__at"), "spans")
+    gone = gone.select(F.struct(F.coalesce("doc_id", F.lit(-1).cast("long")).alias("d"), "h").alias("__at"), "lo", "hi")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     rows = rows.withColumn("__key", F.struct(F.coalesce("doc_id", F.lit(-1).cast("long")).alias("d"), F.xxhash64("text").alias("h")))
     rows = rows.join(F.broadcast(gone) if few else gone, F.col("__key") == F.col("__at"), "left")
-    rows = rows.select("doc_id", "text", F.col("spans.lo").alias("lo"), F.col("spans.hi").alias("hi"))
+    rows = rows.select("doc_id", "text", "lo", "hi")
 
     def run(batches):
         for b in slices(batches, SLICE_ROWS):
             out = []
             for i, raw, lo, hi in zip(b["doc_id"].to_pylist(), b["text"].cast(pa.binary()).to_pylist(), b["lo"].to_pylist(), b["hi"].to_pylist(), strict=True):
-                kept, spans, end = [], 0, 0
-                for x, y in sorted(zip(lo or (), hi or (), strict=True)):
-                    if not spans or x > end:
-                        kept.append(raw[end:x])
-                        spans += 1
-                    end = max(end, y)
-                kept.append(raw[end:])
-                left = b"".join(kept)
-                out.append((i, len(raw), len(raw) - len(left), spans, sha256(left).hexdigest(), left if with_bytes else None))
+                left = b"".join(raw[x:y] for x, y in zip([0, *(hi or ())], [*(lo or ()), len(raw)], strict=True))
+                out.append((i, len(raw), len(raw) - len(left), len(lo or ()), sha256(left).hexdigest(), left if with_bytes else None))
             cols = list(zip(*out, strict=True))
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary())
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
