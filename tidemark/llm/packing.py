@@ -29,12 +29,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import slices, table, tokenizer_path
+from tidemark.llm.common import slices, small_batches, table, tokenizer_path
 
 #: Examples a task holds open at once.
 BUFFER = 512
-#: Distinct words whose ids a worker keeps; beyond it the table starts anew.
-CACHE_WORDS = 1_000_000
+#: Distinct words whose ids a worker keeps, and items of words and punctuation; beyond it a table starts anew.
+CACHE_WORDS, CACHE_ITEMS = 600_000, 200_000
 END = (1).to_bytes(4, "little")
 
 
@@ -201,7 +201,7 @@ class WordTokenizer:
 
     def bound(self) -> None:
         """Called between texts: starts the table of items anew when it is full."""
-        if len(self.ids) > CACHE_WORDS:
+        if len(self.ids) > CACHE_ITEMS:
             self.ids.clear()
 
 
@@ -226,7 +226,7 @@ def pack_documents(docs: DataFrame, path: str, limits: Limits = Limits(), loss_f
     sequences; other columns, whatever their names, are ignored.
     """
     prompt = F.coalesce(F.col(loss_from).cast("long"), F.lit(0)) if loss_from else F.lit(0).cast("long")
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), prompt.alias("prompt"))
+    rows = small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), prompt.alias("prompt"))
 
     def examples(batches) -> Iterator[Piece]:
         tok = word_tokenizer(path)

@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import keep, slices, table
+from tidemark.llm.common import keep, slices, small_batches, table
 from tidemark.llm.toxicity import held_out, logistic
 
 BINS = 24
@@ -91,14 +91,13 @@ def measure(text: bytes) -> list[int]:
 
 def measured(docs: DataFrame, host: Column, path: Column) -> DataFrame:
     """``row`` (the document as it came), ``doc_id``, ``host``, ``path``, ``bins``."""
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").cast("long").alias("doc_id"),
-                       F.coalesce(host.cast("string"), F.lit("")).alias("host"), F.coalesce(path.cast("string"), F.lit("")).alias("path"),
-                       F.coalesce("text", F.lit("")).alias("text"))
-    schema = T.StructType([f for f in rows.schema.fields if f.name != "text"] + [T.StructField("bins", T.ArrayType(T.IntegerType()))])
+    rows = small_batches(docs).select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").cast("long").alias("doc_id"),
+                                      F.coalesce(host.cast("string"), F.lit("")).alias("host"), F.coalesce(path.cast("string"), F.lit("")).alias("path"))
+    schema = T.StructType([*rows.schema.fields, T.StructField("bins", T.ArrayType(T.IntegerType()))])
 
     def run(batches):
         for b in slices(batches):
-            bins = [measure(x) for x in b["text"].cast(pa.binary()).to_pylist()]
+            bins = [measure(x or b"") for x in b["row"].field("text").cast(pa.binary()).to_pylist()]
             yield pa.RecordBatch.from_arrays([*(b[f] for f in ("row", "doc_id", "host", "path")), pa.array(bins, pa.list_(pa.int32()))],
                                              ["row", "doc_id", "host", "path", "bins"])
 

@@ -35,7 +35,7 @@ from tidemark.llm.common import map_rows, texts, tokenizer_path
 
 CHUNK_CHARS = 16_384
 #: Counts of words and states of the transducer that a worker keeps; beyond it a table starts anew (counts stay exact).
-CACHE_WORDS, CACHE_STATES = 600_000, 200_000
+CACHE_WORDS, CACHE_STATES = 400_000, 150_000
 
 # Unicode white space, and the pre-token pattern of byte-level BPE.
 SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"

@@ -45,7 +45,7 @@ from tidemark.llm.common import slices, table, texts
 
 WORD = re.compile(r"[^\W_]+")
 #: Expressions a worker keeps the evidence of; beyond it the table starts anew.
-CACHE_WORDS = 500_000
+CACHE_WORDS = 300_000
 
 
 @dataclass(frozen=True)
