@@ -19,7 +19,7 @@ class Ranges:
     #: Size of a filter in bits (a power of two).
     filter_bits: int = 26
     #: Hashes a task holds before it sends them.
-    held: int = 2_000_000
+    held: int = 1_000_000
 
     def address(self, g: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Owner, and 32-bit value within its range."""

@@ -39,7 +39,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import SLICE_ROWS, keep, map_rows, slices, table
+from tidemark.llm.common import SLICE_ROWS, keep, map_rows, slices, small_batches, table
 from tidemark.llm.owners import Ranges, frequent
 from tidemark.llm.shingles import _powers, mix
 
@@ -50,13 +50,13 @@ class Settings:
     gram: int = 64
     ranges: Ranges = Ranges()
     #: Bytes worked on at once in a task (a longer text is worked on in overlapping parts).
-    block: int = 3_000_000
+    block: int = 1_000_000
     #: Rows of a shard, buckets for each partition of the input, occurrences of an anchor from which it has no bucket of its own.
     shard: int = 4096
     buckets: int = 16
     heavy: int = 4096
     #: Segments a task adds up before it sends them.
-    held: int = 200_000
+    held: int = 100_000
     #: Documents (ids) up to which a list of them is sent to every task instead of being joined by a shuffle.
     small: int = 500_000
 
@@ -76,7 +76,7 @@ def anchors(data: np.ndarray, ends: np.ndarray, settings: Settings) -> tuple[np.
     k, n = settings.gram, len(data)
     if n < settings.length:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    up, down = _powers(1 << max(22, n.bit_length()))
+    up, down = _powers(1 << max(20, n.bit_length()))
     with np.errstate(over="ignore"):
         total = np.zeros(n + 1, np.uint64)
         np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[:n], out=total[1:])
@@ -380,7 +380,7 @@ def _if_few(rows: DataFrame, most: int) -> DataFrame:
 
 def repeated_ranges(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """``doc_id, h, lo, hi``: repeated bytes of documents that have any, as sorted ranges apart from each other (``h`` is the text's hash)."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).withColumn("h", F.xxhash64("text"))
+    rows = small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).withColumn("h", F.xxhash64("text"))
     names = rows.select("doc_id", "h", F.hash("text").alias("h2"), F.octet_length("text").cast("long").alias("n")).filter(F.col("n") >= settings.length)
     same = names.groupBy("h", "h2", "n").agg(F.count("*").alias("copies"), F.min("doc_id").alias("first")).filter("copies > 1")
     copies = keep(names.join(same, ["h", "h2", "n"]).select("doc_id", "h", "n", "first").distinct())
