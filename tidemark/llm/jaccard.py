@@ -49,12 +49,12 @@ class Settings:
     verify_cost: float = 16.0
     #: Owners of hash ranges (a power of two) and the sizes of their tables: shared shingles (bits) and frequencies (cells).
     owner_bits: int = 8
-    filter_bits: int = 28
-    sketch_bits: int = 22
+    filter_bits: int = 27
+    sketch_bits: int = 20
     #: Rounds of comparing classes with leaders before pairs are made.
     rounds: int = 2
     #: Shingles a task holds before it sends them.
-    held: int = 2_000_000
+    held: int = 1_000_000
 
 
 def shingle_sets(raw: list[bytes], n: int) -> list[np.ndarray]:
@@ -259,7 +259,9 @@ def jaccard_groups(docs: DataFrame, settings: Settings = Settings()) -> DataFram
     empty table gives no rows; texts are read whole; other columns are ignored.
     """
     shared = shared_shingles(docs, settings)
-    every = keep(sketched(docs, shared, settings))
+    every = sketched(docs, shared, settings)
+    del shared  # the tasks have it
+    every = keep(every)
     some = every.filter("prefix is not null")
     classes = keep(some.groupBy("sig", "n").agg(*[F.first(c).alias(c) for c in ("spare", "matches", "prefix", "shingles")]))
     roots = keep(links(classes, settings))
