@@ -33,8 +33,8 @@ from tidemark.llm.common import slices, small_batches, table, tokenizer_path
 
 #: Examples a task holds open at once.
 BUFFER = 512
-#: Distinct words whose ids a worker keeps, and items of words and punctuation; beyond it a table starts anew.
-CACHE_WORDS, CACHE_ITEMS = 600_000, 200_000
+#: Distinct words, and items of words and punctuation, that fill a generation of a worker's tables; two are kept.
+CACHE_WORDS, CACHE_ITEMS = 250_000, 150_000
 END = (1).to_bytes(4, "little")
 
 
@@ -165,8 +165,7 @@ class WordTokenizer:
         self.word = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{letter}]+|[{digit}]|[^\\s{letter}{digit}]+")
         self.far = re.compile("[^\x00-\u024f]|\u0130")
         self.odd = ("\x1c", "\x1d", "\x1e", "\x1f", *(t.content for t in self.library.get_added_tokens_decoder().values()))
-        self.words: dict[str, bytes] = {}
-        self.ids: dict[str, bytes] = {}
+        self.words, self.ids, self.old_words, self.old_ids = {}, {}, {}, {}
 
     def plain(self, text: str) -> bool:
         if any(x in text for x in self.odd):
@@ -189,20 +188,34 @@ class WordTokenizer:
             return b"".join(map(ids.__getitem__, items))
 
     def _ask(self, items: list[str]) -> None:
-        words = self.words
-        if len(words) > CACHE_WORDS:
-            words.clear()
-        cut = [self.word.findall(x) for x in items]
-        new = list(dict.fromkeys(w for c in cut for w in c if w not in words))
-        for w, e in zip(new, self.library.encode_batch_fast(new, add_special_tokens=False), strict=True):
+        """Ids of items that this generation hasn't seen: from the one before, else from their words."""
+        ids, words, old_ids, old_words = self.ids, self.words, self.old_ids, self.old_words
+        cut, new = {}, {}
+        for x in items:
+            known = old_ids.get(x)
+            if known is not None:
+                ids[x] = known
+                continue
+            cut[x] = self.word.findall(x)
+            for w in cut[x]:
+                if w not in words:
+                    known = old_words.get(w)
+                    if known is None:
+                        new[w] = None
+                    else:
+                        words[w] = known
+        asked = list(new)
+        for w, e in zip(asked, self.library.encode_batch_fast(asked, add_special_tokens=False), strict=True):
             words[w] = array("I", e.ids).tobytes()
-        for x, c in zip(items, cut, strict=True):
-            self.ids[x] = b"".join([words[w] for w in c])
+        for x, c in cut.items():
+            ids[x] = b"".join([words[w] for w in c])
 
     def bound(self) -> None:
-        """Called between texts: starts the table of items anew when it is full."""
+        """Called between texts: a full generation becomes the old one, so what is common stays known."""
         if len(self.ids) > CACHE_ITEMS:
-            self.ids.clear()
+            self.ids, self.old_ids = {}, self.ids
+        if len(self.words) > CACHE_WORDS:
+            self.words, self.old_words = {}, self.words
 
 
 @lru_cache(maxsize=2)
