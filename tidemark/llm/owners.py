@@ -22,7 +22,7 @@ class Ranges:
     held: int = 1_000_000
 
     def address(self, g: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Owner, and 32-bit value within its range."""
+        """Owner, and 32-bit value within its range, of spread hashes."""
         owner = g >> np.uint64(64 - self.owner_bits)
         return owner.astype(np.int64), ((g >> np.uint64(32 - self.owner_bits)) & np.uint64(0xFFFFFFFF)).astype(np.uint32)
 
@@ -33,15 +33,20 @@ class Ranges:
 
     def often(self, bits: np.ndarray, g: np.ndarray) -> np.ndarray:
         """Whether each hash occurs so often as a filter says: never wrong if it does, seldom if it doesn't."""
-        owner, value = self.address(g)
+        owner, value = self.address(spread(g))
         first, second = self.spots(value)
         test = lambda at: (bits[owner, at >> 3] >> (at & 7).astype(np.uint8)) & 1
         return (test(first) & test(second)).astype(bool)
 
 
+def spread(g: np.ndarray) -> np.ndarray:
+    """Hashes mixed anew: they may come chosen for being small, and all owners are to have as many."""
+    return mix(g ^ np.uint64(0xA0761D6478BD642F))
+
+
 def packed(parts: list[np.ndarray], ranges: Ranges) -> pa.RecordBatch:
     """One row per owner: its values seen once here, those seen more often, and how often."""
-    g, n = np.unique(np.concatenate(parts), return_counts=True)
+    g, n = np.unique(spread(np.concatenate(parts)), return_counts=True)
     owner, value = ranges.address(g)
     rows = []
     for k in np.unique(owner):

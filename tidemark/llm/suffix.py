@@ -54,7 +54,7 @@ class Settings:
     #: Rows of a shard, buckets for each partition of the input, occurrences of an anchor from which it has no bucket of its own.
     shard: int = 4096
     buckets: int = 16
-    heavy: int = 4096
+    heavy: int = 32_768
     #: Segments a task adds up before it sends them.
     held: int = 100_000
     #: Documents (ids) up to which a list of them is sent to every task instead of being joined by a shuffle.
