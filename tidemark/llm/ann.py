@@ -72,14 +72,16 @@ class Forest:
         trees, leaves, dim = self.normals.shape
         return (x @ self.normals.reshape(-1, dim).T).reshape(len(x), trees, leaves) - self.cuts
 
-    def leaf_of(self, x: np.ndarray) -> np.ndarray:
-        """[row, tree] leaf numbers."""
-        m = self.margins(x)
-        rows, trees = np.arange(len(x))[:, None], np.arange(m.shape[1])[None, :]
-        node = np.ones(m.shape[:2], np.int64)
-        for _ in range(self.depth):
-            node = 2 * node + (m[rows, trees, node] > 0)
-        return node - self.leaves
+    def leaf_of(self, x: np.ndarray, at_once: int = 512) -> np.ndarray:
+        """[row, tree] leaf numbers; margins of ``at_once`` rows are held at a time."""
+        out = np.ones((len(x), len(self.cuts)), np.int64)
+        trees = np.arange(len(self.cuts))[None, :]
+        for i in range(0, len(x), at_once):
+            node, m = out[i : i + at_once], self.margins(x[i : i + at_once])
+            rows = np.arange(len(node))[:, None]
+            for _ in range(self.depth):
+                node[:] = 2 * node + (m[rows, trees, node] > 0)
+        return out - self.leaves
 
     def search(self, margins: np.ndarray, most: int) -> list[tuple[int, int]]:
         """The ``most`` leaves (tree, leaf) to open for one query, best first."""
@@ -109,11 +111,10 @@ def leaves_for(forest: Forest, sample: np.ndarray, settings: Settings) -> int:
     home = forest.leaf_of(sample)
     score = sample[queries] @ sample.T
     score[np.arange(len(queries)), queries] = -np.inf
-    margins = forest.margins(sample[queries])
     found = np.zeros(every + 1)
     for i, q in enumerate(queries):
         rank = np.full((settings.trees, forest.leaves), every)
-        for n, (t, leaf) in enumerate(forest.search(margins[i], every)):
+        for n, (t, leaf) in enumerate(forest.search(forest.margins(sample[q : q + 1])[0], every)):
             rank[t, leaf] = n
         best = np.argpartition(-score[i], near - 1)[:near]
         opened = rank[np.arange(settings.trees), home[best]].min(axis=1)
@@ -208,8 +209,8 @@ def search(vectors: DataFrame, queries: Column, settings: Settings = Settings(),
             if not b.num_rows:
                 continue
             ids, x = b["id"].to_numpy(), _matrix(b["v"], dim)
-            margins = sent.value.margins(x)
-            keys = [(t, leaf, p, i) for i in range(len(ids)) for t, leaf in sent.value.search(margins[i], most) for p in range(parts)]
+            forest = sent.value
+            keys = [(t, leaf, p, i) for i in range(len(ids)) for t, leaf in forest.search(forest.margins(x[i : i + 1])[0], most) for p in range(parts)]
             yield _packs(ids, x, np.array(keys, np.int64))
 
     buckets = max(16, total // 20_000)
