@@ -156,9 +156,10 @@ class WordTokenizer:
     whole.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, most_words: int = CACHE_WORDS, most_items: int = CACHE_ITEMS):
         from tokenizers import Tokenizer
 
+        self.most_words, self.most_items = most_words, most_items
         self.library = Tokenizer.from_file(path)
         letter, digit = _letters("L"), _letters("N")
         # Fixed value: the file's word pattern, spelt out for letters below U+0250.
@@ -212,28 +213,30 @@ class WordTokenizer:
 
     def bound(self) -> None:
         """Called between texts: a full generation becomes the old one, so what is common stays known."""
-        if len(self.ids) > CACHE_ITEMS:
+        if len(self.ids) > self.most_items:
             self.ids, self.old_ids = {}, self.ids
-        if len(self.words) > CACHE_WORDS:
+        if len(self.words) > self.most_words:
             self.words, self.old_words = {}, self.words
 
 
 @lru_cache(maxsize=2)
-def word_tokenizer(path: str) -> WordTokenizer:
+def word_tokenizer(path: str, most_words: int = CACHE_WORDS, most_items: int = CACHE_ITEMS) -> WordTokenizer:
     import os
 
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-    return WordTokenizer(path)
+    return WordTokenizer(path, most_words, most_items)
 
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, loss_tokens long"
 
 
-def pack_documents(docs: DataFrame, path: str, limits: Limits = Limits(), loss_from: str | None = None) -> DataFrame:
+def pack_documents(docs: DataFrame, path: str, limits: Limits = Limits(), loss_from: str | None = None,
+                   tables: tuple[int, int] = (CACHE_WORDS, CACHE_ITEMS)) -> DataFrame:
     """All documents as pieces of packed sequences, one row per piece.
 
     ``loss_from`` names a column with the number of leading characters that bear
-    no loss (a prompt); without it every token bears loss.  A null text is
+    no loss (a prompt); without it every token bears loss.  ``tables`` are the
+    sizes of a worker's word tables: larger ones take memory and save time.  A null text is
     empty and packs its end token alone; repeated rows and ids are packed one by
     one; an empty table gives no rows; a text of any length is cut into full
     sequences; other columns, whatever their names, are ignored.
@@ -242,7 +245,7 @@ def pack_documents(docs: DataFrame, path: str, limits: Limits = Limits(), loss_f
     rows = small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), prompt.alias("prompt"))
 
     def examples(batches) -> Iterator[Piece]:
-        tok = word_tokenizer(path)
+        tok = word_tokenizer(path, *tables)
         for b in slices(batches):
             for doc, text, n in zip(*(b[c].to_pylist() for c in ("doc_id", "text", "prompt")), strict=True):
                 tok.bound()
@@ -275,4 +278,4 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
 
 
 def op6_packing(spark, sf_dir) -> DataFrame:
-    return pack_documents(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
+    return pack_documents(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"), tables=(600_000, 600_000))
