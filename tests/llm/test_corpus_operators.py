@@ -175,6 +175,20 @@ def test_line_dedup_edges(spark):
     assert linededup.dedup_lines(documents(spark, [])).count() == 0
 
 
+@pytest.mark.parametrize("words", [8, 20, 60])
+def test_line_dedup_finds_changed_words_at_every_length(spark, words):
+    rnd = random.Random(words)
+    lines = []
+    for _ in range(60):
+        w = [f"expression{rnd.randrange(10**5)}" for _ in range(words)]
+        changed = [*w]
+        changed[rnd.randrange(words)] = f"different{rnd.randrange(10)}"[: 10]
+        lines += [" ".join(w), " ".join(changed)]
+    alike = {i for i in range(0, 120, 2) if _edits(lines[i], lines[i + 1]) <= max(len(lines[i]), len(lines[i + 1])) * 0.1 + 1e-9}
+    gone = {r.doc_id for r in linededup.dedup_lines(documents(spark, list(enumerate(lines)))).collect() if r.n_removed}
+    assert len(gone) >= 0.95 * len(alike) and gone <= {i + 1 for i in alike} and (alike or words == 8)
+
+
 def test_decontamination_matches_oracle(spark, sf):
     con = duckdb.connect()
     for t in ("documents", "benchmark"):
