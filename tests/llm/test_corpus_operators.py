@@ -189,6 +189,14 @@ def test_line_dedup_finds_changed_words_at_every_length(spark, words):
     assert len(gone) >= 0.95 * len(alike) and gone <= {i + 1 for i in alike} and (alike or words == 8)
 
 
+def test_line_dedup_links_very_long_lines(spark):
+    rnd = random.Random(4)
+    long = words_of(rnd, 16_380, 50_000)
+    changed = f"{long[:50_000]} {words_of(rnd, 200, 50_000)} {long[50_001:]}"  # over 1,000 edits, and over 16,383 words
+    out = linededup.dedup_lines(documents(spark, [(1, long), (2, changed), (3, words_of(rnd, 16_390, 50_000))]))
+    assert len(changed) - len(long) > 1000 and {r.doc_id: r.n_removed for r in out.collect()} == {1: 0, 2: 1, 3: 0}
+
+
 def test_decontamination_matches_oracle(spark, sf):
     con = duckdb.connect()
     for t in ("documents", "benchmark"):
