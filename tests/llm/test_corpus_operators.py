@@ -197,6 +197,13 @@ def test_line_dedup_links_very_long_lines(spark):
     assert len(changed) - len(long) > 1000 and {r.doc_id: r.n_removed for r in out.collect()} == {1: 0, 2: 1, 3: 0}
 
 
+def test_line_dedup_takes_lines_without_spaces(spark):
+    rnd = random.Random(5)
+    line = "".join(chr(0x4E00 + rnd.randrange(3000)) for _ in range(60))
+    out = linededup.dedup_lines(documents(spark, [(1, line), (2, line), (3, line[:30] + "一" + line[31:]), (4, line[::-1]), (5, "短"), (6, "短")]))
+    assert {r.doc_id: r.n_removed for r in out.collect()} == {1: 0, 2: 1, 3: 1, 4: 0, 5: 0, 6: 0}
+
+
 def test_decontamination_matches_oracle(spark, sf):
     con = duckdb.connect()
     for t in ("documents", "benchmark"):
