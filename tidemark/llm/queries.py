@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from tidemark.llm.ann import op2_nearest_neighbours
+from tidemark.llm.centroids import op13_centroid_clustering
 from tidemark.llm.decontam import ORACLE as OP4_ORACLE, op4_decontamination
 from tidemark.llm.jaccard import op8_ngram_jaccard
 from tidemark.llm.license import op3_license_scans
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_ngram_jaccard": op8_ngram_jaccard,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_suffix_dedup": op10_suffix_dedup,
+    "op13_centroid_clustering": op13_centroid_clustering,
 }
 
 ORACLES: dict[str, str] = {
