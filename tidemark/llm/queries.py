@@ -10,6 +10,7 @@ from tidemark.llm.license import op3_license_scans
 from tidemark.llm.linededup import op5_line_dedup
 from tidemark.llm.packing import op6_packing
 from tidemark.llm.quality import op9_quality_classifier
+from tidemark.llm.secrets import op11_secret_scans
 from tidemark.llm.suffix import op10_suffix_dedup
 from tidemark.llm.tokencount import op7_token_counts
 from tidemark.llm.toxicity import op1_toxicity
@@ -25,6 +26,7 @@ QUERIES = {
     "op8_ngram_jaccard": op8_ngram_jaccard,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_suffix_dedup": op10_suffix_dedup,
+    "op11_secret_scans": op11_secret_scans,
     "op13_centroid_clustering": op13_centroid_clustering,
 }
 
