@@ -1,0 +1,135 @@
+"""How scans are cut: by row count, whatever the order column looks like, and only where a key is heavy."""
+
+from __future__ import annotations
+
+import itertools
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from tidemark.operators import prefix
+from tidemark.operators.prefix import plan_blocks, running, running_plain
+
+SPREADS = {
+    "dense": lambda i: i,
+    "snowflake": lambda i: i * (1 << 40),
+    "bunched": lambda i: F.when(i % 3 == 0, i * 1_000_000_007).otherwise(i),
+    "negative": lambda i: -(i * i),
+}
+
+
+def sizes(df, cuts):
+    return sorted(r["count"] for r in cuts.tag(df).groupBy("__blk").count().collect())
+
+
+@pytest.mark.parametrize("name", sorted(SPREADS))
+def test_blocks_hold_about_the_target_however_seq_is_spread(spark, name):
+    df = spark.range(200_000).select(SPREADS[name](F.col("id")).cast("long").alias("seq"))
+    got = sizes(df, plan_blocks(df, [], "seq", 5_000))
+    assert sum(got) == 200_000 and max(got) <= 10_000 and 40 <= len(got) <= 80
+
+
+def outlier(spark):
+    far = spark.range(1).select(F.lit(1 << 60).alias("seq"))
+    return spark.range(300_000).select(F.col("id").alias("seq")).union(far)
+
+
+def test_one_outlier_changes_nothing(spark):
+    df = outlier(spark)
+    got = sizes(df, plan_blocks(df, [], "seq"))
+    assert sum(got) == 300_001 and max(got) <= 2 * prefix.BLOCK_ROWS
+
+
+def test_outlier_with_two_levels_of_blocks(spark):
+    df = outlier(spark)
+    cuts = plan_blocks(df, [], "seq", 500)
+    got = sizes(df, cuts)
+    assert cuts.inner and max(got) <= 1_000 and len(got) >= 600
+    # No range of the block table has more than FAN blocks, and there are no more than FAN ranges.
+    per_range = cuts.tag(df).select("__blk").distinct().groupBy(F.floor(F.col("__blk") / prefix.FAN)).count().agg(F.max("count"), F.count("*")).first()
+    assert max(per_range) <= prefix.FAN
+    total = running(df, "seq", {"s": ("sum", F.lit(1))}, blocks=cuts)
+    assert total.agg(F.max("s"), F.countDistinct("s")).first() == (300_001, 300_001)
+
+
+def test_ends_of_the_long_range(spark):
+    ends = [-(1 << 63), -(1 << 63) + 1, -1, 0, 1, (1 << 63) - 1]
+    df = spark.createDataFrame([(v, 1) for v in ends], "seq long, v int")
+    for block in (1, 2, 6):
+        got = running(df, "seq", {"s": ("sum", F.col("v"))}, block=block).orderBy("seq").collect()
+        assert [r.s for r in got] == [1, 2, 3, 4, 5, 6]
+
+
+def test_only_heavy_keys_are_cut(spark):
+    light = spark.range(5_000).select((F.col("id") % 1_000).cast("string").alias("k"), F.col("id").alias("seq"))
+    heavy = spark.range(20_000).select(F.when(F.col("id") % 2 == 0, "hot").alias("k"), (F.col("id") + 7_000).alias("seq"))
+    df = light.union(heavy)  # two heavy keys, one of them null
+    cuts = plan_blocks(df, ["k"], "seq", 1_000)
+    tagged = cuts.tag(df)
+    assert {r.k for r in cuts.heavy.collect()} == {"hot", None}
+    blocks = tagged.filter("__blk >= 0").select("k", "__blk").distinct().count()
+    assert blocks <= 2 * 25 and tagged.filter("__blk >= 0").filter("k != 'hot'").count() == 0
+    assert tagged.groupBy("k", "__blk").count().agg(F.max("count")).first()[0] <= 2_000
+    got = running(df, "seq", {"n": ("sum", F.lit(1))}, ["k"], blocks=cuts)
+    want = running_plain(df, "seq", {"n": ("sum", F.lit(1))}, ["k"])
+    assert got.exceptAll(want).count() == 0 and got.count() == want.count()
+
+
+def test_light_keys_need_no_block_table(spark):
+    import contextlib
+    import io
+
+    df = spark.range(10_000).select((F.col("id") % 500).alias("k"), F.col("id").alias("seq"))
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        running(df, "seq", {"n": ("sum", F.lit(1))}, ["k"]).explain("formatted")
+    tree = buf.getvalue().split("\n\n")[0]
+    assert tree.count("Exchange (") == 1 and "Union" not in tree and "Join" not in tree
+
+
+rows_st = st.lists(st.tuples(st.sampled_from(["a", "b", None]), st.integers(0, 40), st.sampled_from([0, 1, 2, 50, 1 << 60, -(1 << 62)])), min_size=1, max_size=50)
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=rows_st, block=st.integers(1, 9), exclusive=st.booleans(), fan=st.sampled_from([2, 256]))
+def test_scan_equals_plain_frame_at_any_cut(spark, rows, block, exclusive, fan):
+    old = prefix.FAN
+    prefix.FAN = fan  # two levels with few rows
+    try:
+        data = [(k, v, far + i) for i, (k, v, far) in enumerate(rows)]
+        df = spark.createDataFrame(data, "k string, v long, seq long").repartition(3)
+        aggs = {"s": ("sum", F.col("v")), "x": ("xor", F.xxhash64("v", "seq")), "m": ("max_by", F.col("v"), F.col("seq"))}
+        for keys in ([], ["k"]):
+            fast = running(df, "seq", aggs, keys, block=block, exclusive=exclusive)
+            slow = running_plain(df, "seq", aggs, keys, exclusive=exclusive)
+            key = lambda r: str(tuple(r))
+            assert sorted(map(tuple, fast.collect()), key=key) == sorted(map(tuple, slow.collect()), key=key)
+    finally:
+        prefix.FAN = old
+
+
+def test_ties_are_ordered_by_the_given_columns(spark):
+    df = spark.createDataFrame([(1, i % 3, (i * 7) % 12) for i in range(12)], "k int, seq long, t int").repartition(4)
+    got = running(df, "seq", {"n": ("sum", F.lit(1))}, ["k"], block=2, ties=["t"])
+    want = df.withColumn("n", F.row_number().over(Window.partitionBy("k").orderBy("seq", "t")).cast("long"))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_sums_over_many_blocks(spark):
+    df = spark.range(50_000).select((F.col("id") * 97).alias("seq"), (F.col("id") % 7).alias("v"))
+    got = running(df, "seq", {"s": ("sum", F.col("v"))}, block=300).agg(F.max("s"), F.sum("s")).first()
+    total = list(itertools.accumulate(i % 7 for i in range(50_000)))
+    assert tuple(got) == (total[-1], sum(total))
+
+
+def test_sparse_seq_gives_full_parts(spark):
+    from tidemark.functions.timecols import from_millis
+    from tidemark.operators.tumbling import tumbling_members
+
+    df = spark.range(1_000).select((F.col("id") * (1 << 20)).alias("seq"), F.lit(5).cast("long").alias("ms")).withColumn("ts", from_millis("ms"))
+    got = tumbling_members(df, (), "ts", "seq", "1 hour", part_rows=300, block=64).orderBy("part").collect()
+    assert [(r.part, r.n) for r in got] == [(0, 300), (1, 300), (2, 300), (3, 100)]
+    assert [m.seq for r in got for m in r.members] == [i << 20 for i in range(1_000)]

@@ -96,35 +96,6 @@ def test_null_values_are_skipped(spark):
     assert ev == [(1, "count", 3, 20.0), (2, "final", 3, 30.0)]
 
 
-def test_block_size_from_data_matches_driver_rule(spark):
-    from tidemark.operators.prefix import auto_block, auto_block_col
-
-    frames = [spark.range(n).withColumnRenamed("id", "seq") for n in (10, 70_000)]
-    frames += [spark.createDataFrame([(0,), (w - 1,)], "seq long") for w in (1 << 40, (1 << 40) + 1, 10**12)]
-    for df in frames:
-        assert spark.range(1).select(auto_block_col(df, "seq").alias("b")).first().b == auto_block(df, "seq")
-    assert auto_block(frames[2], "seq") >= 1 << 39  # two rows need no more than a block or two
-    whole = spark.createDataFrame([(-(1 << 63),), ((1 << 63) - 1,)], "seq long")
-    assert auto_block(whole, "seq") == 1 << 62  # a range beyond 2**63 is no overflow
-
-
-@pytest.mark.parametrize("spacing", [1, 1 << 24, 1 << 40])
-def test_blocks_follow_rows_not_the_range(spark, spacing):
-    """Time-based and snowflake ids are sparse: as many blocks as for dense ones, and the same result."""
-    from tidemark.functions.timecols import floor_div
-    from tidemark.operators.prefix import auto_block, running
-
-    df = spark.range(200_000).select((F.col("id") * spacing).alias("seq"), (F.col("id") % 7).alias("v"))
-    block = auto_block(df, "seq")
-    sizes = [r["count"] for r in df.groupBy(floor_div(F.col("seq"), block)).count().collect()]
-    assert len(sizes) <= 8 and max(sizes) <= 1 << 17
-    got = running(df, "seq", {"s": ("sum", F.col("v"))}, block=block).agg(F.max("s"), F.sum("s")).first()
-    v = [i % 7 for i in range(200_000)]
-    import itertools
-    total = list(itertools.accumulate(v))
-    assert tuple(got) == (total[-1], sum(total))
-
-
 def test_evicting_fold_keeps_null_and_large_keys(spark):
     big = 9007199254740993  # not a double
     rows = [(k, dt.datetime(2024, 1, 1, 0, i), i, float(i)) for i, k in enumerate([None] * 6 + [big] * 3 + [big - 1] * 2)]
@@ -214,3 +185,33 @@ def test_materialized_scan_input_gives_same_rows(spark):
     b = sorted(tuple(r) for r in spec.run(block=4, materialize=True).collect())
     assert a == b
     assert spark.sparkContext.getCheckpointDir() is not None
+
+
+def test_rows_without_a_value_never_lead(spark):
+    from tidemark.operators.running import running_argmax
+    from tidemark.operators.tumbling import tumbling_extremes, window_report
+
+    nan = float("nan")
+    rows = [(s, v) for s, v in enumerate([None, 5.0, nan, 1.0, None, 1.0, 9.0, nan])]
+    df = spark.createDataFrame([("a", dt.datetime(2024, 1, 1, 0, s), s, v) for s, v in rows] + [("b", dt.datetime(2024, 1, 1), 50, None), ("b", dt.datetime(2024, 1, 1), 51, nan)],
+                               "k string, ts timestamp_ntz, seq long, v double")
+    for block in (2, None):
+        lead = {r.seq: r.leader and (r.leader.seq, r.leader.v) for r in running_argmax(df, ["k"], "seq", "v", block=block).collect()}
+        assert lead == {0: None, 1: (1, 5.0), 2: (1, 5.0), 3: (1, 5.0), 4: (1, 5.0), 5: (1, 5.0), 6: (6, 9.0), 7: (6, 9.0), 50: None, 51: None}
+        mean = {r.seq: (r.n, r.mean) for r in running_mean(df, ["k"], "seq", "v", block=block).collect()}
+        assert mean[0] == (0, None) and mean[2] == (1, 5.0) and mean[7] == (4, 4.0) and mean[51] == (0, None)
+    for payload in ((), ("k",)):
+        got = {r.k: (r.n, r.highest and r.highest.seq, r.lowest and r.lowest.seq) for r in tumbling_extremes(df, ["k"], "ts", "v", "seq", "1 day", payload).collect()}
+        assert got == {"a": (8, 6, 3), "b": (2, None, None)}
+    report = window_report(df, ["k"], "ts", "v", "seq", "1 day", part_rows=3, block=2).collect()
+    assert sorted((r.k, r.part, r.n, r.n_window, r.highest and r.highest.seq, r.lowest and r.lowest.seq, [m.seq for m in r.members]) for r in report) == [
+        ("a", 0, 3, 8, 6, 3, [0, 1, 2]), ("a", 1, 3, 8, 6, 3, [3, 4, 5]), ("a", 2, 2, 8, 6, 3, [6, 7]), ("b", 0, 2, 2, None, None, [50, 51])]
+
+
+def test_window_report_of_null_keys_and_no_rows(spark):
+    from tidemark.operators.tumbling import window_report
+
+    df = spark.createDataFrame([(None, dt.datetime(2024, 1, 1), 1, 2.0), (None, None, 2, 3.0)], "k string, ts timestamp_ntz, seq long, v double")
+    (r,) = window_report(df, ["k"], "ts", "v", "seq", "1 hour").collect()
+    assert (r.k, r.n, r.highest.seq, [m.seq for m in r.members]) == (None, 1, 1, [1])
+    assert window_report(df.limit(0), ["k"], "ts", "v", "seq", "1 hour").count() == 0

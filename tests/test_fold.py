@@ -1,0 +1,148 @@
+"""Rolling results by a caller's own function, against the same function applied row after row."""
+
+from __future__ import annotations
+
+import sys
+import uuid
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark import cloudpickle
+
+from tidemark.operators import fold as folds
+from tidemark.operators.fold import Fold, connect_fold, connect_fold_spec, rolling_fold, rolling_fold_spec
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])  # workers can't import this file
+SETTINGS = settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+
+#: Joining texts is associative and not commutative: any wrong order shows.
+JOINED = Fold("string", lambda r: None if r["v"] is None else str(r["v"]), lambda a, b: a + "," + b)
+
+
+def intervals(a, b):
+    out = []
+    for lo, hi in sorted(map(tuple, [*a, *b])):
+        if out and lo <= out[-1][1]:
+            out[-1][1] = max(out[-1][1], hi)
+        else:
+            out.append([lo, hi])
+    return out
+
+
+UNION = Fold("array<array<bigint>>", lambda r: [[r["v"], r["v"] + 3]], intervals, lambda s, r: sum(hi - lo for lo, hi in s), "bigint")
+
+
+def row_loop(rows, fold):
+    """Output of each row, the plain way: ``rows`` of (key, seq, value)."""
+    state, out = {}, []
+    for k, seq, v in sorted(rows, key=lambda r: r[1]):
+        row = {"v": v}
+        now = fold.lift(row)
+        state[k] = fold.join(state.get(k), now)
+        out.append((k, seq, v, fold.show(state[k], row) if fold.show else state[k]))
+    return sorted(out, key=str)
+
+
+rows_st = st.lists(st.tuples(st.sampled_from(["a", "b", None]), st.one_of(st.none(), st.integers(0, 30))), min_size=1, max_size=40)
+
+
+@SETTINGS
+@given(rows=rows_st, block=st.integers(1, 9), keyed=st.booleans(), fan=st.sampled_from([2, 256]))
+def test_rolling_fold_equals_row_loop(spark, rows, block, keyed, fan):
+    old, folds.FAN = folds.FAN, fan
+    try:
+        data = [(k if keyed else "all", (i * 7919) % 1009, v) for i, (k, v) in enumerate(rows)]
+        df = spark.createDataFrame(data, "k string, seq long, v long").repartition(3)
+        got = rolling_fold(df, ["k"] if keyed else [], "seq", ["v"], JOINED, "t", block=block)
+        assert sorted(map(tuple, got.collect()), key=str) == row_loop(data, JOINED)
+    finally:
+        folds.FAN = old
+
+
+def test_union_of_intervals(spark):
+    data = [("k", i, (i * 37) % 101) for i in range(200)]
+    df = spark.createDataFrame(data, "k string, seq long, v long").repartition(5)
+    for block in (7, None):
+        got = rolling_fold(df, ["k"], "seq", ["v"], UNION, "covered", block=block)
+        assert sorted(map(tuple, got.collect()), key=str) == row_loop(data, UNION)
+
+
+def test_other_columns_pass_through(spark):
+    df = spark.sql("SELECT 'a' AS k, id AS seq, id AS v, array(id) AS xs, struct(id, 'x' AS t) AS s, timestamp_millis(id) AS ts, "
+                   "cast(timestamp_millis(id) AS timestamp_ntz) AS n, cast(id AS decimal(9,2)) AS d, cast(NULL AS string) AS z FROM range(10)")
+    got = rolling_fold(df, ["k"], "seq", ["v"], JOINED, "t", block=3)
+    assert got.drop("t").exceptAll(df).count() == 0 and got.schema["t"].dataType.simpleString() == "string"
+
+
+def test_empty_input(spark):
+    df = spark.createDataFrame([], "k string, seq long, v long")
+    assert rolling_fold(df, ["k"], "seq", ["v"], JOINED).count() == 0
+    assert rolling_fold(df, [], "seq", ["v"], JOINED, block=2).count() == 0
+
+
+CHANGES = Fold("struct<set: boolean, by: bigint>", lambda r: {"set": r["kind"] == "set", "by": r["by"]},
+               lambda a, b: b if b["set"] else {"set": a["set"], "by": a["by"] + b["by"]})
+
+
+def mark(s):
+    return 10 + (s["by"] if s and not s["set"] else 0) if not (s and s["set"]) else s["by"]
+
+
+def connected(spark, rows, **kw):
+    subject = spark.createDataFrame([(k, i, v) for i, (k, kind, v) in enumerate(rows) if kind == "row"], "k string, seq long, score long")
+    control = spark.createDataFrame([(k, i, kind, v) for i, (k, kind, v) in enumerate(rows) if kind != "row"], "k string, seq long, kind string, by long")
+    answers = (lambda s, r: f"{r['score']} against {mark(s)}", lambda s, r: f"{r['kind']} {r['by']}: {mark(s)}", "string")
+    return subject, control, answers
+
+
+def plain_connect(rows, keyed):
+    now, out = {}, []
+    for i, (k, kind, v) in enumerate(rows):
+        m = now.get(k if keyed else 0, 10)
+        if kind != "row":
+            m = now[k if keyed else 0] = v if kind == "set" else m + v
+            out.append((i, True, f"{kind} {v}: {m}"))
+        else:
+            out.append((i, False, f"{v} against {m}"))
+    return out
+
+
+@SETTINGS
+@given(rows=st.lists(st.tuples(st.sampled_from("ab"), st.sampled_from(["row", "row", "set", "raise"]), st.integers(0, 20)), min_size=1, max_size=40),
+       block=st.integers(1, 9), keyed=st.booleans())
+def test_connect_fold_equals_row_loop(spark, rows, block, keyed):
+    subject, control, answers = connected(spark, rows)
+    out = connect_fold(subject, control, "seq", CHANGES, *answers, keys=["k"] if keyed else [], block=block)
+    assert sorted((r.seq, r.is_control, r.result) for r in out.collect()) == plain_connect(rows, keyed)
+
+
+@pytest.mark.parametrize("block", [3, None])
+def test_folds_on_a_stream(spark, tmp_dir, block):
+    from tidemark.streaming.scan import stream_scan
+
+    data = [("a" if i % 4 else "b", i, i % 11) for i in range(60)]
+    for part in range(3):
+        spark.createDataFrame(data[part * 20:(part + 1) * 20], "k string, seq long, v long").coalesce(1).write.parquet(f"{tmp_dir}/in/{part}")
+    stream = spark.readStream.schema("k string, seq long, v long").option("maxFilesPerTrigger", 1).parquet(f"{tmp_dir}/in/*")
+    name = "fold_" + uuid.uuid4().hex[:6]
+    q = stream_scan(rolling_fold_spec(stream, ["k"], "seq", ["v"], JOINED, "t"), name, f"{tmp_dir}/out", block=block)
+    q.awaitTermination()
+    got = spark.read.parquet(f"{tmp_dir}/out").select("k", "seq", "v", "t")
+    assert sorted(map(tuple, got.collect()), key=str) == row_loop(data, JOINED)
+
+
+def test_connect_fold_on_a_stream(spark, tmp_dir):
+    from tidemark.streaming.scan import stream_scan
+
+    rows = [("a", ["row", "set", "raise"][i % 3 if i % 2 else 0], i) for i in range(30)]
+    subject, control, answers = connected(spark, rows)
+    for part in range(2):
+        mine = f"seq >= {part * 15} AND seq < {part * 15 + 15}"
+        subject.filter(mine).coalesce(1).write.parquet(f"{tmp_dir}/s/{part}")
+        control.filter(mine).coalesce(1).write.parquet(f"{tmp_dir}/c/{part}")
+    read = lambda side, like: spark.readStream.schema(like.schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_dir}/{side}/*")
+    spec = connect_fold_spec(read("s", subject), read("c", control), "seq", CHANGES, *answers)
+    stream_scan(spec, "cf_" + uuid.uuid4().hex[:6], f"{tmp_dir}/out").awaitTermination()
+    got = spark.read.parquet(f"{tmp_dir}/out")
+    assert sorted((r.seq, r.is_control, r.result) for r in got.collect()) == plain_connect(rows, False)

@@ -117,7 +117,7 @@ def connect_latest(
     control_value: str,
     initial: float,
     labels: tuple[str, str, str] = PASS_LABELS,
-    block: int = DEFAULT_BLOCK,
+    block: int | None = DEFAULT_BLOCK,
     keys: Sequence[str] = (),
 ) -> DataFrame:
     """Label each subject row against the latest control value before it.

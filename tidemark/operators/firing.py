@@ -33,7 +33,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from tidemark.operators.prefix import DEFAULT_BLOCK, running
-from tidemark.operators.tumbling import WE, WS, exact_mean, mean_of, with_window
+from tidemark.operators.tumbling import WE, WS, exact_mean, mean_of, valued, with_window
 
 
 def early_mean(
@@ -45,7 +45,7 @@ def early_mean(
     size: str | int | dt.timedelta,
     min_rows: int = 3,
     exact_scale: int | None = None,
-    block: int = DEFAULT_BLOCK,
+    block: int | None = DEFAULT_BLOCK,
 ) -> DataFrame:
     """Rows ``(keys, window_start, window_end, firing, at_seq, n, mean)``.
 
@@ -55,7 +55,7 @@ def early_mean(
     ``at_seq`` = its last ``seq``.  Rows with a null value never enter a window.
     """
     gk = [*keys, WS, WE]
-    x = with_window(df.filter(F.col(value).isNotNull()), ts, size)
+    x = with_window(df.filter(valued(df, value).isNotNull()), ts, size)
     v = F.col(value) if exact_scale is None else F.col(value).cast(f"decimal(18,{exact_scale})")
     run = running(
         x.select(*gk, seq, v.alias("__v")),

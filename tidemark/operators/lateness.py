@@ -60,7 +60,7 @@ def classify_late(
     bound: str | int | dt.timedelta,
     size: str | int | dt.timedelta,
     keys: Sequence[str] = (),
-    block: int = DEFAULT_BLOCK,
+    block: int | None = DEFAULT_BLOCK,
 ) -> DataFrame:
     """Add ``window_start``, ``window_end``, ``wm_before`` and ``is_late``, one row per input row.
 
@@ -79,7 +79,7 @@ def drop_late(
     bound: str | int | dt.timedelta,
     size: str | int | dt.timedelta,
     keys: Sequence[str] = (),
-    block: int = DEFAULT_BLOCK,
+    block: int | None = DEFAULT_BLOCK,
 ) -> DataFrame:
     """The rows a bounded-out-of-order watermark would let into their window.
 

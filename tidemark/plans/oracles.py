@@ -78,10 +78,57 @@ SELECT event_id, user_id, value, threshold,
 FROM s
 """
 
+CONNECT_MARKS = """
+WITH u AS (
+  SELECT event_id, event_type, user_id, CAST(round(value * 100) AS BIGINT) AS cents,
+         count(*) FILTER (event_type = 'signup') OVER (ORDER BY event_id) AS era
+  FROM events WHERE event_type IN ('purchase', 'signup', 'error')),
+m AS (
+  SELECT *, coalesce(max(CASE WHEN event_type = 'signup' THEN cents END) OVER (PARTITION BY era), 5000)
+         + 25 * count(*) FILTER (event_type = 'error') OVER (PARTITION BY era ORDER BY event_id) AS mark
+  FROM u)
+SELECT event_id, CASE WHEN event_type = 'purchase' THEN user_id END AS user_id,
+       CASE WHEN event_type = 'purchase' THEN cents END AS cents, CAST(mark AS BIGINT) AS mark,
+       CASE WHEN event_type <> 'purchase' THEN 'change passing score'
+            WHEN cents >= mark THEN 'pass' ELSE 'not pass' END AS label
+FROM m
+"""
+
 WINDOW_MEMBERS = f"""
-SELECT {_HS} AS window_start, {_HE} AS window_end, event_id // 4096 AS part,
+WITH x AS (
+  SELECT {_HS} AS window_start, {_HE} AS window_end, event_id,
+         row_number() OVER (PARTITION BY {_HS} ORDER BY event_id) AS place
+  FROM events)
+SELECT window_start, window_end, (place - 1) // 4096 AS part,
        count(*) AS n, string_agg(CAST(event_id AS VARCHAR), ',' ORDER BY event_id) AS member_ids
-FROM events GROUP BY ALL
+FROM x GROUP BY ALL
+"""
+
+WINDOW_REPORT = f"""
+WITH x AS (
+  SELECT event_type, {_DS} AS window_start, {_DE} AS window_end, event_id, value,
+         row_number() OVER (PARTITION BY event_type, {_DS} ORDER BY event_id) AS place
+  FROM events),
+w AS (
+  SELECT event_type, window_start, count(*) AS n_window,
+         arg_max(event_id, (value, -event_id)) AS highest_id, max(value) AS highest_value,
+         arg_min(event_id, (value, event_id)) AS lowest_id, min(value) AS lowest_value
+  FROM x GROUP BY ALL),
+p AS (
+  SELECT event_type, window_start, window_end, (place - 1) // 16 AS part, count(*) AS n,
+         string_agg(CAST(event_id AS VARCHAR), ',' ORDER BY event_id) AS member_ids
+  FROM x GROUP BY ALL)
+SELECT p.event_type, p.window_start, window_end, part, n, n_window, highest_id, highest_value, lowest_id, lowest_value, member_ids
+FROM p JOIN w ON p.event_type IS NOT DISTINCT FROM w.event_type AND p.window_start = w.window_start
+"""
+
+RUNNING_TOP = """
+WITH l AS (
+  SELECT event_id, event_type, value,
+         list_reverse_sort(list(value) FILTER (value IS NOT NULL) OVER (
+             PARTITION BY event_type ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)) AS top
+  FROM events)
+SELECT event_id, event_type, value, top[1] AS top_1, top[2] AS top_2, top[3] AS top_3 FROM l
 """
 
 RUNNING_OLDEST = """
@@ -250,11 +297,14 @@ ORACLES = {
     "union_orders": UNION_ORDERS,
     "route_purchases": ROUTE_PURCHASES,
     "connect_threshold": CONNECT_THRESHOLD,
+    "connect_marks": CONNECT_MARKS,
     "window_members": WINDOW_MEMBERS,
+    "window_report": WINDOW_REPORT,
     "running_oldest": RUNNING_OLDEST,
     "tumbling_mean": TUMBLING_MEAN,
     "tumbling_extremes": TUMBLING_EXTREMES,
     "running_lowest": RUNNING_LOWEST,
+    "running_top": RUNNING_TOP,
     "tumbling_stats": TUMBLING_STATS,
     "running_mean": RUNNING_MEAN,
     "early_mean": EARLY_MEAN,

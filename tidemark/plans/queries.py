@@ -10,28 +10,27 @@ Conventions shared with the oracles:
 * ``events.value`` has at most two decimals; means are summed exactly as
   ``decimal(18,2)`` and divided once, so results agree to the last bit however
   the rows are partitioned.
-* Prefix scans use ``tidemark.scan.block`` from the session when set, else a
-  block of about max(2**16, sqrt(rows)) rows, computed by the query itself from
-  the count and range of ``seq`` (one more pass over that column,
-  :func:`tidemark.operators.prefix.auto_block_col`).  ``test_entry.py`` runs the
+* Prefix scans cut blocks of ``tidemark.scan.block`` rows when the session sets
+  it, else of about max(2**16, sqrt(rows)) rows
+  (:func:`tidemark.operators.prefix.plan_blocks`).  ``test_entry.py`` runs the
   scan queries against their oracles with many small blocks.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.format import message, render_record
 from tidemark.functions.parse import parse_delimited, parse_scalar, to_line
-from tidemark.operators.compose import connect_latest, explode_routes, route, union_all
+from tidemark.operators.compose import PASS_LABELS, connect_latest, explode_routes, route, union_all
 from tidemark.operators.firing import early_mean, evicting_mean
+from tidemark.operators.fold import Fold, connect_fold, rolling_fold
 from tidemark.operators.joins import interval_join
 from tidemark.operators.lateness import classify_late, drop_late
-from tidemark.operators.prefix import auto_block_col
 from tidemark.operators.running import running_argmax, running_mean, running_reduce
-from tidemark.operators.tumbling import tumbling_agg, tumbling_extremes, tumbling_mean, tumbling_members
+from tidemark.operators.tumbling import tumbling_agg, tumbling_extremes, tumbling_mean, tumbling_members, window_report
 from tidemark.session import pin_utc
 from tidemark.sources.files import lines_of, read_table
 
@@ -39,7 +38,10 @@ from tidemark.sources.files import lines_of, read_table
 HOUR = "1 hour"
 DAY = "1 day"
 MEMBER_PART_ROWS = 4096
+REPORT_PART_ROWS = 16
+TOP = 3
 CONNECT_INITIAL = 50.0
+MARK_INITIAL_CENTS, MARK_RAISE_CENTS = 5000, 25
 ROUTE_HIGH = 250.0
 LATE_BOUND = "1200 days"
 JOIN_LOWER, JOIN_UPPER = "-1 hour", "3 hours"
@@ -48,11 +50,10 @@ EVICT_EVERY = 3
 SCALE = 2
 
 
-def _block(spark: SparkSession, df: DataFrame, seq: str):
-    """``tidemark.scan.block`` when the session sets it, else sized from the data
-    inside the query (a scalar subquery over the ``seq`` range)."""
+def _block(spark: SparkSession) -> int | None:
+    """Rows of a scan block: ``tidemark.scan.block`` when the session sets it, else chosen from the row count."""
     fixed = spark.conf.get("tidemark.scan.block", None)
-    return int(fixed) if fixed else auto_block_col(df, seq)
+    return int(fixed) if fixed else None
 
 
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -128,7 +129,7 @@ def connect_threshold(spark, sf_dir):
     subject = e.filter(F.col("event_type") == "purchase").select("event_id", "user_id", "value")
     control = e.filter(F.col("event_type") == "signup").select("event_id", "value")
     out = connect_latest(subject, control, seq="event_id", value="value", control_value="value",
-                         initial=CONNECT_INITIAL, block=_block(spark, e, "event_id"))
+                         initial=CONNECT_INITIAL, block=_block(spark))
     return out.select("event_id", F.col("subject.user_id").alias("user_id"),
                       F.col("subject.value").alias("value"), "threshold", "label")
 
@@ -136,15 +137,68 @@ def connect_threshold(spark, sf_dir):
 def window_members(spark, sf_dir):
     """Global hourly windows, members in arrival order (bounded parts)."""
     e = _t(spark, sf_dir, "events")
-    m = tumbling_members(e, (), "ts", "event_id", HOUR, part_rows=MEMBER_PART_ROWS)
-    ids = F.array_join(F.transform("members", lambda r: r["event_id"].cast("string")), ",")
-    return m.select("window_start", "window_end", "part", "n", ids.alias("member_ids"))
+    m = tumbling_members(e, (), "ts", "event_id", HOUR, part_rows=MEMBER_PART_ROWS, block=_block(spark))
+    return m.select("window_start", "window_end", "part", "n", _ids("members").alias("member_ids"))
+
+
+def _ids(members: str) -> Column:
+    return F.array_join(F.transform(members, lambda r: r["event_id"].cast("string")), ",")
+
+
+def window_report_q(spark, sf_dir):
+    """A1 + A3 in one result: daily windows per type with highest, lowest and all members."""
+    e = _t(spark, sf_dir, "events")
+    r = window_report(e, ["event_type"], "ts", "value", "event_id", DAY, part_rows=REPORT_PART_ROWS, block=_block(spark))
+    return r.select(
+        "event_type", "window_start", "window_end", "part", "n", "n_window",
+        F.col("highest.event_id").alias("highest_id"), F.col("highest.value").alias("highest_value"),
+        F.col("lowest.event_id").alias("lowest_id"), F.col("lowest.value").alias("lowest_value"), _ids("members").alias("member_ids"))
+
+
+def top_values(k: int) -> Fold:
+    """The ``k`` highest values so far, highest first: no order column expresses it."""
+    return Fold("array<double>", lambda row: None if row["value"] is None else [row["value"]],
+                lambda a, b: sorted([*a, *b], reverse=True)[:k])
+
+
+def running_top(spark, sf_dir):
+    """A5 with a caller's function: the three highest values so far per event type."""
+    e = _t(spark, sf_dir, "events").select("event_id", "event_type", "value")
+    r = rolling_fold(e, ["event_type"], "event_id", ["value"], top_values(TOP), "top", block=_block(spark))
+    return r.select("event_id", "event_type", "value", *[F.get("top", F.lit(i)).alias(f"top_{i + 1}") for i in range(TOP)])
+
+
+#: Changes of a mark: set it, or raise it by so much.  A later set forgets what was before it.
+MARK_CHANGES = Fold(
+    "struct<set: boolean, cents: bigint>",
+    lambda row: {"set": True, "cents": row["cents"]} if row["event_type"] == "signup" else {"set": False, "cents": MARK_RAISE_CENTS},
+    lambda a, b: b if b["set"] else {"set": a["set"], "cents": a["cents"] + b["cents"]},
+)
+
+
+def mark_of(state) -> int:
+    if state is None:
+        return MARK_INITIAL_CENTS
+    return state["cents"] if state["set"] else MARK_INITIAL_CENTS + state["cents"]
+
+
+def connect_marks(spark, sf_dir):
+    """C1 with the caller's functions: signups set the mark, errors raise it, purchases are held against it."""
+    e = _t(spark, sf_dir, "events").withColumn("cents", F.round(F.col("value") * 100).cast("long"))
+    subject = e.filter(F.col("event_type") == "purchase").select("event_id", "user_id", "cents")
+    control = e.filter(F.col("event_type").isin("signup", "error")).select("event_id", "event_type", "cents")
+    out = connect_fold(
+        subject, control, "event_id", MARK_CHANGES,
+        lambda state, row: {"mark": mark_of(state), "label": PASS_LABELS[0] if row["cents"] >= mark_of(state) else PASS_LABELS[1]},
+        lambda state, row: {"mark": mark_of(state), "label": PASS_LABELS[2]},
+        "struct<mark: bigint, label: string>", block=_block(spark))
+    return out.select("event_id", F.col("subject.user_id").alias("user_id"), F.col("subject.cents").alias("cents"), "result.mark", "result.label")
 
 
 def running_oldest(spark, sf_dir):
     """A5: per event type, the running arg-max of value (first arrival wins ties)."""
     e = _t(spark, sf_dir, "events").select("event_id", "event_type", "value")
-    r = running_argmax(e, ["event_type"], "event_id", "value", block=_block(spark, e, "event_id"))
+    r = running_argmax(e, ["event_type"], "event_id", "value", block=_block(spark))
     return r.select("event_id", "event_type", "value",
                     F.col("leader.event_id").alias("leader_id"), F.col("leader.value").alias("leader_value"))
 
@@ -169,7 +223,7 @@ def tumbling_extremes_q(spark, sf_dir):
 def running_lowest(spark, sf_dir):
     """A5 with a caller's order: per event type, the lowest value so far (first arrival wins ties)."""
     e = _t(spark, sf_dir, "events").select("event_id", "event_type", "value")
-    r = running_reduce(e, ["event_type"], "event_id", ["value"], lowest=True, block=_block(spark, e, "event_id"))
+    r = running_reduce(e, ["event_type"], "event_id", ["value"], lowest=True, block=_block(spark))
     return r.select("event_id", "event_type", "value",
                     F.col("leader.event_id").alias("leader_id"), F.col("leader.value").alias("leader_value"))
 
@@ -185,7 +239,7 @@ def tumbling_stats(spark, sf_dir):
 def running_mean_q(spark, sf_dir):
     """A6/ST1: running mean value per user, one row per event."""
     e = _t(spark, sf_dir, "events").select("event_id", "user_id", "value")
-    r = running_mean(e, ["user_id"], "event_id", "value", exact_scale=SCALE, block=_block(spark, e, "event_id"))
+    r = running_mean(e, ["user_id"], "event_id", "value", exact_scale=SCALE, block=_block(spark))
     return r.select("event_id", "user_id", "n", "mean")
 
 
@@ -193,7 +247,7 @@ def early_mean_q(spark, sf_dir):
     """TR1/TR3/A4: daily mean per type, early reports from the 4th row on."""
     e = _t(spark, sf_dir, "events")
     return early_mean(e, ["event_type"], "ts", "value", "event_id", DAY,
-                      min_rows=EARLY_MIN_ROWS, exact_scale=SCALE, block=_block(spark, e, "event_id"))
+                      min_rows=EARLY_MIN_ROWS, exact_scale=SCALE, block=_block(spark))
 
 
 def evicting_mean_q(spark, sf_dir):
@@ -206,19 +260,19 @@ def evicting_mean_q(spark, sf_dir):
 def late_orders(spark, sf_dir):
     """Orders in key order against a 1,200-day bounded watermark."""
     o = _t(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
-    return classify_late(o, "o_orderdate", "o_orderkey", LATE_BOUND, DAY, block=_block(spark, o, "o_orderkey"))
+    return classify_late(o, "o_orderdate", "o_orderkey", LATE_BOUND, DAY, block=_block(spark))
 
 
 def late_orders_bound0(spark, sf_dir):
     """The same against a watermark without slack (the highest time so far)."""
     o = _t(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
-    return classify_late(o, "o_orderdate", "o_orderkey", 0, DAY, block=_block(spark, o, "o_orderkey"))
+    return classify_late(o, "o_orderdate", "o_orderkey", 0, DAY, block=_block(spark))
 
 
 def ontime_orders_daily(spark, sf_dir):
     """T4 + W2: late orders discarded, then a daily count and exact total."""
     o = _t(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", "o_totalprice")
-    kept = drop_late(o, "o_orderdate", "o_orderkey", LATE_BOUND, DAY, block=_block(spark, o, "o_orderkey"))
+    kept = drop_late(o, "o_orderdate", "o_orderkey", LATE_BOUND, DAY, block=_block(spark))
     daily = tumbling_mean(kept, (), "o_orderdate", "o_totalprice", DAY, exact_scale=SCALE)
     return daily.select("window_start", "window_end", "n", "mean")
 
@@ -264,11 +318,14 @@ QUERIES = {
     "union_orders": union_orders,
     "route_purchases": route_purchases,
     "connect_threshold": connect_threshold,
+    "connect_marks": connect_marks,
     "window_members": window_members,
+    "window_report": window_report_q,
     "running_oldest": running_oldest,
     "tumbling_mean": tumbling_mean_q,
     "tumbling_extremes": tumbling_extremes_q,
     "running_lowest": running_lowest,
+    "running_top": running_top,
     "tumbling_stats": tumbling_stats,
     "running_mean": running_mean_q,
     "early_mean": early_mean_q,

@@ -38,7 +38,7 @@ def stream_scan(
     spec: ScanSpec,
     name: str,
     path: str,
-    block: int = DEFAULT_BLOCK,
+    block: int | None = DEFAULT_BLOCK,
     trigger: dict | None = None,
     checkpoint: str | None = None,
 ):
