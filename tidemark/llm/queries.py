@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from tidemark.llm.ann import op2_nearest_neighbours
 from tidemark.llm.centroids import op13_centroid_clustering
+from tidemark.llm.convtrie import op12_conversation_trie
 from tidemark.llm.decontam import ORACLE as OP4_ORACLE, op4_decontamination
 from tidemark.llm.jaccard import op8_ngram_jaccard
 from tidemark.llm.license import op3_license_scans
@@ -27,6 +28,7 @@ QUERIES = {
     "op9_quality_classifier": op9_quality_classifier,
     "op10_suffix_dedup": op10_suffix_dedup,
     "op11_secret_scans": op11_secret_scans,
+    "op12_conversation_trie": op12_conversation_trie,
     "op13_centroid_clustering": op13_centroid_clustering,
 }
 
