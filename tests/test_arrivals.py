@@ -1,0 +1,157 @@
+"""The replayable line source and the labelled sink."""
+
+from __future__ import annotations
+
+import os
+import uuid
+
+import duckdb
+import pytest
+
+from tidemark.sources.arrivals import FILE_BITS, ArrivalLogReader, Bytes, LabelledWriter, published, read_labelled, register, stream_arrivals
+
+
+def put(folder, name, data, mode="ab"):
+    os.makedirs(folder, exist_ok=True)
+    with open(os.path.join(folder, name), mode) as f:
+        f.write(data if isinstance(data, bytes) else data.encode())
+
+
+def drain(df, folder, out):
+    q = df.writeStream.option("checkpointLocation", f"{folder}/ckpt").trigger(availableNow=True).format("parquet").start(out)
+    q.awaitTermination()
+
+
+def lines_in(spark, out):
+    return [(r.seq, r.file, r.offset, r.value) for r in spark.read.parquet(out).orderBy("seq").collect()]
+
+
+def test_restart_in_the_middle_of_a_file_loses_and_repeats_nothing(spark, tmp_dir):
+    log, out = f"{tmp_dir}/log", f"{tmp_dir}/out"
+    put(log, "a.log", "one\ntwo\r\nhalf a li")
+    drain(stream_arrivals(spark, log), tmp_dir, out)
+    assert [v for *_, v in lines_in(spark, out)] == ["one", "two"]
+    put(log, "a.log", "ne\n\nfünf\n")
+    put(log, "b.log", "next file\nnot ended")
+    drain(stream_arrivals(spark, log), tmp_dir, out)
+    drain(stream_arrivals(spark, log), tmp_dir, out)  # nothing new
+    assert [v for *_, v in lines_in(spark, out)] == ["one", "two", "half a line", "", "fünf", "next file"]
+    put(log, "b.log", "\nlast\n")
+    drain(stream_arrivals(spark, log), tmp_dir, out)
+    got = lines_in(spark, out)
+    whole = [(n << FILE_BITS | at, f, at, v.decode()) for n, f in enumerate(("a.log", "b.log"))
+             for at, v in _plain(open(f"{log}/{f}", "rb").read())]
+    assert got == whole
+
+
+def _plain(data):
+    at = 0
+    for line in data.split(b"\n")[:-1]:
+        yield at, line.removesuffix(b"\r")
+        at += len(line) + 1
+
+
+@pytest.mark.parametrize("part", [1, 2, 3, 7, 64, 1 << 20])
+def test_parts_of_any_size_give_every_line_once(tmp_dir, part):
+    data = "".join(f"{'x' * (i % 5)}{i}\n" for i in range(40)) + "\n\n" + "ü" * 30 + "\nunended"
+    put(tmp_dir, "f", data)
+    r = ArrivalLogReader({"path": tmp_dir, "partbytes": str(part)})
+    end, start = r.latestOffset(), r.initialOffset()
+    got = [(b["offset"][i].as_py(), b["value"][i].as_py()) for p in r.partitions(start, end) for b in r.read(p) for i in range(b.num_rows)]
+    assert got == [(at, v.decode()) for at, v in _plain(data.encode())]
+
+
+def test_a_part_never_reads_past_the_offset(tmp_dir):
+    put(tmp_dir, "f", "a\nb\n")
+    r = ArrivalLogReader({"path": tmp_dir})
+    end = r.latestOffset()
+    put(tmp_dir, "f", "c\n")
+    assert [v for p in r.partitions(r.initialOffset(), end) for b in r.read(p) for v in b["value"].to_pylist()] == ["a", "b"]
+    again = r.latestOffset()
+    assert [v for p in r.partitions(end, again) for b in r.read(p) for v in b["value"].to_pylist()] == ["c"]
+
+
+def test_files_before_known_ones_are_refused(tmp_dir):
+    put(tmp_dir, "b", "x\n")
+    r = ArrivalLogReader({"path": tmp_dir})
+    start = r.latestOffset()
+    put(tmp_dir, "a", "y\n")
+    with pytest.raises(ValueError, match="order of their names"):
+        r.partitions(start, r.latestOffset())
+
+
+def test_empty_and_missing_folders(spark, tmp_dir):
+    r = ArrivalLogReader({"path": f"{tmp_dir}/none"})
+    assert r.partitions(r.initialOffset(), r.latestOffset()) == []
+    put(tmp_dir, "empty", "")
+    r = ArrivalLogReader({"path": tmp_dir})
+    assert r.partitions(r.initialOffset(), r.latestOffset()) == [] and Bytes(0, "x", 0, 0, 0, 0).stop == 0
+
+
+SCHEMA = "id long, score double, route string"
+
+
+def routed(spark, folder, n=60, per=20):
+    rows = [(i, float(i % 7), None if i % 10 == 9 else ["high", "low", "mid"][i % 3]) for i in range(n)]
+    for k in range(0, n, per):
+        spark.createDataFrame(rows[k:k + per], SCHEMA).repartition(3).write.parquet(f"{folder}/{k:04}")
+    return rows, spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 3).parquet(f"{folder}/*")
+
+
+def test_labels_of_a_batch_appear_together(spark, tmp_dir):
+    register(spark)
+    rows, src = routed(spark, f"{tmp_dir}/in")
+    sink = f"{tmp_dir}/sink"
+    start = lambda: src.writeStream.format("labelled_sink").option("label", "route").option("checkpointLocation", f"{tmp_dir}/ckpt") \
+        .trigger(availableNow=True).start(sink)
+    start().awaitTermination()
+    assert len(published(sink)) >= 2
+    got = sorted(map(tuple, read_labelled(spark, sink, SCHEMA).collect()))
+    assert got == sorted(rows)
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW t AS SELECT * FROM '{tmp_dir}/in/*/*.parquet'")
+    for label in ("high", "low", "mid"):
+        want = con.sql(f"SELECT count(*), sum(id) FROM t WHERE route = '{label}'").fetchall()[0]
+        part = read_labelled(spark, sink, SCHEMA, label).selectExpr("count(*)", "sum(id)").first()
+        assert tuple(part) == tuple(want)
+    assert read_labelled(spark, sink, SCHEMA, "no such label").count() == 0
+
+
+def test_a_failed_task_leaves_nothing_visible(spark, tmp_dir):
+    import pyarrow as pa
+    from pyspark.sql import types as T
+
+    schema = T._parse_datatype_string(SCHEMA)
+    w = LabelledWriter(schema, {"path": tmp_dir, "label": "route"})
+    batch = pa.RecordBatch.from_pydict({"id": [1, 2, 3], "score": [0.0, 1.0, 2.0], "route": ["a", "b", None]})
+
+    def broken():
+        yield batch
+        raise OSError("lost")
+
+    with pytest.raises(OSError):
+        w.write(broken())
+    assert published(tmp_dir) == [] and read_labelled(spark, tmp_dir, SCHEMA).count() == 0
+    done, twice = w.write(iter([batch, batch])), w.write(iter([batch]))
+    assert read_labelled(spark, tmp_dir, SCHEMA).count() == 0
+    w.abort([done, None], 0)
+    assert read_labelled(spark, tmp_dir, SCHEMA).count() == 0
+    w.commit([twice, None], 0)
+    w.commit([twice, None], 0)  # the batch is replayed
+    assert [b["batch"] for b in published(tmp_dir)] == [0] and read_labelled(spark, tmp_dir, SCHEMA).count() == 3
+    assert sorted(r.route or "" for r in read_labelled(spark, tmp_dir, SCHEMA).collect()) == ["", "a", "b"]
+
+
+def test_arrivals_through_an_operator_into_labels(spark, tmp_dir):
+    from pyspark.sql import functions as F
+
+    register(spark)
+    put(f"{tmp_dir}/log", "1.log", "5\n700\nx\n600\n601\n")
+    lines = stream_arrivals(spark, f"{tmp_dir}/log", part_bytes=4)
+    tagged = lines.select("seq", F.expr("try_cast(value AS double)").alias("score")).withColumn(
+        "route", F.when(F.col("score") > 600, "admitted").when(F.col("score").isNotNull(), "not admitted").otherwise("rejected"))
+    q = tagged.writeStream.format("labelled_sink").option("checkpointLocation", f"{tmp_dir}/c_{uuid.uuid4().hex[:4]}").trigger(availableNow=True).start(f"{tmp_dir}/sink")
+    q.awaitTermination()
+    schema = "seq long, score double, route string"
+    got = {x: sorted(r.score for r in read_labelled(spark, f"{tmp_dir}/sink", schema, x).collect() if r.score is not None) for x in ("admitted", "not admitted", "rejected")}
+    assert got == {"admitted": [601.0, 700.0], "not admitted": [5.0, 600.0], "rejected": []}

@@ -442,4 +442,4 @@ def test_scan_restarts_from_its_own_checkpoint(spark, tmp_dir):
         q.stop()
     got = sorted((r.seq, r.n, r.mean) for r in spark.read.parquet(out).collect())
     assert got == sorted((r.seq, r.n, r.mean) for r in running_mean(spark.read.parquet(folder), ["k"], "seq", "v").collect())
-    assert os.path.isdir(os.path.join(ckpt, "carry", "epoch=2"))
+    assert os.path.isdir(os.path.join(ckpt, "carry", "level=0", "batches=2-2"))
