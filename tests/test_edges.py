@@ -118,7 +118,7 @@ def test_evicting_buffer_is_not_quadratic():
         held.add(2.5)
         if i % 3 == 0:
             assert held.mean() == 2.5
-            held.evict_below(2.5)
+            held.evict(2.5)
     assert len(held.heap) == 1_000_000 and time.perf_counter() - began < 30
 
 
@@ -215,3 +215,25 @@ def test_window_report_of_null_keys_and_no_rows(spark):
     (r,) = window_report(df, ["k"], "ts", "v", "seq", "1 hour").collect()
     assert (r.k, r.n, r.highest.seq, [m.seq for m in r.members]) == (None, 1, 1, [1])
     assert window_report(df.limit(0), ["k"], "ts", "v", "seq", "1 hour").count() == 0
+
+
+@pytest.mark.parametrize("keep", ["at_least_mean", "above_mean", "at_most_mean"])
+def test_evicting_rule_is_a_parameter(spark, keep):
+    from tidemark.operators.firing import evicting_mean
+
+    values = [5.0, 5.0, 2.0, 8.0, 5.0, 5.0, 1.0, 9.0, 9.0, 9.0, 9.0, 9.0, 3.0]
+    df = spark.createDataFrame([("a", dt.datetime(2024, 1, 1), i, v) for i, v in enumerate(values)], "k string, ts timestamp_ntz, seq long, v double")
+    stays = {"at_least_mean": lambda v, m: v >= m, "above_mean": lambda v, m: v > m, "at_most_mean": lambda v, m: v <= m}[keep]
+    buf, want = [], []
+    for i, v in enumerate(values, 1):
+        buf.append(v)
+        if i % 3 == 0:
+            m = sum(buf) / len(buf)
+            want.append(("count", len(buf), m))
+            buf = [x for x in buf if stays(x, m)]
+    want.append(("final", len(buf), sum(buf) / len(buf)))
+    for scale in (None, 2):
+        got = [(r.kind, r.n, r.mean) for r in evicting_mean(df, ["k"], "ts", "v", "seq", "1 day", exact_scale=scale, keep=keep).orderBy("firing").collect()]
+        assert [g[:2] for g in got] == [w[:2] for w in want] and [g[2] for g in got] == pytest.approx([w[2] for w in want])
+    with pytest.raises(ValueError, match="keep"):
+        evicting_mean(df, ["k"], "ts", "v", "seq", "1 day", keep="none")

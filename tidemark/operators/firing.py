@@ -82,22 +82,37 @@ def early_mean(
     return early.unionByName(final)
 
 
+#: What stays after a report: rows at or above its mean, only those above it, or those at or below it.
+KEEP = ("at_least_mean", "above_mean", "at_most_mean")
+
+
 class EvictingBuffer:
-    """The rows a window still holds: their exact sum and a heap with the smallest on top.
+    """The rows a window still holds: their exact sum and a heap with the next to go on top.
 
     A report costs the logarithm of the buffer per row added or evicted, never a
     pass over it.  With ``scale`` values are summed as integers at that many
     decimals; without it every double is an exact multiple of 2**-1074, so the
     sum is exact too and the mean is rounded once, whatever the order of rows.
+    ``keep`` (one of ``KEEP``) says which rows stay after a report.
     """
 
-    def __init__(self, scale: int | None, values: Iterable[float] = ()):
+    def __init__(self, scale: int | None, values: Iterable[float] = (), keep: str = KEEP[0]):
+        if keep not in KEEP:
+            raise ValueError(f"keep must be one of {KEEP}, got {keep!r}")
         self.unit = None if scale is None else 10**scale
+        self.sign = -1 if keep == "at_most_mean" else 1
+        self.ties_go = keep == "above_mean"
         self.heap: list[float] = []
         self.total = 0
         for v in values:
             self.add(v)
 
+    def __len__(self) -> int:
+        return len(self.heap)
+
+    def values(self) -> list[float]:
+        return [self.sign * v for v in self.heap]
+
     def _exact(self, v: float) -> int:
         if self.unit is not None:
             return round(v * self.unit)
@@ -105,7 +120,7 @@ class EvictingBuffer:
         return top << (1074 - bottom.bit_length() + 1)
 
     def add(self, v: float) -> None:
-        heapq.heappush(self.heap, v)
+        heapq.heappush(self.heap, self.sign * v)
         self.total += self._exact(v)
 
     def mean(self) -> float:
@@ -113,10 +128,11 @@ class EvictingBuffer:
             return (self.total / self.unit) / len(self.heap)
         return self.total / (len(self.heap) << 1074)
 
-    def evict_below(self, m: float) -> int:
-        n = len(self.heap)
-        while self.heap and self.heap[0] < m:
-            self.total -= self._exact(heapq.heappop(self.heap))
+    def evict(self, m: float) -> int:
+        """Let the rows go that don't stay after a report of mean ``m``; how many went."""
+        n, m = len(self.heap), self.sign * m
+        while self.heap and (self.heap[0] < m or self.ties_go and self.heap[0] == m):
+            self.total -= self._exact(self.sign * heapq.heappop(self.heap))
         return n - len(self.heap)
 
 
@@ -139,7 +155,7 @@ def _same_key(x: tuple, y: tuple) -> bool:
     return all(p == q or (p != p and q != q) for p, q in zip(x, y))
 
 
-def _evicting_fold(gk: list[str], seq: str, value: str, every: int, scale: int | None, schema: pa.Schema):
+def _evicting_fold(gk: list[str], seq: str, value: str, every: int, scale: int | None, keep: str, schema: pa.Schema):
     """Build the per-partition fold for :func:`evicting_mean`.
 
     Arrow batches arrive sorted by (gk, seq); keys stay Arrow values, so a
@@ -150,7 +166,7 @@ def _evicting_fold(gk: list[str], seq: str, value: str, every: int, scale: int |
 
     def fold(batches):
         out: list[tuple] = []
-        cur, held = None, EvictingBuffer(scale)
+        cur, held = None, EvictingBuffer(scale, keep=keep)
         pending = firing = 0
         last_seq = None
 
@@ -174,7 +190,7 @@ def _evicting_fold(gk: list[str], seq: str, value: str, every: int, scale: int |
                 if cur is None or not _same_key(key, cur):
                     if cur is not None and held.heap:
                         out.append((*cur, firing + 1, "final", last_seq, len(held.heap), held.mean()))
-                    cur, held, pending, firing = key, EvictingBuffer(scale), 0, 0
+                    cur, held, pending, firing = key, EvictingBuffer(scale, keep=keep), 0, 0
                 for k in range(a, b):
                     held.add(values[k])
                     pending += 1
@@ -183,7 +199,7 @@ def _evicting_fold(gk: list[str], seq: str, value: str, every: int, scale: int |
                         pending, firing = 0, firing + 1
                         m = held.mean()
                         out.append((*cur, firing, "count", last_seq, len(held.heap), m))
-                        held.evict_below(m)
+                        held.evict(m)
                 if len(out) >= 10_000:
                     yield emit()
                     out.clear()
@@ -204,17 +220,20 @@ def evicting_mean(
     size: str | int | dt.timedelta,
     every: int = 3,
     exact_scale: int | None = None,
+    keep: str = KEEP[0],
 ) -> DataFrame:
     """Rows ``(keys, window_start, window_end, firing, kind, at_seq, n, mean)``.
 
     ``kind='count'``: the ``firing``-th report, made at row ``at_seq`` over the
-    ``n`` rows then in the window; rows below ``mean`` are evicted after it.
+    ``n`` rows then in the window; rows below ``mean`` are evicted after it
+    (``keep``: which rows stay, one of ``KEEP``).
     ``kind='final'``: the report at window end over the ``n`` rows left.
     ``exact_scale`` sums values as integers at that many decimals (the same
     rule as the SQL oracle); otherwise the doubles' exact sum is rounded once.
     Rows with a null value or one that isn't a finite number never enter a
     window; rows with a null key form a group of their own.
     """
+    EvictingBuffer(exact_scale, keep=keep)  # refuses an unknown rule here, not in a task
     gk = [*keys, WS, WE]
     finite = F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double")) & (F.abs(F.col(value).cast("double")) < float("inf"))
     x = with_window(df.filter(finite), ts, size).select(
@@ -231,4 +250,4 @@ def evicting_mean(
     )
     ordered = x.repartition(*[F.col(c) for c in gk]).sortWithinPartitions(*gk, seq)
     arrow = to_arrow_schema(schema)
-    return ordered.mapInArrow(_evicting_fold(gk, seq, value, every, exact_scale, arrow), schema)
+    return ordered.mapInArrow(_evicting_fold(gk, seq, value, every, exact_scale, keep, arrow), schema)

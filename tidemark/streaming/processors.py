@@ -40,7 +40,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from tidemark.functions.timecols import duration_us, event_time, spark_duration
 from tidemark.operators.compose import PASS_LABELS
-from tidemark.operators.firing import EvictingBuffer
+from tidemark.operators.firing import KEEP, EvictingBuffer
 from tidemark.operators.tumbling import WE, WS
 
 ET = "event_time"
@@ -125,15 +125,16 @@ class RunningArgMaxProcessor(StatefulProcessor):
         lead_seq, lead_val = [], []
         for s, v in zip(pdf[self.seq].tolist(), pdf[self.value].tolist()):
             v = None if pd.isna(v) else v
-            # Strict: the first arrival keeps the lead; a null leads only until the first value.
-            if best is None or (v is not None and (best[1] is None or v > best[1])):
+            # Strict: the first arrival keeps the lead; a row without a value (null, NaN) never leads.
+            if v is not None and (best is None or v > best[1]):
                 best = (s, v)
-            lead_seq.append(best[0])
-            lead_val.append(best[1])
-        self.leader.update(best)
+            lead_seq.append(best and best[0])
+            lead_val.append(best and best[1])
+        if best is not None:
+            self.leader.update(best)
         out = _key_frame(key, self.keys, len(pdf))
         out.update({self.seq: pdf[self.seq].to_numpy(), self.value: pdf[self.value].to_numpy(),
-                    "leader_seq": lead_seq, "leader_value": lead_val})
+                    "leader_seq": pd.array(lead_seq, dtype="object"), "leader_value": pd.array(lead_val, dtype="object")})
         yield pd.DataFrame(out)
 
 
@@ -263,9 +264,9 @@ def stream_early_mean(df: DataFrame, keys: Sequence[str], ts: str, value: str, s
 class EvictingMeanProcessor(StatefulProcessor):
     """Rows still held as list state; a micro-batch that evicts nothing only appends to it."""
 
-    def __init__(self, group, seq, value, every, exact_scale):
+    def __init__(self, group, seq, value, every, exact_scale, keep=KEEP[0]):
         self.group, self.seq, self.value = list(group), seq, value
-        self.every, self.scale = every, exact_scale
+        self.every, self.scale, self.keep = every, exact_scale, keep
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
@@ -273,7 +274,7 @@ class EvictingMeanProcessor(StatefulProcessor):
         self.cnt = handle.getValueState("cnt", "pending int, firing int, last long")
 
     def _held(self) -> EvictingBuffer:
-        return EvictingBuffer(self.scale, (r[0] for r in self.buf.get()))
+        return EvictingBuffer(self.scale, (r[0] for r in self.buf.get()), self.keep)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         pdf = _valued(_rows(rows, self.seq), self.value)
@@ -283,7 +284,7 @@ class EvictingMeanProcessor(StatefulProcessor):
             pending, firing, last = self.cnt.get()
             held = self._held()
         else:
-            pending, firing, last, held = 0, 0, None, EvictingBuffer(self.scale)
+            pending, firing, last, held = 0, 0, None, EvictingBuffer(self.scale, keep=self.keep)
             self.handle.registerTimer(_ms(key[-1]) - 1)
         values = pdf[self.value].to_numpy(dtype="float64").tolist()
         out, evicted = [], 0
@@ -294,12 +295,12 @@ class EvictingMeanProcessor(StatefulProcessor):
                 pending, firing = 0, firing + 1
                 m = held.mean()
                 out.append((*key, firing, "count", s, len(held.heap), m))
-                evicted += held.evict_below(m)
+                evicted += held.evict(m)
         self.cnt.update((pending, firing, last))
         if evicted:
             self.buf.clear()
             if held.heap:
-                self.buf.put([(v,) for v in held.heap])
+                self.buf.put([(v,) for v in held.values()])
         else:
             self.buf.appendList([(v,) for v in values])
         if out:
@@ -318,7 +319,7 @@ class EvictingMeanProcessor(StatefulProcessor):
 
 def stream_evicting_mean(df: DataFrame, keys: Sequence[str], ts: str, value: str, seq: str,
                          size: str | int | dt.timedelta, every: int = 3,
-                         exact_scale: int | None = None, delay: str | int | dt.timedelta = 0) -> DataFrame:
+                         exact_scale: int | None = None, delay: str | int | dt.timedelta = 0, keep: str = KEEP[0]) -> DataFrame:
     """Same rows as :func:`tidemark.operators.firing.evicting_mean`, as a stream."""
     w = _windowed(df, ts, size, delay)
     group = [*keys, WS, WE]
@@ -327,7 +328,7 @@ def stream_evicting_mean(df: DataFrame, keys: Sequence[str], ts: str, value: str
         T.StructField("at_seq", T.LongType()), T.StructField("n", T.LongType()),
         T.StructField("mean", T.DoubleType())])
     return w.groupBy(*group).transformWithStateInPandas(
-        EvictingMeanProcessor(group, seq, value, every, exact_scale), schema, "Append", "EventTime")
+        EvictingMeanProcessor(group, seq, value, every, exact_scale, keep), schema, "Append", "EventTime")
 
 
 # --------------------------------------------------------------------------- late classification

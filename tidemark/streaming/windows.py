@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.timecols import duration_us, event_time, floor_div, interval, spark_duration
-from tidemark.operators.tumbling import WE, WS, exact_mean, mean_of
+from tidemark.operators.tumbling import WE, WS, _extremes, exact_mean, mean_of, valued
 
 ET = "event_time"
 
@@ -55,7 +55,7 @@ def stream_tumbling_mean(
     close_at_last_instant: bool = False,
 ) -> DataFrame:
     """Append-mode ``(keys, window_start, window_end, n, mean)``."""
-    total, n = exact_mean(value, exact_scale)
+    total, n = exact_mean(valued(df, value), exact_scale)
     w = watermarked(df, ts, delay, close_at_last_instant)
     return (
         w.groupBy(*keys, F.window(F.col(ET), spark_duration(size)).alias("__w"))
@@ -76,16 +76,14 @@ def stream_tumbling_extremes(
     delay: str | int | dt.timedelta = 0,
     close_at_last_instant: bool = False,
 ) -> DataFrame:
-    """Append-mode highest / lowest row per (keys, window); first arrival wins ties."""
-    rec = [F.col(c) for c in (seq, value, *payload)]
-    hi = F.max(F.struct(F.col(value).alias("v"), (-F.col(seq)).alias("o"), F.struct(*rec).alias("r")))
-    lo = F.min(F.struct(F.col(value).alias("v"), F.col(seq).alias("o"), F.struct(*rec).alias("r")))
+    """Append-mode highest / lowest row per (keys, window); first arrival wins ties, null and NaN are no values."""
+    hi, lo, highest, lowest = _extremes(df, value, seq, payload)
     w = watermarked(df, ts, delay, close_at_last_instant)
     return (
         w.groupBy(*keys, F.window(F.col(ET), spark_duration(size)).alias("__w"))
-        .agg(F.count(F.lit(1)).alias("n"), hi.alias("__hi"), lo.alias("__lo"))
+        .agg(F.count(F.lit(1)).alias("n"), F.max(hi).alias("__hi"), F.min(lo).alias("__lo"))
         .select(*keys, F.col("__w.start").alias(WS), F.col("__w.end").alias(WE), "n",
-                F.col("__hi.r").alias("highest"), F.col("__lo.r").alias("lowest"))
+                highest.alias("highest"), lowest.alias("lowest"))
     )
 
 
@@ -101,8 +99,10 @@ def stream_tumbling_members(
     close_at_last_instant: bool = False,
 ) -> DataFrame:
     """Append-mode members of each closed window, sorted by ``seq``, in parts
-    of at most ``part_rows`` members (as the batch form), so no state row grows
-    with the window."""
+    of at most ``part_rows`` members, so no state row grows with the window.  A
+    stream can't number a window's members before it has seen them all, so here
+    a part is a range of ``part_rows`` values of ``seq``; the parts in order are
+    the batch form's list."""
     member = F.struct(*[F.col(c) for c in (seq, *cols)])
     w = watermarked(df, ts, delay, close_at_last_instant)
     return (
