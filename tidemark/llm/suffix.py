@@ -311,7 +311,11 @@ def repeated_strings(anchor: list[int], raw: list[bytes], off: list[int], settin
 
 def _covers(mask: np.ndarray, length: int) -> tuple[list[int], list[int]]:
     """Bytes that the marked strings cover, as ranges from the segment's start."""
-    at = np.flatnonzero(mask)
+    return _ranges(np.flatnonzero(mask), length)
+
+
+def _ranges(at: np.ndarray, length: int) -> tuple[list[int], list[int]]:
+    """Bytes that strings of ``length`` beginning at the sorted places cover."""
     if not len(at):
         return [], []
     cut = np.flatnonzero(np.diff(at) > length)
@@ -366,8 +370,14 @@ def _split(heavy: DataFrame, settings: Settings) -> DataFrame:
 
     strings = heavy.select("anchor", "seg", "bytes").mapInArrow(run, STRINGS)
     often = strings.groupBy("string").count().filter("count > 1").select("string")
-    each = strings.join(often, "string").groupBy("anchor", "seg").agg(F.sort_array(F.collect_list("at")).alias("lo"))  # one segment's strings
-    return each.select("anchor", "seg", "lo", F.transform("lo", lambda x: x + settings.length).alias("hi"))
+    each = strings.join(often, "string").groupBy("anchor", "seg").agg(F.collect_list("at").alias("at"))  # one segment's strings
+
+    def cover(b: pa.RecordBatch) -> pa.RecordBatch:
+        # Ranges, not strings: a segment's places each get one row for every range.
+        many, ranges = pa.list_(pa.int64()), [_ranges(np.sort(np.array(x, np.int64)), settings.length) for x in b["at"].to_pylist()]
+        return pa.RecordBatch.from_arrays([b["anchor"], b["seg"], *(pa.array([r[k] for r in ranges], many) for k in (0, 1))], ["anchor", "seg", "lo", "hi"])
+
+    return map_rows(each, cover, "anchor long, seg long, lo array<long>, hi array<long>")
 
 
 STRINGS = "anchor long, seg long, at long, string binary"
