@@ -127,31 +127,65 @@ def test_line_dedup_query(spark, sf):
     assert QUERIES["op5_line_dedup"](spark, sf).count() == len(docs)
 
 
+def near_lines(lines):
+    """Pairs of lines of edit similarity 0.9, by the edit distances of another engine."""
+    con = duckdb.connect()
+    con.execute("CREATE TABLE l (i BIGINT, t VARCHAR)")
+    con.executemany("INSERT INTO l VALUES (?, ?)", list(enumerate(lines)))
+    return con.sql("""SELECT x.i, y.i FROM l x JOIN l y ON x.i < y.i AND abs(length(x.t) - length(y.t)) <= greatest(length(x.t), length(y.t)) * 0.1
+                      WHERE levenshtein(x.t, y.t) <= greatest(length(x.t), length(y.t)) * 0.1 + 1e-9""").fetchall()
+
+
 def test_line_dedup_fuzzy_groups_like_brute_force(spark):
     rnd = random.Random(8)
-    bases = [words_of(rnd, 120, 5000) for _ in range(6)]
     lines = []
-    for b in bases:
-        for k in range(12):
-            w = b.split()
-            if k:
-                w[rnd.randrange(len(w))] = f"changed{rnd.randrange(10**6)}"
-            lines.append(" ".join(w))
+    for n in (7, 18, 30, 60, 120):
+        for _ in range(3):
+            b = words_of(rnd, n, 5000)
+            for k in range(12):
+                w = b.split()
+                if k:
+                    w[rnd.randrange(len(w))] = f"w{rnd.randrange(10**4)}"
+                if k > 8:
+                    del w[rnd.randrange(len(w))]
+                lines.append(" ".join(w))
     rnd.shuffle(lines)
+    root = groups_of(range(len(lines)), near_lines(lines))
     rows = [(i, f"short line\n{x}") for i, x in enumerate(lines)]
-    settings = linededup.Settings()
-    df = documents(spark, rows)
-    sims = {r.doc_id: r.sim for r in linededup.fingerprints(linededup.lines(df, settings)).collect()}
-    linked = []
-    for i, x in enumerate(lines):
-        for j in range(i):
-            if bin((sims[i] ^ sims[j]) & (2**64 - 1)).count("1") <= settings.bits:
-                a, b = x.split(), lines[j].split()
-                if _edits(x, lines[j]) <= min(int(max(len(x), len(lines[j])) * 0.1 + 1e-9), 1000) and len(a) == len(b):
-                    linked.append((i, j))
-    root = groups_of(range(len(lines)), linked)
-    got = {r.doc_id: r.n_removed for r in linededup.dedup_lines(df, settings).collect()}
-    assert got == {i: int(root[i] != i) for i in root} and linked
+    got = {r.doc_id: r.n_removed for r in linededup.dedup_lines(documents(spark, rows)).collect()}
+    assert got == {i: int(root[i] != i) for i in root} and sum(got.values()) > 100
+
+
+def test_line_dedup_of_one_large_group_and_a_common_phrase(spark):
+    rnd = random.Random(2)
+    base, phrase = words_of(rnd, 40, 5000).split(), words_of(rnd, 12, 5000)
+    lines = []
+    for k in range(300):
+        w = [*base]
+        for _ in range(k % 4):  # some are too far from the first, but not from one another
+            w[rnd.randrange(40)] = f"w{rnd.randrange(5000)}"
+        lines.append(" ".join(w))
+    lines += [f"{words_of(rnd, 20, 5000)} {phrase} {words_of(rnd, 20, 5000)}" for _ in range(300)]
+    root = groups_of(range(len(lines)), near_lines(lines))
+    got = {r.doc_id: r.n_removed for r in linededup.dedup_lines(documents(spark, list(enumerate(lines)))).collect()}
+    wrong = sum(got[i] != int(root[i] != i) for i in root)
+    assert wrong <= 3 and not any(got[i] for i in range(300, 600))
+
+
+@pytest.mark.parametrize("share, least", [(0.03, 0.95), (0.05, 0.9)])
+def test_line_dedup_finds_changed_letters(spark, share, least):
+    rnd = random.Random(11)
+    lines = []
+    for n in (8, 12, 25, 60, 150):
+        for _ in range(30):
+            x = words_of(rnd, n, 50_000)
+            y = list(x)
+            for p in rnd.sample(range(len(y)), max(1, int(len(y) * share))):
+                y[p] = rnd.choice("abcdef") if y[p] != " " else " "
+            lines += [x, "".join(y)]
+    gone = {r.doc_id for r in linededup.dedup_lines(documents(spark, list(enumerate(lines)))).collect() if r.n_removed}
+    pairs = {b for a, b in near_lines(lines)}
+    assert len(gone & pairs) >= least * len(pairs) and gone <= pairs
 
 
 def _edits(x, y):
