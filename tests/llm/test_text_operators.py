@@ -112,6 +112,17 @@ def test_token_automaton_regions():
         licenses.TokenAutomaton("<<var x 0-3>> anything")
 
 
+def test_phrases_that_overlap_themselves_and_long_texts():
+    import time
+
+    scan = licenses.LicenseScanner({"a a": "twice"}, licenses.TEMPLATES)
+    assert scan.scan(b"a a a  a b a")[:4] == (6, 3, 0, 2)
+    began = time.perf_counter()
+    long = b"the rule applies under law here now " * 60_000 + b"under the MIT license "  # 2 MB in which templates begin everywhere
+    got = licenses.LicenseScanner(licenses.PHRASES, licenses.TEMPLATES).scan(long)
+    assert got[:4] == (7 * 60_000 + 4, 1, 7 * 60_000 + 2, 7 * 60_000 + 2) and time.perf_counter() - began < 20
+
+
 def test_license_edges(spark):
     got = licenses.scan_licenses(documents(spark, EDGES)).collect()
     assert len(got) == len(EDGES)

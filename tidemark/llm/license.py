@@ -19,6 +19,7 @@ from __future__ import annotations
 import re
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -193,7 +194,8 @@ class LicenseScanner:
         self.phrases = {b" ".join(k.encode().split()): v for k, v in phrases.items()}
         self.automata = {k: TokenAutomaton(t) for k, t in templates.items()}
         whole = lambda x: rb"(?<![^ ])(?:" + x + rb")(?![^ ])"
-        self.phrase = {re.compile(whole(rb" +".join(p.split()))): v for p, v in self.phrases.items()}
+        # Looked at from outside: a phrase may begin inside its own last place.
+        self.phrase = {re.compile(rb"(?<![^ ])(?=" + rb" +".join(p.split()) + rb"(?![^ ]))"): v for p, v in self.phrases.items()}
         first = {w for a in self.automata.values() for w in a.first}
         self.first = re.compile(whole(b"|".join(sorted(first))))
         # A template's longest mandatory word: it can't match where that word is missing.
@@ -219,20 +221,29 @@ class LicenseScanner:
     def scan(self, raw: bytes) -> tuple:
         folded = raw.translate(_FOLD)
         words = folded.split()
+        starts: np.ndarray | None = None
+
+        def word_at(byte: int) -> int:
+            """The number of the word that begins there, by one pass over the text for all that are asked."""
+            nonlocal starts
+            if starts is None:
+                letters = np.frombuffer(folded, np.uint8) != 32
+                starts = np.flatnonzero(letters & ~np.r_[False, letters[:-1]])
+            return int(np.searchsorted(starts, byte))
+
         places: list[int] = []
         base: set[str] = set()
         for pattern, label in self.phrase.items():
             for m in pattern.finditer(folded):
-                places.append(len(folded[: m.start()].split()))
+                places.append(word_at(m.start()))
                 base.add(label)
         found: dict[str, tuple[int, int]] = {}
         wanted = [(k, a) for k, a in self.automata.items() if self.needs[k] in folded]
         if wanted:
             for m in self.first.finditer(folded):
-                at = None
                 for k, a in wanted:
                     if m[0] in a.first:
-                        at = len(folded[: m.start()].split()) if at is None else at
+                        at = word_at(m.start())
                         n = a.match(words, at)
                         if n > found.get(k, (0, 0))[1]:
                             found[k] = (at, n)
