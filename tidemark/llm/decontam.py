@@ -35,10 +35,10 @@ class Settings:
     words: int = 5
     #: Share of an item's shingles that a document must hold.
     containment: float = 0.8
-    #: Bands of one MinHash each: windows are at most twice the class's largest item, so an item with the share above
-    #: has a Jaccard similarity of 0.19 or more with its window, and goes unseen with a probability below 2e-6.
+    #: Bands of one MinHash each: windows are at most twice the class's largest item and four times its smallest, so an item
+    #: with the share above has a Jaccard similarity of 0.19 or more with its window, and goes unseen with a probability below 2e-6.
     bands: int = 64
-    smallest_class: int = 8
+    smallest_class: int = 1
     bitmap_bits: int = 24
     #: Item bands (documents) up to which they are sent to every task instead of being joined by a shuffle.
     small_items: int = 1_000_000
