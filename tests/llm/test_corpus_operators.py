@@ -321,15 +321,71 @@ def _labelled(spark, seed=11, n=600):
 
 def test_toxicity_separates_held_out_documents(spark):
     docs, labels, marks = _labelled(spark)
-    models, weights = toxicity.learn(docs, labels)
-    got = {r.doc_id: r for r in toxicity.score(docs, models, weights).collect()}
+    learnt = toxicity.learn(docs, labels)
+    got = {r.doc_id: r for r in toxicity.score(docs, learnt).collect()}
     held = [(got[i].score, t) for i, _, t in marks if got[i].held_out]
     assert _auc(np.array([s for s, _ in held]), np.array([t for _, t in held])) > 0.97
     assert all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.3) for r in got.values())
     # Held-out labels teach nothing.
     changed = labels.withColumn("toxic", F.when(toxicity.held_out(), 1 - F.col("toxic")).otherwise(F.col("toxic")))
-    again, weights2 = toxicity.learn(docs, changed)
-    assert np.allclose(weights, weights2) and all((a == b).all() for a, b in zip(models.value.tables, again.value.tables))
+    again = toxicity.learn(docs, changed)
+    assert np.allclose(learnt.weights, again.weights)
+    assert all((x == y).all() for a, b in zip(learnt.sent.value.tables, again.sent.value.tables) for x, y in zip(a, b))
+
+
+def plain_models(train, settings):
+    """Exact Kneser-Ney counts of (text, toxic) in dictionaries, each text and label once; log-ratios by the formulas as they stand."""
+    n, m = {}, {}
+    for text, toxic in set(train):
+        for w in set(toxicity.WORD.findall(text.lower())):
+            for d, k in ((n, w), (m, w[: settings.stem])):
+                d.setdefault(k, [0, 0])[toxic] += 1
+    sums = [[sum(v[c] for v in d.values()) for c in (0, 1)] for d in (n, m)]
+    kinds = [[sum(v[c] > 0 for v in d.values()) for c in (0, 1)] for d in (n, m)]
+    cut = lambda x: [0.0, *settings.discounts][min(int(x), 3)]
+
+    def log_ratio(w):
+        a, b = n.get(w, [0, 0]), m.get(w[: settings.stem], [0, 0])
+        pooled = (sum(b) + 1) / (sum(max(x, 1) for x in sums[1]) + sum(kinds[1]) + 1)
+        share = (sum(a) + 1) / (sum(b) + 2)
+        p = []
+        for c in (0, 1):
+            top, low = max(sums[0][c], 1), max(sums[1][c], 1)
+            stem = max(b[c] - cut(b[c]), 0) / low + (cut(1) * kinds[1][c] + 1) / (low + 1) * pooled
+            p.append(max(a[c] - cut(a[c]), 0) / top + (cut(1) * kinds[0][c] + 1) / (top + 1) * stem * share)
+        return math.log(p[1]) - math.log(p[0])
+
+    return log_ratio
+
+
+@pytest.mark.parametrize("settings", [toxicity.Settings(), toxicity.Settings(small_counts=0, salts=3)])
+def test_toxicity_equals_plain_kneser_ney(spark, settings):
+    """Whatever the way counts meet texts: evidence is that of exact counts, and so are scores."""
+    docs, labels, _ = _labelled(spark, n=120)
+    learnt = toxicity.learn(docs, labels, settings)
+    assert (learnt.sent is None) == (settings.small_counts == 0)
+    toxic = {r.doc_id: r.toxic for r in labels.filter(~toxicity.held_out()).collect()}
+    rows = {r.doc_id: r.text for r in docs.collect()}
+    log_ratio = plain_models([(t, toxic[i]) for i, t in rows.items() if i in toxic], settings)
+    for r in toxicity.score(docs, learnt, settings).collect():
+        x = [log_ratio(w) for w in toxicity.WORD.findall(rows[r.doc_id].lower())]
+        assert (r.whole, r.passage) == pytest.approx((sum(x) / len(x), max(x)))
+        z = learnt.weights @ [1, sum(x) / len(x), max(x), math.log(len(x))]
+        assert r.score == pytest.approx(1 / (1 + math.exp(-z)))
+    got = {r.doc_id: r.score for r in toxicity.score(documents(spark, EDGES), learnt, settings).collect()}
+    assert len(got) == len({i for i, _ in EDGES}) and got[1] == got[2]
+
+
+def test_toxicity_counts_stay_exact_with_millions_of_words(spark):
+    """Other documents' vocabulary, however large, changes no word's counts."""
+    docs, labels, _ = _labelled(spark, n=60)
+    few = toxicity.learn(docs, labels).sent.value
+    many = spark.range(0, 300).select((F.col("id") + 10_000).alias("doc_id"), F.expr("concat_ws(' ', transform(sequence(0, 9999), x -> concat('x', hex(id * 10000 + x))))").alias("text"))
+    marks = many.select("doc_id", F.lit(1).alias("quality"), F.lit(0).alias("toxic"))
+    every = toxicity.learn(docs.select("doc_id", "text").union(many), labels.union(marks.select(*[F.col(c).cast(labels.schema[c].dataType) for c in labels.columns])))
+    words = ["vile", "nasty", *(f"w{i}" for i in range(3000))]
+    keys = np.array([toxicity.keys_of(w, 4)[0] for w in words], np.uint64)
+    assert (few.counts(keys, 0) == every.sent.value.counts(keys, 0)).all() and len(every.sent.value.tables[0][0]) > 2_000_000
 
 
 def test_toxicity_query(spark, sf):
@@ -340,13 +396,12 @@ def test_toxicity_query(spark, sf):
 
 def test_toxicity_edges(spark):
     docs, labels, _ = _labelled(spark, n=40)
-    models, weights = toxicity.learn(docs, labels)
-    got = toxicity.score(documents(spark, EDGES), models, weights).collect()
+    learnt = toxicity.learn(docs, labels)
+    got = toxicity.score(documents(spark, EDGES), learnt).collect()
     assert len(got) == len(EDGES) and all(math.isfinite(r.score) for r in got)
-    assert toxicity.score(documents(spark, []), models, weights).count() == 0
+    assert toxicity.score(documents(spark, []), learnt).count() == 0
     for some in (labels.limit(0), labels.filter("toxic = 0"), labels.withColumn("toxic", F.lit(None).cast("int"))):
-        models, weights = toxicity.learn(docs, some)
-        assert all(0 <= r.score <= 1 for r in toxicity.score(docs, models, weights).collect())
+        assert all(0 <= r.score <= 1 for r in toxicity.score(docs, toxicity.learn(docs, some)).collect())
 
 
 def test_quality_on_held_out_documents(spark, sf):
