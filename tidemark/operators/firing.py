@@ -33,7 +33,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from tidemark.operators.prefix import DEFAULT_BLOCK, running
-from tidemark.operators.tumbling import WE, WS, exact_mean, mean_of, valued, with_window
+from tidemark.operators.tumbling import WE, WS, mean_of, valued, with_window
 
 
 def early_mean(
@@ -71,8 +71,8 @@ def early_mean(
         "n",
         mean_of(F.col("__sum"), F.col("n")).alias("mean"),
     )
-    total, n = exact_mean(value, exact_scale)
-    final = x.groupBy(*gk).agg(total.alias("__sum"), n.alias("n"), F.max(seq).alias("at_seq")).select(
+    # A window's last running row is its final one; rows are dealt by key and window already.
+    final = run.groupBy(*gk).agg(F.max_by("__sum", "n").alias("__sum"), F.max("n").alias("n"), F.max(seq).alias("at_seq")).select(
         *gk,
         F.lit("final").alias("firing"),
         F.col("at_seq").cast("long").alias("at_seq"),
