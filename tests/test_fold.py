@@ -146,3 +146,32 @@ def test_connect_fold_on_a_stream(spark, tmp_dir):
     stream_scan(spec, "cf_" + uuid.uuid4().hex[:6], f"{tmp_dir}/out").awaitTermination()
     got = spark.read.parquet(f"{tmp_dir}/out")
     assert sorted((r.seq, r.is_control, r.result) for r in got.collect()) == plain_connect(rows, False)
+
+
+def collatz(state, row):
+    """No associative form: what comes next depends on the state in no simple way."""
+    x = (state or {"x": 1})["x"] + (row["v"] or 0)
+    x = x // 2 if x % 2 == 0 else 3 * x + 1
+    return {"x": x % 1001}, x
+
+
+@pytest.mark.parametrize("parts", [1, 7])
+def test_keyed_process_equals_row_loop(spark, tmp_dir, parts):
+    from tidemark.operators.fold import keyed_process
+    from tidemark.sources.files import start_stream
+    from tidemark.streaming.processors import stream_keyed_process
+
+    data = [(["a", "b", None][i % 3], i, None if i % 7 == 0 else i) for i in range(90)]
+    df = spark.createDataFrame(data, "k string, seq long, v long")
+    state, want = {}, []
+    for k, seq, v in data:
+        state[k], x = collatz(state.get(k), {"v": v})
+        want.append((k, seq, x))
+    got = keyed_process(df.repartition(parts), ["k"], "seq", ["v"], collatz, "bigint", "x").select("k", "seq", "x")
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(want, key=str)
+    for part in range(3):
+        df.filter(f"seq >= {part * 30} AND seq < {part * 30 + 30}").coalesce(1).write.parquet(f"{tmp_dir}/in/{part}")
+    src = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_dir}/in/*")
+    out = stream_keyed_process(src, ["k"], "seq", ["v"], collatz, "bigint", "x")
+    start_stream(out, "kp_" + uuid.uuid4().hex[:6], path=f"{tmp_dir}/out", checkpoint=f"{tmp_dir}/ckpt").awaitTermination()
+    assert sorted(map(tuple, spark.read.parquet(f"{tmp_dir}/out").collect()), key=str) == sorted(want, key=str)

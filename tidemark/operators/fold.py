@@ -9,8 +9,10 @@ commutative, so rows and blocks are folded in ``seq`` order only.
 * :func:`rolling_fold` -- one output per row, the state up to and including it.
 * :func:`connect_fold` -- two inputs and shared state: control rows update the
   state by a function, subject rows are answered from it by another.
+* :func:`keyed_process` -- any function of a key's state and its next row, where
+  no associative form exists: keys run side by side, one key's rows in turn.
 
-Both are prefix scans: the rows of a heavy key are cut into blocks of about
+The first two are prefix scans: the rows of a heavy key are cut into blocks of about
 equal row count, each block is folded to one state, the block states are
 scanned in two levels, and every block is then folded again from the state
 before it.  The folds run in Arrow batches over sorted partitions
@@ -197,6 +199,20 @@ class FoldSpec:
         return _fold_groups(parts, keys, [_BLK], lambda row: row[_STATE], [_STATE], fold)
 
 
+def keyed_process(df: DataFrame, keys: Sequence[str], seq: str, inputs: Sequence[str], step: Callable[[Any, dict], tuple[Any, Any]],
+                  result: str, name: str = "result") -> DataFrame:
+    """Add ``name``: what ``step(state, row)`` shows, the state it returns going on to the key's next row in ``seq`` order.
+
+    The keyed process function in its general form.  The state is any Python
+    value, None before a key's first row; ``row`` has the ``inputs``; ``result`` is
+    a Spark type as text.  Rows are dealt by key, sorted (the sort spills) and
+    folded in Arrow batches, so a task holds one state and one batch, but a key's
+    rows are one task: where the function is associative, use
+    :func:`rolling_fold`.  Null keys are a key; ``seq`` must be unique within a key.
+    """
+    return _fold_rows(df, list(keys), [seq], step, list(inputs), name, _type(result))
+
+
 def rolling_fold_spec(df: DataFrame, keys: Sequence[str], seq: str, inputs: Sequence[str], fold: Fold, name: str = "state") -> FoldSpec:
     return FoldSpec(df, seq, fold, list(inputs), list(keys), name)
 

@@ -173,6 +173,18 @@ FROM events
 WINDOW w AS (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
 """
 
+USER_STREAKS = """
+WITH c AS (
+  SELECT event_id, user_id, event_type,
+         CASE WHEN event_type IS DISTINCT FROM lag(event_type) OVER w OR row_number() OVER w = 1 THEN 1 ELSE 0 END AS fresh
+  FROM events WINDOW w AS (PARTITION BY user_id ORDER BY event_id)),
+g AS (SELECT *, sum(fresh) OVER (PARTITION BY user_id ORDER BY event_id) AS part FROM c),
+n AS (SELECT *, row_number() OVER (PARTITION BY user_id, part ORDER BY event_id) AS n FROM g)
+SELECT event_id, user_id, event_type, n,
+       max(n) OVER (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS longest
+FROM n
+"""
+
 EARLY_MEAN = f"""
 WITH x AS (
   SELECT event_type, {_DS} AS window_start, {_DE} AS window_end, event_id,
@@ -307,6 +319,7 @@ ORACLES = {
     "running_top": RUNNING_TOP,
     "tumbling_stats": TUMBLING_STATS,
     "running_mean": RUNNING_MEAN,
+    "user_streaks": USER_STREAKS,
     "early_mean": EARLY_MEAN,
     "evicting_mean": EVICTING_MEAN,
     "late_orders": LATE_ORDERS,

@@ -26,7 +26,7 @@ from tidemark.functions.format import message, render_record
 from tidemark.functions.parse import parse_delimited, parse_scalar, to_line
 from tidemark.operators.compose import PASS_LABELS, connect_latest, explode_routes, route, union_all
 from tidemark.operators.firing import early_mean, evicting_mean
-from tidemark.operators.fold import Fold, connect_fold, rolling_fold
+from tidemark.operators.fold import Fold, connect_fold, keyed_process, rolling_fold
 from tidemark.operators.joins import interval_join
 from tidemark.operators.lateness import classify_late, drop_late
 from tidemark.operators.running import running_argmax, running_mean, running_reduce
@@ -243,6 +243,21 @@ def running_mean_q(spark, sf_dir):
     return r.select("event_id", "user_id", "n", "mean")
 
 
+def streak(state, row):
+    """How many of a user's events in a row were of one type, and the longest such run so far."""
+    kind, n, longest = state or (None, 0, 0)
+    n = n + 1 if n and row["event_type"] == kind else 1
+    longest = max(longest, n)
+    return [row["event_type"], n, longest], {"n": n, "longest": longest}
+
+
+def user_streaks(spark, sf_dir):
+    """ST1 with the caller's function: every event with its user's current and longest run of one event type."""
+    e = _t(spark, sf_dir, "events").select("event_id", "user_id", "event_type")
+    r = keyed_process(e, ["user_id"], "event_id", ["event_type"], streak, "struct<n: bigint, longest: bigint>", "run")
+    return r.select("event_id", "user_id", "event_type", F.col("run.n").alias("n"), F.col("run.longest").alias("longest"))
+
+
 def early_mean_q(spark, sf_dir):
     """TR1/TR3/A4: daily mean per type, early reports from the 4th row on."""
     e = _t(spark, sf_dir, "events")
@@ -328,6 +343,7 @@ QUERIES = {
     "running_top": running_top,
     "tumbling_stats": tumbling_stats,
     "running_mean": running_mean_q,
+    "user_streaks": user_streaks,
     "early_mean": early_mean_q,
     "evicting_mean": evicting_mean_q,
     "late_orders": late_orders,

@@ -29,6 +29,7 @@ state store, so a key's history is never held in memory as a whole.
 from __future__ import annotations
 
 import datetime as dt
+import json
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -374,3 +375,34 @@ def stream_classify_late(df: DataFrame, ts: str, seq: str, bound: str | int | dt
     group = list(keys) or ["tm_grp"]
     return x.groupBy(*group).transformWithStateInPandas(
         LateClassifierProcessor(seq, duration_us(bound), duration_us(size)), schema, "Append", "None")
+
+
+# --------------------------------------------------------------------------- keyed process
+class KeyedProcessor(StatefulProcessor):
+    """A caller's function of state and row; the state is kept as JSON text, whatever its shape."""
+
+    def __init__(self, keys, seq, inputs, step, name):
+        self.keys, self.seq, self.inputs, self.step, self.name = list(keys), seq, list(inputs), step, name
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.state = handle.getValueState("state", "s string")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        pdf = _rows(rows, self.seq)
+        state = json.loads(self.state.get()[0]) if self.state.exists() else None
+        shown = []
+        for values in zip(*(pdf[c].astype(object).tolist() for c in self.inputs), strict=True):
+            row = {c: None if v is None or v is pd.NaT or v != v else v for c, v in zip(self.inputs, values, strict=True)}
+            state, seen = self.step(state, row)
+            shown.append(seen)
+        self.state.update((json.dumps(state),))
+        yield pd.DataFrame(_key_frame(key, self.keys, len(pdf)) | {self.seq: pdf[self.seq].to_numpy(), self.name: pd.array(shown, dtype="object")})
+
+
+def stream_keyed_process(df: DataFrame, keys: Sequence[str], seq: str, inputs: Sequence[str], step, result: str, name: str = "result") -> DataFrame:
+    """:func:`tidemark.operators.fold.keyed_process` on a stream: keys, ``seq`` and ``name``.
+
+    The state must be something JSON holds (numbers, texts, lists, dicts with text keys).
+    """
+    schema = T.StructType([*[df.schema[k] for k in keys], df.schema[seq], T.StructField(name, T._parse_datatype_string(result))])
+    return df.groupBy(*keys).transformWithStateInPandas(KeyedProcessor(keys, seq, inputs, step, name), schema, "Append", "None")
