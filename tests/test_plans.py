@@ -61,3 +61,21 @@ def test_interval_join_keys_include_time_bucket(spark):
     text = plan(spark, "interval_join")
     keys = re.findall(r"Left keys \[\d+\]: \[(.*)\]", text)
     assert keys and all("lbkt" in k and "user_id" in k for k in keys)
+
+
+@pytest.mark.parametrize("name", ["running_mean", "running_oldest", "running_lowest"])
+def test_scans_of_light_keys_are_a_plain_frame(spark, name):
+    # no key exceeds a block here: no block table, no union, no join, the rows are dealt once
+    tree = plan(spark, name).split("\n\n")[0]
+    assert exchanges(plan(spark, name)) == 1 and "Union" not in tree and "Join" not in tree
+
+
+def test_only_heavy_keys_enter_the_block_table(spark):
+    spark.conf.set("tidemark.scan.block", "1000")  # event types have about 2,000 rows each
+    try:
+        text = plan(spark, "running_oldest")
+    finally:
+        spark.conf.unset("tidemark.scan.block")
+    tree = text.split("\n\n")[0]
+    assert "BroadcastHashJoin" in tree and "Union" in tree and "BroadcastNestedLoopJoin" not in tree
+    assert "SinglePartition" not in text.split("===== Subqueries")[0]
