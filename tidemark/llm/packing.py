@@ -211,6 +211,10 @@ class WordTokenizer:
         for x, c in cut.items():
             ids[x] = b"".join([words[w] for w in c])
 
+    def forget(self) -> None:
+        """Give the tables' memory back: the worker may go on with other work."""
+        self.ids, self.old_ids, self.words, self.old_words = {}, {}, {}, {}
+
     def bound(self) -> None:
         """Called between texts: a full generation becomes the old one, so what is common stays known."""
         if len(self.ids) > self.most_items:
@@ -231,12 +235,13 @@ PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long,
 
 
 def pack_documents(docs: DataFrame, path: str, limits: Limits = Limits(), loss_from: str | None = None,
-                   tables: tuple[int, int] = (CACHE_WORDS, CACHE_ITEMS)) -> DataFrame:
+                   tables: tuple[int, int] = (CACHE_WORDS, CACHE_ITEMS), forget: bool = False) -> DataFrame:
     """All documents as pieces of packed sequences, one row per piece.
 
     ``loss_from`` names a column with the number of leading characters that bear
     no loss (a prompt); without it every token bears loss.  ``tables`` are the
-    sizes of a worker's word tables: larger ones take memory and save time.  A null text is
+    sizes of a worker's word tables: larger ones take memory and save time; with
+    ``forget`` a task leaves none behind in its worker.  A null text is
     empty and packs its end token alone; repeated rows and ids are packed one by
     one; an empty table gives no rows; a text of any length is cut into full
     sequences; other columns, whatever their names, are ignored.
@@ -269,6 +274,8 @@ def pack_documents(docs: DataFrame, path: str, limits: Limits = Limits(), loss_f
                 rows = []
         if rows:
             yield _batch(rows)
+        if forget:
+            word_tokenizer(path, *tables).forget()
 
     return rows.mapInArrow(run, PIECES)
 
