@@ -1,4 +1,4 @@
-"""Summarise the physical plan of every driver query (for PLANS.md).
+"""Summarise the physical plan of every event-stream query (for PLANS.md).
 
     python tools/plans.py [sf_dir] > plans.txt
 
@@ -16,14 +16,14 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-import __spark_entry__ as entry  # noqa: E402
+from tidemark.plans.queries import QUERIES  # noqa: E402
 from tidemark.session import get_session  # noqa: E402
 
 
 def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     spark = get_session("local[8]", shuffle_partitions=8)
-    for name, fn in entry.queries().items():
+    for name, fn in QUERIES.items():
         buf = io.StringIO()
         with contextlib.redirect_stdout(buf):
             fn(spark, sf_dir).explain("formatted")
