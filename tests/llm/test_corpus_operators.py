@@ -231,6 +231,35 @@ def test_line_dedup_links_very_long_lines(spark):
     assert len(changed) - len(long) > 1000 and {r.doc_id: r.n_removed for r in out.collect()} == {1: 0, 2: 1, 3: 0}
 
 
+def _share_runs(x, y):
+    """A fifth of the twos (lines of up to 19 words) or a tenth of the threes (from 16 words) in common."""
+    x, y = x.split(), y.split()
+    for size, least, most, percent in ((2, 0, 20, 20), (3, 16, 1 << 31, 10)):
+        if least <= len(x) < most and least <= len(y) < most:
+            a, b = ({tuple(w[k : k + size]) for k in range(len(w) - size + 1)} for w in (x, y))
+            if 100 * len(a & b) >= percent * max(len(a), len(b)):
+                return True
+    return False
+
+
+def test_line_dedup_loses_no_link_however_spread_the_changes_and_common_the_runs(spark):
+    rnd = random.Random(21)
+    common = [words_of(rnd, 3, 300) for _ in range(12)]  # every run of some lines is in dozens of others
+    lines = []
+    for n in (8, 18, 40, 80, 150):
+        for _ in range(14):
+            x = words_of(rnd, n, 50_000) if rnd.random() < 0.6 else " ".join(rnd.choice(common) for _ in range(n // 3 + 1))
+            y = list(x)
+            for p in rnd.sample(range(len(y)), int(len(y) * 0.085)):
+                y[p] = rnd.choice("abcdef") if y[p] != " " else " "
+            lines += [x, "".join(y)]
+    lines = list(dict.fromkeys(lines))
+    linked = [(a, b) for a, b in near_lines(lines) if _share_runs(lines[a], lines[b])]
+    root = groups_of(range(len(lines)), linked)
+    got = {r.doc_id: r.n_removed for r in linededup.dedup_lines(documents(spark, list(enumerate(lines)))).collect()}
+    assert got == {i: int(root[i] != i) for i in root} and sum(got.values()) > 40
+
+
 def test_line_dedup_takes_lines_without_spaces(spark):
     rnd = random.Random(5)
     line = "".join(chr(0x4E00 + rnd.randrange(3000)) for _ in range(60))
