@@ -232,12 +232,12 @@ def test_line_dedup_links_very_long_lines(spark):
 
 
 def _share_runs(x, y):
-    """A fifth of the twos (lines of up to 19 words) or a tenth of the threes (from 16 words) in common."""
+    """An eighth of the twos (lines of up to 19 words) or a tenth of the threes (from 16 words) in common, at least one."""
     x, y = x.split(), y.split()
-    for size, least, most, percent in ((2, 0, 20, 20), (3, 16, 1 << 31, 10)):
+    for size, least, most, part in ((2, 0, 20, 8), (3, 16, 1 << 31, 10)):
         if least <= len(x) < most and least <= len(y) < most:
             a, b = ({tuple(w[k : k + size]) for k in range(len(w) - size + 1)} for w in (x, y))
-            if 100 * len(a & b) >= percent * max(len(a), len(b)):
+            if len(a & b) >= max(1, max(len(a), len(b)) // part):
                 return True
     return False
 
