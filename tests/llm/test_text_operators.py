@@ -164,6 +164,21 @@ def test_word_tokenizer_like_the_library():
         assert t.encode(x) == np.array(lib.encode(x, add_special_tokens=False).ids, "<u4").tobytes(), x
 
 
+def test_packing_ids_of_every_near_character_are_the_librarys():
+    path = tokenizer_path("word_bpe_49k.json")
+    t, lib = packing.WordTokenizer(path, 50, 50), tokenizers.Tokenizer.from_file(path)
+    t.library = _NoBatches(t.library)  # a word's ids come without an encoding of it
+    for c in map(chr, range(0x250)):
+        for text in (f"a{c}b words", f"é{c} {c}{c}'s 12"):
+            t.bound()
+            assert t.encode(text) == np.array(lib.encode(text, add_special_tokens=False).ids, "<u4").tobytes(), hex(ord(c))
+
+
+class _NoBatches:
+    def __init__(self, library):
+        self.encode = library.encode
+
+
 def test_packing_query(spark, sf):
     docs = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
     sequences = _check_packing(QUERIES["op6_packing"](spark, sf).collect(), docs, packing.Limits())

@@ -164,8 +164,10 @@ class WordTokenizer:
         letter, digit = _letters("L"), _letters("N")
         # Fixed value: the file's word pattern, spelt out for letters below U+0250.
         self.word = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{letter}]+|[{digit}]|[^\\s{letter}{digit}]+")
-        self.far = re.compile("[^\x00-\u024f]|\u0130")
+        # Characters whose lower case lies beyond are as far.
+        self.far = re.compile("[^\x00-\u024f]|[" + "".join(c for c in map(chr, range(0x250)) if max(c.lower()) > "\u024f") + "]")
         self.odd = ("\x1c", "\x1d", "\x1e", "\x1f", *(t.content for t in self.library.get_added_tokens_decoder().values()))
+        self.model, self.cut = self.library.model, self.library.pre_tokenizer.pre_tokenize_str
         self.words, self.ids, self.old_words, self.old_ids = {}, {}, {}, {}
 
     def plain(self, text: str) -> bool:
@@ -191,25 +193,22 @@ class WordTokenizer:
     def _ask(self, items: list[str]) -> None:
         """Ids of items that this generation hasn't seen: from the one before, else from their words."""
         ids, words, old_ids, old_words = self.ids, self.words, self.old_ids, self.old_words
-        cut, new = {}, {}
         for x in items:
             known = old_ids.get(x)
-            if known is not None:
-                ids[x] = known
-                continue
-            cut[x] = self.word.findall(x)
-            for w in cut[x]:
-                if w not in words:
-                    known = old_words.get(w)
-                    if known is None:
-                        new[w] = None
-                    else:
-                        words[w] = known
-        asked = list(new)
-        for w, e in zip(asked, self.library.encode_batch_fast(asked, add_special_tokens=False), strict=True):
-            words[w] = array("I", e.ids).tobytes()
-        for x, c in cut.items():
-            ids[x] = b"".join([words[w] for w in c])
+            if known is None:
+                cut = [x] if x.isalpha() else self.word.findall(x)
+                for w in cut:
+                    if w not in words:
+                        words[w] = old_words.get(w) or self._word(w)
+                known = words[cut[0]] if len(cut) == 1 else b"".join([words[w] for w in cut])
+            ids[x] = known
+
+    def _word(self, word: str) -> bytes:
+        """Ids of one lower-cased word, by the library's model: a word needs no spans, which whole encodings hold."""
+        # Printable ASCII characters stand for their own bytes; other words take the file's own pre-tokenizer.
+        if word.isascii() and word.isprintable():
+            return array("I", [t.id for t in self.model.tokenize(word)]).tobytes()
+        return array("I", [t.id for part, _ in self.cut(word) for t in self.model.tokenize(part)]).tobytes()
 
     def forget(self) -> None:
         """Give the tables' memory back: the worker may go on with other work."""
