@@ -260,6 +260,30 @@ def test_line_dedup_loses_no_link_however_spread_the_changes_and_common_the_runs
     assert got == {i: int(root[i] != i) for i in root} and sum(got.values()) > 40
 
 
+def test_line_dedup_by_bands_of_length_loses_no_link(spark, monkeypatch):
+    for name, value in (("ONE_BAND", 0), ("LARGE", 1), ("FEW", 0), ("ROUNDS", 1)):
+        monkeypatch.setattr(linededup, name, value)
+    rnd = random.Random(31)
+    lines = []
+    for n in range(8, 40):  # every length is near some band's end
+        x = words_of(rnd, n, 900)
+        y = x[: int(len(x) * 0.93)].strip() + ("" if n % 2 else " " + words_of(rnd, 1, 900))
+        lines += [x, y, f"{x} {words_of(rnd, max(1, n // 14), 900)}"]
+    lines = list(dict.fromkeys(lines))
+    root = groups_of(range(len(lines)), [(a, b) for a, b in near_lines(lines) if _share_runs(lines[a], lines[b])])
+    rows = [*enumerate(lines), (0, lines[0])]  # a row that repeats counts as one
+    got = {r.doc_id: r.n_removed for r in linededup.dedup_lines(documents(spark, rows)).collect()}
+    assert got == {i: int(root[i] != i) for i in root} and sum(got.values()) > 40
+    widths = spark.createDataFrame([(i, len(x), x) for i, x in enumerate(lines)], "id long, width int, line string")
+    assert len(linededup._bands(widths)) == linededup.BANDS
+
+
+def test_line_dedup_leaves_only_lines_of_fitting_length_in_a_block(spark):
+    rows = [(1, 10, 100), (1, 11, 95), (1, 12, 50), (2, 10, 100), (2, 12, 50), (3, 13, 100), (4, 10, 100), (4, 10, 100), (4, 14, 91)]
+    got = linededup._met(spark.createDataFrame(rows, "block long, id long, width int"), linededup.Settings())
+    assert {(r.block, r.id) for r in got.collect()} == {(1, 10), (1, 11), (4, 10), (4, 14)} and got.count() == 4
+
+
 def test_line_dedup_takes_lines_without_spaces(spark):
     rnd = random.Random(5)
     line = "".join(chr(0x4E00 + rnd.randrange(3000)) for _ in range(60))
