@@ -284,6 +284,38 @@ def test_line_dedup_leaves_only_lines_of_fitting_length_in_a_block(spark):
     assert {(r.block, r.id) for r in got.collect()} == {(1, 10), (1, 11), (4, 10), (4, 14)} and got.count() == 4
 
 
+def test_line_dedup_groups_all_bands_in_one_set_of_rounds(spark, monkeypatch):
+    for name, value in (("ONE_BAND", 0), ("LARGE", 1), ("FEW", 0), ("ROUNDS", 1)):
+        monkeypatch.setattr(linededup, name, value)
+    calls, plain = [], linededup.components
+    monkeypatch.setattr(linededup, "components", lambda links: calls.append(1) or plain(links))
+    rnd = random.Random(41)
+    lines = [x + end for x in [words_of(rnd, n, 900) for n in range(8, 40)] for end in ("", "s")]
+    got = {r.doc_id: r.n_removed for r in linededup.dedup_lines(documents(spark, list(enumerate(lines)))).collect()}
+    assert got == {i: i % 2 for i in range(len(lines))} and len(calls) == linededup.ROUNDS + 1
+
+
+def test_line_dedup_tells_lines_apart_by_their_letters_before_their_texts(spark, monkeypatch):
+    seen, plain = [], linededup._verified
+    monkeypatch.setattr(linededup, "_verified", lambda pairs, *rest: seen.append(pairs.count()) or plain(pairs, *rest))
+    lines = [f"some words {' '.join([x * 5] * 8)}" for x in "hdlcumpfg"]
+    lines.append(lines[0] + "h")
+    got = {r.doc_id: r.n_removed for r in linededup.dedup_lines(documents(spark, list(enumerate(lines)))).collect()}
+    assert got == {i: int(i == 9) for i in range(10)} and sum(seen) == 1
+
+
+def test_line_dedup_places_the_runs_that_fingerprints_have(spark):
+    rnd = random.Random(43)
+    lines = [words_of(rnd, n, 12) for n in (1, 2, 3, 5, 15, 16, 19, 20, 21, 60)] + ["".join(chr(0x4E00 + rnd.randrange(40)) for _ in range(60))]
+    rows = spark.createDataFrame(list(enumerate(lines)), "id long, line string")
+    told = rows.select("id", "line", F.explode(F.array(linededup._told_by("line"))).alias("words"))
+    sorts = told.select("id", F.explode(linededup.fingerprints(F.col("words"))).alias("sort"))
+    whole = {(r.id, r.block): r.common for r in sorts.select("id", F.explode("sort.runs").alias("block"), linededup.least_common("sort.n", F.get("sort.runs", F.lit(0))).alias("common")).collect()}
+    kinds = told.select("id", F.length("line").alias("width"), F.size(F.array_distinct("words")).alias("kinds"), "line")
+    got = {(r.id, r.block): r.common for r in linededup._placed_runs(kinds).collect()}
+    assert set(got) == set(whole) and all(1 <= got[k] <= whole[k] for k in got)
+
+
 def test_line_dedup_takes_lines_without_spaces(spark):
     rnd = random.Random(5)
     line = "".join(chr(0x4E00 + rnd.randrange(3000)) for _ in range(60))
