@@ -299,6 +299,37 @@ def test_line_dedup_tells_lines_apart_by_more_letters_than_blocks_have():
     assert len(linededup.LETTERS) == len(linededup.MORE) == 9 and not set(linededup.LETTERS) & set(linededup.MORE)
 
 
+def test_line_dedup_compares_pairs_in_slices_and_leaves_nothing_it_has_used(spark, monkeypatch, tmp_path):
+    for name, value in (("ONE_BAND", 0), ("BANDS", 2), ("PAIRS", 1), ("PAIRS_A_ROW", 1)):
+        monkeypatch.setattr(linededup, name, value)
+    monkeypatch.setattr(linededup, "shared_folder", lambda spark: str(tmp_path))
+    rnd = random.Random(47)
+    lines = []
+    for n in (9, 30):
+        for x in [words_of(rnd, n, 900) for _ in range(3)]:
+            lines += [x + 2 * end for end in "abcdefgh"]
+    slices, plain = [], linededup._apart
+    monkeypatch.setattr(linededup, "_apart", lambda blocks, settings, k, n: slices.append((k, n)) or plain(blocks, settings, k, n))
+    out = linededup.dedup_lines(documents(spark, list(enumerate(lines))))
+    assert slices[: slices[0][1]] == [(k, slices[0][1]) for k in range(slices[0][1])] and all(n > 1 for _, n in slices)
+    assert {r.doc_id: r.n_removed for r in out.collect()} == {i: int(i % 8 > 0) for i in range(len(lines))}
+    left = [f.parent for f in tmp_path.rglob("*.parquet")]
+    assert len(set(left)) == 1  # the lines to remove
+
+
+def test_line_dedup_parts_unlike_lines_with_a_run_in_common_where_they_meet(spark):
+    rnd = random.Random(53)
+    kinds = ["".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rnd.randint(3, 9))) for _ in range(4000)]
+    lines = [" ".join(["same", "pair", *(rnd.choice(kinds) for _ in range(8))]) for _ in range(60)]
+    lines += [x[:20] + "zq" + x[22:] for x in lines]
+    rows = spark.createDataFrame([(i, len(x), 10, x) for i, x in enumerate(lines)], "id long, width int, kinds int, line string")
+    settings = linededup.Settings()
+    pairs = linededup._apart(linededup._rooted(linededup._blocks(rows, settings), None), settings, 0, 1)
+    got = {(r.a, r.b) for r in pairs.collect()}
+    linked = {(a, b) for a, b in near_lines(lines) if _share_runs(lines[a], lines[b])}
+    assert linked and linked <= got and len(got) <= 3 * len(linked)  # nearly 3,000 share the pair and fit in length
+
+
 def test_line_dedup_places_the_runs_that_fingerprints_have(spark):
     rnd = random.Random(43)
     lines = [words_of(rnd, n, 12) for n in (1, 2, 3, 5, 15, 16, 19, 20, 21, 60)] + ["".join(chr(0x4E00 + rnd.randrange(40)) for _ in range(60))]
