@@ -13,7 +13,7 @@ import pytest
 from helpers import EDGES, documents, groups_of, jaccard_groups, repeats, words_of
 from pyspark.sql import functions as F
 
-from tidemark.llm import ann, decontam, jaccard, linededup, quality, suffix, toxicity
+from tidemark.llm import ann, common, decontam, jaccard, linededup, quality, suffix, toxicity
 from tidemark.llm.graph import components
 from tidemark.llm.queries import ORACLES, QUERIES
 
@@ -302,7 +302,7 @@ def test_line_dedup_tells_lines_apart_by_more_letters_than_blocks_have():
 def test_line_dedup_compares_pairs_in_slices_and_leaves_nothing_it_has_used(spark, monkeypatch, tmp_path):
     for name, value in (("ONE_BAND", 0), ("BANDS", 2), ("PAIRS", 1), ("PAIRS_A_ROW", 1)):
         monkeypatch.setattr(linededup, name, value)
-    monkeypatch.setattr(linededup, "shared_folder", lambda spark: str(tmp_path))
+    monkeypatch.setattr(common, "shared_folder", lambda spark: str(tmp_path))
     rnd = random.Random(47)
     lines = []
     for n in (9, 30):
@@ -410,6 +410,30 @@ def test_nearest_neighbours_edges(spark):
     assert [r.vec_id for r in sorted(near, key=lambda r: r["rank"])] == list(range(20))
 
 
+def test_nearest_neighbours_are_the_same_in_many_small_blocks_and_chunks(spark):
+    rng = np.random.default_rng(59)
+    x = np.round(rng.normal(size=(1500, 8)) + rng.integers(0, 4, size=(1500, 1)), 2).astype(np.float32)
+    rows = spark.createDataFrame([(i * 7, x[i].tolist()) for i in range(len(x))], "vec_id long, embedding array<float>")
+    find = lambda **held: sorted(tuple(r) for r in ann.search(rows, F.col("vec_id") % 4 == 0, ann.Settings(leaf=32, **held)).collect())
+    many = find(held=2_000, asked=9, scored=40)
+    assert many == find() and len(many) == 375 * 20
+
+
+def test_nearest_neighbours_send_a_query_once_a_block_however_many_leaves_it_opens(spark, monkeypatch):
+    rng = np.random.default_rng(61)
+    x = rng.normal(size=(3000, 16)).astype(np.float32)
+    rows = spark.createDataFrame([(i, x[i].tolist()) for i in range(len(x))], "vec_id long, embedding array<float>")
+    path, plain = [], ann.Scratch.written
+    monkeypatch.setattr(ann.Scratch, "written", lambda self, df: path.append(self) or plain(self, df))
+    assert ann.search(rows, F.col("vec_id") % 2 == 0, ann.Settings(leaf=16)).count() == 1500 * 20
+    assert len(path) == 3  # rows, those that are indexed, those that ask
+    ids = np.arange(700, dtype=np.int64)
+    packs = ann._packs(ann._dealt(ids, 5), "block", ids=ids, vectors=x[:700])
+    assert packs.num_rows == 5 and sum(len(b) for b in packs["vectors"].to_pylist()) == x[:700].nbytes
+    got = np.concatenate([np.frombuffer(b, np.int64) for b in packs["ids"].to_pylist()])
+    assert sorted(got) == list(ids)
+
+
 def _auc(score, label):
     rank = np.empty(len(score))
     rank[np.argsort(score, kind="stable")] = np.arange(len(score))

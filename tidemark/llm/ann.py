@@ -11,9 +11,10 @@ node is taken first, whichever tree it is in, until ``leaves`` leaves are open;
 how many it takes for the wanted recall is measured on the sample, where
 neighbours are farther apart, hence harder to find, than in the whole table.
 
-*Rerank.*  Leaves are the unit of work: rows of a leaf (split into blocks beyond
-``block`` rows) meet the queries that opened it, are scored exactly, and each
-query's best of the block go on to be merged by query.
+*Rerank.*  A row's vector is sent with its leaf numbers, a query's with a bit for
+every leaf it opened, and not once a leaf: blocks of rows meet chunks of queries, both
+of bounded size.  Rows of leaves that a query opened are scored exactly, and its best of
+the block go on to be merged by query.
 """
 
 from __future__ import annotations
@@ -25,19 +26,27 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import FloatType
 
-from tidemark.llm.common import keep, table
+from tidemark.llm.common import Scratch, slices, small_batches, table
+from tidemark.llm.shingles import mix
 
 
 @dataclass(frozen=True)
 class Settings:
     nearest: int = 20
     trees: int = 8
-    #: Rows of a leaf that the number of leaves aims at, rows of the sample (at least ``least`` a leaf), of a block.
+    #: Rows of a leaf that the number of leaves aims at, rows of the sample (at least ``least`` a leaf).
     leaf: int = 256
     sample_rows: int = 16_384
     least: int = 16
-    block: int = 8_192
+    #: Bytes of a block of rows and of a chunk of queries that meet; those of tables that need few are smaller, in numbers up to these.
+    held: int = 32 << 20
+    blocks: int = 8
+    chunks: int = 2
+    #: Queries and rows whose scores are held at once.
+    asked: int = 128
+    scored: int = 16_384
     #: Recall on the sample's own queries that sets how many leaves are opened.
     recall: float = 0.95
     sample_queries: int = 256
@@ -133,18 +142,16 @@ def _matrix(col: pa.ChunkedArray | pa.Array, dim: int) -> np.ndarray:
     return col.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dim)
 
 
-PACK = "tree int, leaf int, block int, ids binary, vectors binary"
+def _packs(places: np.ndarray, what: str, **columns: np.ndarray) -> pa.RecordBatch:
+    """One row per place with all that goes there; ``what`` names the place."""
+    order = np.argsort(places, kind="stable")
+    found, first = np.unique(places[order], return_index=True)
+    parts = [order[i:j] for i, j in zip(first, [*first[1:], len(order)], strict=True)]
+    return pa.RecordBatch.from_arrays([pa.array(found, pa.int32()), *[pa.array([c[p].tobytes() for p in parts], pa.binary()) for c in columns.values()]], [what, *columns])
 
 
-def _packs(ids: np.ndarray, x: np.ndarray, keys: np.ndarray) -> pa.RecordBatch:
-    """One row per (tree, leaf, block) with all its vectors."""
-    order = np.lexsort(keys.T[::-1])
-    keys, who = keys[order, :3], keys[order, 3]
-    cut = np.flatnonzero(np.r_[True, (keys[1:] != keys[:-1]).any(axis=1)])
-    ends = np.r_[cut[1:], len(keys)]
-    rows = [(*keys[a].tolist(), ids[who[a:b]].tobytes(), x[who[a:b]].tobytes()) for a, b in zip(cut, ends, strict=True)]
-    kinds = (pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary())
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], [f.split()[0] for f in PACK.split(", ")])
+def _dealt(ids: np.ndarray, n: int) -> np.ndarray:
+    return (mix(ids.view(np.uint64)) % np.uint64(n)).astype(np.int32)
 
 
 def _best(query: np.ndarray, vec: np.ndarray, score: np.ndarray, n: int) -> np.ndarray:
@@ -159,6 +166,37 @@ def _best(query: np.ndarray, vec: np.ndarray, score: np.ndarray, n: int) -> np.n
     return order[rank < n]
 
 
+def _scored(qid: np.ndarray, q: np.ndarray, opened: np.ndarray, vid: np.ndarray, v: np.ndarray, home: np.ndarray, near: np.ndarray, settings: Settings) -> tuple[np.ndarray, ...]:
+    """The best of rows ``near`` for each query, of those in a leaf it opened ([query, tree, leaf]): query ids, row ids and scores."""
+    query, vec, score = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+    least = np.full(len(qid), -np.inf)
+    # By tree and leaf a bit for each query, so that a row's trees are put together for eight queries at once.
+    bits = np.ascontiguousarray(np.packbits(opened, axis=0).transpose(1, 2, 0))
+    for at in range(0, len(near), settings.scored):
+        rows = near[at : at + settings.scored]
+        x = v[rows].astype(np.float64)
+        s = x @ q.T
+        met = bits[0][home[rows, 0]]
+        for t in range(1, len(bits)):
+            met |= bits[t][home[rows, t]]
+        met = np.unpackbits(met, axis=1, count=len(qid)).view(bool)
+        n = min(settings.nearest, len(rows))
+        if not at:  # the first rows set the mark, what they brought is the mark for later ones
+            least = np.partition(np.where(met & (qid[None, :] != vid[rows][:, None]), s, -np.inf), len(rows) - n, axis=0)[len(rows) - n]
+        b, a = np.nonzero((s >= least - 1e-9 * np.abs(least)) & met)
+        others = qid[a] != vid[rows][b]
+        a, b = a[others], b[others]
+        exact = np.einsum("kd,kd->k", q[a], x[b])  # the same sum for a pair, whatever block it stands in
+        query, vec, score = np.r_[query, a], np.r_[vec, vid[rows][b]], np.r_[score, exact]
+        got = _best(query, vec, score, settings.nearest)
+        query, vec, score = query[got], vec[got], score[got]
+        full = np.bincount(query, minlength=len(qid)) == settings.nearest
+        lowest = np.full(len(qid), np.inf)
+        np.minimum.at(lowest, query, score)
+        least = np.where(full, lowest, -np.inf)
+    return qid[query], vec, score
+
+
 MERGED = "query_id long, rank int, vec_id long, score double"
 
 
@@ -174,9 +212,12 @@ def search(vectors: DataFrame, queries: Column, settings: Settings = Settings(),
     gives no rows; other columns are ignored.
     """
     spark = vectors.sparkSession
-    rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("v"), F.coalesce(queries, F.lit(False)).alias("asks"))
-    rows = rows.filter(F.col("id").isNotNull() & usable(F.col("v"))).select("id", F.col("v").cast("array<double>").alias("v"), "asks")
-    rows = keep(rows.groupBy("id").agg(F.min(F.struct("v", "asks")).alias("m")).select("id", "m.v", "m.asks"))
+    # Vectors go over the network and to disk as they are given.
+    kind, exact = ("float", np.float32) if isinstance(vectors.schema[vector_col].dataType.elementType, FloatType) else ("double", np.float64)
+    rows = small_batches(vectors).select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("v"), F.coalesce(queries, F.lit(False)).alias("asks"))
+    rows = rows.filter(F.col("id").isNotNull() & usable(F.col("v"))).select("id", F.col("v").cast(f"array<{kind}>").alias("v"), "asks")
+    whole, kept = Scratch(spark), Scratch(spark)
+    rows = whole.written(rows.groupBy("id").agg(F.min(F.struct("v", "asks")).alias("m")).select("id", "m.v", "m.asks"))
     lengths = rows.groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), "d").limit(1).collect()
     if not lengths:
         return spark.createDataFrame([], MERGED)
@@ -184,34 +225,36 @@ def search(vectors: DataFrame, queries: Column, settings: Settings = Settings(),
     rows = rows.filter(F.size("v") == dim)
     same = Window.partitionBy("v").orderBy("id")
     base = rows.select("id", "v", F.row_number().over(same).alias("turn")).filter(F.col("turn") <= settings.nearest + 1).select("id", "v")
-    base = keep(base)
-    total = base.count()
+    base, asking = kept.written(base), kept.written(rows.filter("asks").select("id", "v"))
+    whole.drop()
+    total, asks = base.count(), asking.count()
     sample = base.orderBy(F.xxhash64("id"), "id").limit(settings.sample_rows).toArrow()
     points = _matrix(sample["v"], dim)
     depth = max(0, min(int(np.ceil(np.log2(max(1, total / settings.leaf)))), int(np.log2(max(1, len(points) / settings.least)))))
     forest = Forest(points, depth, settings)
     most = leaves_for(forest, points, settings)
-    parts = -(-total // (forest.leaves * settings.block))
+    number = np.min_scalar_type(forest.leaves)
+    size = np.dtype(exact).itemsize * dim
+    blocks = max(-(-total * size // settings.held), min(-(-total // 4096), settings.blocks), 1)
+    chunks = max(-(-asks * (size + settings.trees * forest.leaves // 8) // settings.held), min(-(-asks // 512), settings.chunks), 1)
     sent = spark.sparkContext.broadcast(forest)  # trees x leaves hyperplanes: bounded by the sample
 
     def place(batches):
-        for b in batches:
-            if not b.num_rows:
-                continue
-            ids, x = b["id"].to_numpy(), _matrix(b["v"], dim)
-            leaf = sent.value.leaf_of(x)
-            n, trees = leaf.shape
-            keys = np.stack([np.tile(np.arange(trees), n), leaf.ravel(), np.repeat(ids % parts, trees), np.repeat(np.arange(n), trees)], axis=1)
-            yield _packs(ids, x, keys)
+        for b in slices(batches):
+            if b.num_rows:
+                ids, x = b["id"].to_numpy(), _matrix(b["v"], dim)
+                yield _packs(_dealt(ids, blocks), "block", ids=ids, vectors=x.astype(exact), leaves=sent.value.leaf_of(x).astype(number))
 
     def route(batches):
-        for b in batches:
-            if not b.num_rows:
-                continue
-            ids, x = b["id"].to_numpy(), _matrix(b["v"], dim)
-            forest = sent.value
-            keys = [(t, leaf, p, i) for i in range(len(ids)) for t, leaf in forest.search(forest.margins(x[i : i + 1])[0], most) for p in range(parts)]
-            yield _packs(ids, x, np.array(keys, np.int64))
+        for b in slices(batches):
+            if b.num_rows:
+                ids, x = b["id"].to_numpy(), _matrix(b["v"], dim)
+                forest = sent.value
+                opened = np.zeros((len(ids), len(forest.cuts), forest.leaves), bool)
+                for i in range(len(ids)):
+                    for t, leaf in forest.search(forest.margins(x[i : i + 1])[0], most):
+                        opened[i, t, leaf] = True
+                yield _packs(_dealt(ids, chunks), "chunk", ids=ids, vectors=x.astype(exact), opened=np.packbits(opened.reshape(len(ids), -1), axis=1))
 
     buckets = max(16, total // 20_000)
 
@@ -219,18 +262,18 @@ def search(vectors: DataFrame, queries: Column, settings: Settings = Settings(),
         read = lambda t, c, k: np.frombuffer(b"".join(t[c].to_pylist()), k)
         out = []
         if left.num_rows and right.num_rows:
-            vid, v = read(left, "ids", np.int64), read(left, "vectors", np.float64).reshape(-1, dim)
-            qid, q = read(right, "ids", np.int64), read(right, "vectors", np.float64).reshape(-1, dim)
-            for at in range(0, len(qid), 512):
-                i, x = qid[at : at + 512], q[at : at + 512]
-                s = x @ v.T
-                s[i[:, None] == vid[None, :]] = -np.inf
-                n = min(settings.nearest, len(vid))
-                floor = np.partition(s, len(vid) - n, axis=1)[:, len(vid) - n]
-                a, b = np.nonzero((s >= floor[:, None] - 1e-9 * np.abs(floor[:, None])) & (s > -np.inf))
-                exact = np.einsum("kd,kd->k", x[a], v[b])  # the same sum for a pair, whatever block it stands in
-                got = _best(i[a], vid[b], exact, settings.nearest)
-                out.append((i[a][got], vid[b][got], exact[got]))
+            forest = sent.value
+            trees, leaves = len(forest.cuts), forest.leaves
+            vid, v, home = read(left, "ids", np.int64), read(left, "vectors", exact).reshape(-1, dim), read(left, "leaves", number).reshape(-1, trees)
+            qid, q = read(right, "ids", np.int64), read(right, "vectors", exact).reshape(-1, dim)
+            bits = read(right, "opened", np.uint8).reshape(len(qid), -1)
+            # Queries that lie together open the same leaves: rows of no opened leaf are not scored.
+            order = np.argsort(forest.leaf_of(q.astype(np.float64))[:, 0], kind="stable")
+            for at in range(0, len(order), settings.asked):
+                part = order[at : at + settings.asked]
+                opened = np.unpackbits(bits[part], axis=1, count=trees * leaves).reshape(-1, trees, leaves).view(bool)
+                near = np.flatnonzero(np.any([opened[:, t].any(axis=0)[home[:, t]] for t in range(trees)], axis=0))
+                out.append(_scored(qid[part], q[part].astype(np.float64), opened, vid, v, home, near, settings))
         query, vec, score = (np.concatenate(c) for c in zip(*out, strict=True)) if out else (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
         bucket = (query // 20) % buckets
         rows = [(int(k), *(c[bucket == k].tobytes() for c in (query, vec, score))) for k in np.unique(bucket)]
@@ -245,9 +288,10 @@ def search(vectors: DataFrame, queries: Column, settings: Settings = Settings(),
         rank = np.arange(len(query)) - np.repeat(first, np.diff(np.r_[first, len(query)])) + 1
         return pa.table({"query_id": query, "rank": rank.astype(np.int32), "vec_id": vec, "score": score})
 
-    leaf = ("tree", "leaf", "block")
-    placed = base.mapInArrow(place, PACK).groupBy(*leaf)
-    routed = rows.filter("asks").select("id", "v").mapInArrow(route, PACK).groupBy(*leaf)
+    pair = ("block", "chunk")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    placed = base.mapInArrow(place, "block int, ids binary, vectors binary, leaves binary").withColumn("chunk", every(chunks)).groupBy(*pair)
+    routed = asking.mapInArrow(route, "chunk int, ids binary, vectors binary, opened binary").withColumn("block", every(blocks)).groupBy(*pair)
     found = placed.cogroup(routed).applyInArrow(rerank, "bucket long, query binary, vec binary, score binary")
     return found.groupBy("bucket").applyInArrow(merge, MERGED)
 
